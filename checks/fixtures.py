@@ -32,6 +32,7 @@ def exam(spark: SparkSession, sf_dir: str) -> DataFrame:
     five = f"array_append({four}, concat('c:', char(92), doc_id))"
     return docs.selectExpr(
         "doc_id",
+        "source",
         "concat('exam-', doc_id) AS id",
         "text AS paragraph",
         "concat(source, char(39), 's passage in ', lang, ': which statement fits?') AS question",

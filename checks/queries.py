@@ -128,7 +128,7 @@ def p4(spark, sf_dir):
 @query("p5_drop_columns", f"""WITH {fx.EXAM_SQL}
 SELECT doc_id, id, paragraph, question_plus FROM exam""")
 def p5(spark, sf_dir):
-    return ex.drop_problem_parts(fx.exam(spark, sf_dir))
+    return ex.drop_problem_parts(fx.exam(spark, sf_dir).drop("source"))
 
 
 @query("p6_full_question", f"""WITH {fx.EXAM_SQL}
@@ -568,10 +568,14 @@ def w1(spark, sf_dir):
 
 def sources(spark, sf_dir):
     """Questions of documents whose reply says that no prior knowledge is needed."""
-    rows = fx.exam(spark, sf_dir).join(
-        labelled(spark, sf_dir).select("doc_id", "prior_knowledge_needed"), "doc_id")
-    return augmenting.select_sources(rows).select("doc_id", "id", "paragraph", "question_plus",
-                                                  "problems")
+    rows = fx.exam(spark, sf_dir).withColumn("text", F.col("paragraph"))
+    parsed = rows.select("*", F.inline(F.array(label_fns.parse_label_reply(
+        F.expr(fx.label_reply_text())))))
+    prior = label_fns.normalize_prior_knowledge(F.col("prior_knowledge_needed"))
+    labelled_rows = parsed.withColumn("prior_knowledge_needed", prior).select(
+        "id", "topic", "prior_knowledge_needed", "paragraph", "question", "choices", "answer",
+        "question_plus")
+    return tables.stage(augmenting.select_sources(labelled_rows), "sources")
 
 
 AUGMENTED_SQL = f"""{fx.EXAM_SQL}, {fx.LABELS_SQL}, {fx.BOLD_SQL}, {fx.KOREAN_SQL},
@@ -588,9 +592,9 @@ made AS (
 SELECT variant, CASE WHEN answer IS NULL THEN id ELSE id || '_aug' END AS id,
        md5(paragraph) AS paragraph, question, {CHOICES}, answer FROM made""")
 def w2(spark, sf_dir):
-    rows = []
+    picked, rows = sources(spark, sf_dir), []
     for variant, given in (("bold", fx.bold_replies), ("korean", fx.korean_replies)):
-        new, failed = augmenting.augment(sources(spark, sf_dir), given(spark, sf_dir), variant)
+        new, failed = augmenting.augment(picked, given(spark, sf_dir), variant)
         rows.append(new.select("id", "paragraph", "problems.*"))
         rows.append(failed.select("id", "paragraph"))
         rows[-2:] = [r.withColumn("variant", F.lit(variant)) for r in rows[-2:]]

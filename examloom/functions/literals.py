@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from examloom.functions.text import let
 from examloom.schemas import PROBLEMS
 
 # Characters Python's repr() does not print as they are, apart from the space.
@@ -39,12 +40,14 @@ def _string_literal(col: Column) -> Column:
     text = F.replace(col, F.lit("\\"), F.lit("\\\\"))
     for raw, name in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         text = F.replace(text, F.lit(raw), F.lit(name))
-    text = _escape_unprintable(text)
-    double_quoted = F.concat(F.lit('"'), text, F.lit('"'))
-    single_quoted = F.concat(
-        F.lit("'"), F.replace(text, F.lit("'"), F.lit("\\'")), F.lit("'"))
     prefers_double = F.contains(col, F.lit("'")) & ~F.contains(col, F.lit('"'))
-    return F.when(prefers_double, double_quoted).otherwise(single_quoted)
+
+    def quoted(body):
+        single = F.replace(body, F.lit("'"), F.lit("\\'"))
+        return F.when(prefers_double, F.concat(F.lit('"'), body, F.lit('"'))).otherwise(
+            F.concat(F.lit("'"), single, F.lit("'")))
+
+    return let(text, lambda t: let(_escape_unprintable(t), quoted))
 
 
 def python_literal(col: Column, dtype: T.DataType) -> Column:

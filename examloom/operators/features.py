@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from examloom.fixed_values import MAX_FEATURES
-from examloom.functions.lookup import look_up, lookup_index
-from examloom.functions.text import word_counts, words
+from examloom.functions.lookup import LookupIndex
+from examloom.functions.text import let, word_counts, words
 
 
 def _top_terms(df: DataFrame, text: str, size: int) -> DataFrame:
@@ -31,19 +31,19 @@ def vocabulary(df: DataFrame, text: str = "full_question",
     return _top_terms(df, text, max_features).orderBy("term")
 
 
-def _weights(counts: Column, index: Column) -> Column:
+def _weights(counts: Column, index: LookupIndex) -> Column:
     """array<struct<term, tfidf>> of the indexed terms, scaled to length one."""
     weighted = F.filter(
         F.transform(counts, lambda c: F.struct(
-            c["term"].alias("term"), (c["tf"] * look_up(index, c["term"])).alias("w"))),
+            c["term"].alias("term"), (c["tf"] * index.look_up(c["term"])).alias("w"))),
         lambda c: c["w"].isNotNull())
 
     def scaled(kept):
         squares = F.aggregate(kept, F.lit(0.0), lambda a, c: a + c["w"] * c["w"])
-        return F.transform(kept, lambda c: F.struct(
-            c["term"].alias("term"), (c["w"] / F.sqrt(squares)).alias("tfidf")))
+        return let(F.sqrt(squares), lambda norm: F.transform(kept, lambda c: F.struct(
+            c["term"].alias("term"), (c["w"] / norm).alias("tfidf"))))
 
-    return F.get(F.transform(F.array(weighted), scaled), F.lit(0))
+    return let(weighted, scaled)
 
 
 def add_tfidf(df: DataFrame, text: str = "full_question", max_features: int = MAX_FEATURES,
@@ -57,9 +57,9 @@ def add_tfidf(df: DataFrame, text: str = "full_question", max_features: int = MA
     rows = df.agg(F.count("*").cast("double")).scalar()
     terms = _top_terms(df, text, max_features).select(
         "term", (F.log((F.lit(1.0) + rows) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
-    index = lookup_index(terms, "term", "idf", max_features)
-    weighted = _weights(word_counts(words(text)), F.col("_index"))
-    return df.withColumn("_index", index).select(*df.columns, weighted.alias(into))
+    index = LookupIndex(terms, "term", "idf", max_features)
+    weighted = _weights(word_counts(words(text)), index)
+    return index.attach(df).select(*df.columns, weighted.alias(into))
 
 
 def tfidf(df: DataFrame, *keys: str, text: str = "full_question",
@@ -73,7 +73,12 @@ def tfidf(df: DataFrame, *keys: str, text: str = "full_question",
 # --- tokens -----------------------------------------------------------------------
 
 def add_token_count(df: DataFrame, text: str = "text", into: str = "token_count") -> DataFrame:
-    return df.withColumn(into, F.size(words(text)))
+    """Add the number of word tokens.
+
+    A one-element `explode` instead of a plain column: a filter on the count would
+    otherwise be pushed below it and count every text a second time.
+    """
+    return df.select("*", F.explode(F.array(F.size(words(text)))).alias(into))
 
 
 def tokenize(df: DataFrame, *keys: str, text: str = "text",
@@ -87,10 +92,9 @@ def tokenize(df: DataFrame, *keys: str, text: str = "text",
     # A window without partitions is safe here: its input is cut to the vocabulary.
     ranked = top.select("term", F.row_number().over(
         Window.orderBy(F.desc("cf"), "term")).alias("token_id"))
-    index = lookup_index(ranked, "term", "token_id", max_vocabulary)
-    ids = F.transform(words(text), lambda w: F.coalesce(
-        look_up(F.col("_index"), w), F.lit(0)))
-    coded = df.withColumn("_index", index).select(*keys, ids.alias("input_ids"))
+    index = LookupIndex(ranked, "term", "token_id", max_vocabulary)
+    ids = F.transform(words(text), lambda w: F.coalesce(index.look_up(w), F.lit(0)))
+    coded = index.attach(df).select(*keys, ids.alias("input_ids"))
     return coded.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
 
 

@@ -34,9 +34,10 @@ def epoch_report(log: DataFrame, run: str = "run", order: tuple[str, ...] = ("st
     ).filter((F.col("event") == "evaluate") | F.col("training_loss").isNotNull())
 
     # Last loss per chunk (null if it has none): one small row per chunk.
-    newest = F.max(F.when(
-        F.col("training_loss").isNotNull(), F.struct(*order, "training_loss")))
-    chunks = rows.groupBy(run, "_chunk").agg(newest["training_loss"].alias("training_loss"))
+    logged_at = F.when(F.col("training_loss").isNotNull(), F.struct(*order)
+                       if len(order) > 1 else F.col(order[0]))
+    chunks = rows.groupBy(run, "_chunk").agg(
+        F.max_by("training_loss", logged_at).alias("training_loss"))
     earlier = Window.partitionBy(run).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = chunks.withColumn(
         "training_loss", F.last("training_loss", ignorenulls=True).over(earlier),
