@@ -331,12 +331,15 @@ MIXED_ID_SPARK = "CASE doc_id % 3 WHEN 0 THEN concat('exam-', doc_id) WHEN 1 THE
 MIXED_ID_SQL = "CASE doc_id % 3 WHEN 0 THEN 'exam-' || doc_id WHEN 1 THEN source || '-' || doc_id ELSE lang END"
 
 
-@query("t3_extract_id_number", f"""SELECT doc_id, {MIXED_ID_SQL} AS id,
-  coalesce(TRY_CAST(nullif(regexp_extract({MIXED_ID_SQL}, '[0-9]+'), '') AS DOUBLE),
-           'Infinity'::DOUBLE) AS id_number FROM documents""")
+@query("t3_extract_id_number", f"""WITH ids AS (SELECT doc_id, {MIXED_ID_SQL} AS id FROM documents)
+SELECT doc_id, id, TRY_CAST(nullif(regexp_extract(id, '[0-9]+'), '') AS DOUBLE) AS id_number,
+       regexp_extract(id, '[0-9]+') = '' AS is_infinite FROM ids""")
 def t3(spark, sf_dir):
     ids = fx.table(spark, sf_dir, "documents").select("doc_id", F.expr(MIXED_ID_SPARK).alias("id"))
-    return ids.withColumn("id_number", label_fns.id_number(F.col("id")))
+    number = label_fns.id_number(F.col("id"))
+    infinite = number == float("inf")
+    return ids.select("doc_id", "id", F.when(~infinite, number).alias("id_number"),
+                      infinite.alias("is_infinite"))
 
 
 @query("t4_clean_text", r"""SELECT doc_id,

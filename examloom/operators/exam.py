@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from examloom.fixed_values import (
     AUGMENTED_ID_SUFFIX,
@@ -109,7 +110,9 @@ def filter_min_length(df: DataFrame, column: str = "paragraph",
 
 def filter_max_tokens(df: DataFrame, column: str = "token_count",
                       at_most: int = MAX_TOKENS) -> DataFrame:
-    return df.filter(F.col(column) <= at_most)
+    """Rows with at most that many tokens; `column` is a count or an id array."""
+    is_array = isinstance(df.schema[column].dataType, T.ArrayType)
+    return df.filter((F.size(column) if is_array else F.col(column)) <= at_most)
 
 
 def quarantine(df: DataFrame, reason: Column | str = "reason") -> tuple[DataFrame, DataFrame]:

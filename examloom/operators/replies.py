@@ -18,13 +18,21 @@ def parse_generation_ko(df: DataFrame, text: str = "text", into: str = "parsed",
     return df.withColumn(into, parse_korean_reply(F.col(text), strip_label))
 
 
+def first_by_attempt(rows: DataFrame, *columns: str) -> DataFrame:
+    """id, attempt and the columns of each id's lowest attempt; ties by content.
+
+    Reduced on the map side first, so a hot id costs one row per task.
+    """
+    first = F.min(F.struct("attempt", *columns))
+    return rows.groupBy("id").agg(first.alias("first")).select("id", "first.*")
+
+
 def first_valid_attempt(responses: DataFrame, parse=parse_korean_reply,
                         exact_choices: int | None = OPTION_COUNT,
                         max_attempts: int = MAX_ATTEMPTS, text: str = "text") -> DataFrame:
     """id, attempt, question, choices, answer of each id's first usable reply.
 
-    Unusable replies disappear while they are parsed, before the shuffle; what is
-    left is reduced per id on the map side, so a hot id costs one row per task.
+    Unusable replies and the reply texts disappear before the shuffle.
     """
     # The generator takes the expression itself, which keeps the parse to one
     # evaluation; as a named column it would be repeated in a pushed-down filter.
@@ -32,11 +40,4 @@ def first_valid_attempt(responses: DataFrame, parse=parse_korean_reply,
         F.array(parse(F.col(text))), lambda p: valid_generation(p, exact_choices))
     parsed = responses.filter(F.col("attempt") <= max_attempts).select(
         "id", "attempt", F.inline(usable))
-    first = F.min(F.struct("attempt", "question", "choices", "answer"))
-    return parsed.groupBy("id").agg(first.alias("first")).select("id", "first.*")
-
-
-def first_reply(responses: DataFrame, text: str = "text") -> DataFrame:
-    """id and text of each id's first reply."""
-    first = F.min(F.struct("attempt", text))
-    return responses.groupBy("id").agg(first.alias("first")).select("id", f"first.{text}")
+    return first_by_attempt(parsed, "question", "choices", "answer")

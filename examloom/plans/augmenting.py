@@ -15,6 +15,7 @@ from examloom.operators.exam import (
     merge_sources,
     nest_problems,
 )
+from examloom.operators.joins import join_by_id
 from examloom.operators.replies import first_valid_attempt
 from examloom.sources.tables import stage
 
@@ -34,7 +35,7 @@ def select_sources(labelled: DataFrame) -> DataFrame:
 def match_replies(sources: DataFrame, responses: DataFrame, variant: str) -> DataFrame:
     """Every source row with the new question of its id, or nulls."""
     accepted = first_valid_attempt(responses, **VARIANTS[variant])
-    return sources.join(accepted, "id", "left")
+    return join_by_id(sources, accepted)
 
 
 def augment(sources: DataFrame, responses: DataFrame, variant: str,

@@ -7,28 +7,33 @@ from pyspark.sql import functions as F
 
 from examloom.functions.labels import clean_topic, normalize_prior_knowledge, parse_label_reply
 from examloom.operators.exam import parse_problems, quarantine, sort_by_id_number
-from examloom.operators.replies import first_reply
+from examloom.operators.joins import join_by_id
+from examloom.operators.replies import first_by_attempt
 from examloom.sources.tables import stage
 
 
-def flag_labels(exam: DataFrame, responses: DataFrame, form: str = "python") -> DataFrame:
-    """Raw exam rows with raw labels and the `reason` a row is unusable, if any.
+def reply_labels(responses: DataFrame) -> DataFrame:
+    """id, topic and prior_knowledge_needed as each id's first reply states them.
 
-    Replies are reduced to one per id before the join, so a row never multiplies;
-    a hot id on the exam side is a skewed left side, which adaptive execution
-    splits.
+    Replies shrink to their two labels before the shuffle, and to one row per id
+    on the map side.
     """
-    parsed = parse_problems(exam, form=form)
-    joined = parsed.join(first_reply(responses), "id", "left")
-    labels = parse_label_reply(F.col("text"))
+    parsed = responses.filter(F.col("text").isNotNull()).select(
+        "id", "attempt", F.inline(F.array(parse_label_reply(F.col("text")))))
+    return first_by_attempt(parsed, "topic", "prior_knowledge_needed").drop("attempt")
+
+
+def flag_labels(exam: DataFrame, responses: DataFrame, form: str = "python") -> DataFrame:
+    """Raw exam rows with raw labels and the `reason` a row is unusable, if any."""
+    joined = join_by_id(exam, reply_labels(responses))
     reason = (
         F.when(F.col("p").isNull(), F.lit("unreadable problem"))
         .when(F.col("p.answer").isNull(), F.lit("no answer"))
-        .when(F.col("text").isNull(), F.lit("no reply"))
+        .when(F.col("topic").isNull(), F.lit("no reply"))
     )
-    return joined.select(
-        "id", F.inline(F.array(labels)), "paragraph", "p.question", "p.choices", "p.answer",
-        "question_plus", reason.alias("reason"),
+    return parse_problems(joined, form=form).select(
+        "id", "topic", "prior_knowledge_needed", "paragraph",
+        "p.question", "p.choices", "p.answer", "question_plus", reason.alias("reason"),
     )
 
 

@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 
 from examloom.fixed_values import SEED
 from examloom.functions.scoring import argmax, option_logits, predict_answer, softmax
+from examloom.operators.joins import join_by_id
 from examloom.operators.messages import test_messages
+from examloom.sources.tables import stage
 
 
 def predict(questions: DataFrame, logits: DataFrame, seed: int = SEED) -> DataFrame:
     """id, answer for test questions (`test_messages` output) with logits by id.
 
-    A question without logits keeps its row with a null answer.
+    A question without logits keeps its row with a null answer.  Ids and option
+    counts are staged, so the questions are parsed once although the join looks at
+    the ids twice.
     """
-    scored = questions.select("id", "len_choices").join(logits, "id", "left")
+    asked = stage(questions.select("id", "len_choices"), "questions")
+    scored = join_by_id(asked, logits)
     best = argmax(softmax(option_logits(F.col("logits"), F.col("len_choices"))))
     return scored.select("id", predict_answer(best, F.col("id"), seed).alias("answer"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from examloom.fixed_values import EVAL_SHARE, MAX_TOKENS, SEED
@@ -10,7 +12,7 @@ from examloom.operators.exam import (
     add_question_length,
     filter_max_tokens,
 )
-from examloom.operators.features import add_token_count
+from examloom.operators.features import add_token_count, tokenize_with
 from examloom.operators.messages import render_chat, train_messages
 from examloom.operators.split import assign_split
 from examloom.sources.tables import stage
@@ -21,16 +23,24 @@ def exam_features(exam: DataFrame) -> DataFrame:
 
 
 def chat_table(exam: DataFrame) -> DataFrame:
-    """id, messages, label, chat text, token count."""
-    return add_token_count(render_chat(train_messages(exam)))
+    """id, messages, label and chat text."""
+    return render_chat(train_messages(exam))
 
 
 def build_train_eval(exam: DataFrame, max_tokens: int = MAX_TOKENS,
-                     test_size: float = EVAL_SHARE, seed: int = SEED) -> DataFrame:
+                     test_size: float = EVAL_SHARE, seed: int = SEED,
+                     load_tokenizer: Callable | None = None) -> DataFrame:
     """Chat rows of acceptable length with `is_eval`.
 
-    One staged write keeps the split's passes from repeating the rendering; they
-    read nothing but the id column of the staged table.
+    Length is the built-in word count (`token_count`), or that of the caller's
+    tokenizer, which then also provides `input_ids` and `attention_mask`.  One
+    staged write keeps the split's passes from repeating this work; they read
+    nothing but the id column of the staged table.
     """
-    kept = stage(filter_max_tokens(chat_table(exam), at_most=max_tokens), "chat")
-    return assign_split(kept, "id", test_size, seed)
+    chat = chat_table(exam)
+    if load_tokenizer is None:
+        kept = filter_max_tokens(add_token_count(chat), "token_count", max_tokens)
+    else:
+        coded = tokenize_with(chat, load_tokenizer, "id", "label", "text")
+        kept = filter_max_tokens(coded, "input_ids", max_tokens)
+    return assign_split(stage(kept, "chat"), "id", test_size, seed)

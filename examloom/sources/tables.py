@@ -14,6 +14,7 @@ from examloom.schemas import EXAM_RAW
 
 # Quoted fields hold line breaks, and a quote inside a field is doubled.
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
+MAX_SPREAD = 64
 
 
 def read_exam_csv(spark: SparkSession, path: str, schema: T.StructType = EXAM_RAW) -> DataFrame:
@@ -41,7 +42,9 @@ def _as_text(df: DataFrame, nested: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, nested: str = "python", mode: str = "overwrite") -> None:
     """CSV with a header; lists and structs become Python-literal or JSON text."""
-    _as_text(df, nested).write.mode(mode).csv(path, emptyValue="", **CSV_FORMAT)
+    _as_text(df, nested).write.mode(mode).csv(
+        path, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        **CSV_FORMAT)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -50,13 +53,14 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows over all cores when the input has fewer partitions than that.
+    """Deal rows over the cores when the input has only a few partitions.
 
-    A no-op for inputs of any size that matters; a single small file would
-    otherwise be processed by one task.
+    A few small files would otherwise keep a few tasks busy.  Inputs of
+    MAX_SPREAD partitions or more are left as they are, so large tables are never
+    shuffled for this.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
