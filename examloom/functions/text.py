@@ -31,6 +31,16 @@ def let(value, body):
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def once(value) -> Column:
+    """Generator column that computes `value` exactly once per row.
+
+    Filters on an ordinary computed column are pushed below it and compute it a
+    second time.  They stay above a generator, so costly values are selected as a
+    one-element `explode`.
+    """
+    return F.explode(F.array(value))
+
+
 def last(array) -> Column:
     """Last element, null for an empty array."""
     return F.try_element_at(array, F.lit(-1))

@@ -17,6 +17,7 @@ from examloom.fixed_values import (
 )
 from examloom.functions.labels import id_digits
 from examloom.functions.literals import parse_problem_json, parse_problem_literal
+from examloom.functions.text import once
 
 PROBLEM_PARTS = ("question", "choices", "answer")
 
@@ -27,7 +28,7 @@ def parse_problems(df: DataFrame, text: str = "problems", into: str = "p",
                    form: str = "python") -> DataFrame:
     """Add the parsed problem struct; null where the text is not usable."""
     parse = {"python": parse_problem_literal, "json": parse_problem_json}[form]
-    return df.withColumn(into, parse(F.col(text)))
+    return df.select("*", once(parse(F.col(text))).alias(into))
 
 
 def append_sentinel_choice(df: DataFrame, choices: str = "choices") -> DataFrame:
@@ -42,17 +43,12 @@ def flatten_exam(df: DataFrame, coalesce_outer: bool = False, form: str = "pytho
     the table's own `question_plus` column.  Rows whose problem text cannot be read
     are left out; `unreadable_exam` returns exactly those.
     """
-    parsed = parse_problems(df, form=form)
+    parsed = parse_problems(df, form=form).filter(F.col("p").isNotNull())
     nested = F.col("p.question_plus")
     extra = F.coalesce(nested, F.col("question_plus")) if coalesce_outer else nested
-    # One-element `inline` reads the struct once and drops null structs with it.
     flat = parsed.select(
-        "id", "paragraph", extra.alias("question_plus"), F.inline(F.array(F.struct(
-            F.col("p.question").alias("question"), F.col("p.choices").alias("choices"),
-            F.col("p.answer").alias("answer")))))
-    usable = flat.filter(F.col("question").isNotNull())
-    return append_sentinel_choice(usable).select(
-        "id", "paragraph", "question", "choices", "answer", "question_plus")
+        "id", "paragraph", "p.question", "p.choices", "p.answer", extra.alias("question_plus"))
+    return append_sentinel_choice(flat)
 
 
 def unreadable_exam(df: DataFrame, form: str = "python") -> DataFrame:

@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from examloom.fixed_values import MAX_FEATURES
 from examloom.functions.lookup import LookupIndex
-from examloom.functions.text import let, word_counts, words
+from examloom.functions.text import let, once, word_counts, words
 
 
 def _top_terms(df: DataFrame, text: str, size: int) -> DataFrame:
     """term, cf (occurrences), df (rows) of the most frequent terms; ties by term."""
-    # `inline` over the expression, not over a column: see first_valid_attempt.
+    # `inline` over the expression: over a column, the optimizer adds a size filter
+    # that repeats the work.
     totals = df.select(F.inline(word_counts(words(text)))).groupBy("term").agg(
         F.sum("tf").alias("cf"), F.count("*").alias("df"))
     return totals.orderBy(F.desc("cf"), "term").limit(size)
@@ -66,19 +67,15 @@ def tfidf(df: DataFrame, *keys: str, text: str = "full_question",
           max_features: int = MAX_FEATURES) -> DataFrame:
     """Long form: the key columns, term, tfidf."""
     rows = add_tfidf(df.select(*dict.fromkeys([*keys, text])), text, max_features, "_features")
-    # inline_outer: the plain form would add a size filter that repeats the weighting.
+    # inline_outer: the plain form would bring the size filter back.
     return rows.select(*keys, F.inline_outer("_features")).filter(F.col("term").isNotNull())
 
 
 # --- tokens -----------------------------------------------------------------------
 
 def add_token_count(df: DataFrame, text: str = "text", into: str = "token_count") -> DataFrame:
-    """Add the number of word tokens.
-
-    A one-element `explode` instead of a plain column: a filter on the count would
-    otherwise be pushed below it and count every text a second time.
-    """
-    return df.select("*", F.explode(F.array(F.size(words(text)))).alias(into))
+    """Add the number of word tokens."""
+    return df.select("*", once(F.size(words(text))).alias(into))
 
 
 def tokenize(df: DataFrame, *keys: str, text: str = "text",

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from examloom.fixed_values import MAX_ATTEMPTS, OPTION_COUNT
 from examloom.functions.replies import parse_bold_reply, parse_korean_reply, valid_generation
+from examloom.functions.text import once
 
 
 def parse_generation_bold(df: DataFrame, text: str = "text", into: str = "parsed") -> DataFrame:
-    return df.withColumn(into, parse_bold_reply(F.col(text)))
+    return df.select("*", once(parse_bold_reply(F.col(text))).alias(into))
 
 
 def parse_generation_ko(df: DataFrame, text: str = "text", into: str = "parsed",
                         strip_label: bool = False) -> DataFrame:
-    return df.withColumn(into, parse_korean_reply(F.col(text), strip_label))
+    return df.select("*", once(parse_korean_reply(F.col(text), strip_label)).alias(into))
 
 
 def first_by_attempt(rows: DataFrame, *columns: str) -> DataFrame:
@@ -34,8 +35,7 @@ def first_valid_attempt(responses: DataFrame, parse=parse_korean_reply,
 
     Unusable replies and the reply texts disappear before the shuffle.
     """
-    # The generator takes the expression itself, which keeps the parse to one
-    # evaluation; as a named column it would be repeated in a pushed-down filter.
+    # The generator takes the expression itself: each reply is parsed once (`once`).
     usable = F.filter(
         F.array(parse(F.col(text))), lambda p: valid_generation(p, exact_choices))
     parsed = responses.filter(F.col("attempt") <= max_attempts).select(

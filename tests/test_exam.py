@@ -37,7 +37,9 @@ def test_flatten_exam(spark):
 
 def test_flatten_reads_each_literal_once(spark):
     df = raw(spark, ("a", "P", "{'question': 'Q', 'choices': [], 'answer': 1}", None))
-    assert plan(ex.flatten_exam(df).filter("answer = 1")).count("ArrowEvalPython") == 1
+    flat = ex.flatten_exam(df)
+    assert plan(flat.filter("answer = 1 AND question_plus = ''")).count("ArrowEvalPython") == 1
+    assert plan(ex.unreadable_exam(df)).count("ArrowEvalPython") == 1
 
 
 def test_nest_and_drop(spark):

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from examloom.functions.replies import parse_bold_reply, parse_korean_reply, valid_generation
-from examloom.operators.replies import first_by_attempt, first_valid_attempt
-from tests.helpers import evaluate
+from examloom.operators.replies import first_by_attempt, first_valid_attempt, parse_generation_ko
+from tests.helpers import evaluate, plan
 
 BOLD = {
     "plain": ("**New Question:** Q?\n**New Choices:**\n1. a\n2. b\n3. c\n4. d\n5. e\n\n**New Answer:** 3",
@@ -130,6 +130,12 @@ def test_first_by_attempt(spark):
     assert [tuple(r) for r in got] == [("a", 1, "z"), ("b", 1, "")]
 
 
+def test_replies_are_parsed_once(spark):
+    parsed = parse_generation_ko(responses(spark, [("a", 1, "x")]))
+    filtered = parsed.filter("parsed.answer = 2").select("parsed.question")
+    assert plan(filtered).count("split(") == 1
+
+
 def test_hot_id_is_combined_before_the_shuffle(spark):
     good = "질문 : Q\n선택지:\n" + FIVE + "\n정답: 1"
     hot = spark.range(3_000).select(
