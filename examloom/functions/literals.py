@@ -72,17 +72,19 @@ def python_literal(col: Column, dtype: T.DataType) -> Column:
     return F.when(col.isNull(), F.lit("None")).otherwise(body)
 
 
-# The usual shape of a problem dict: the known keys in their usual order, plain
-# strings without a backslash or control character.  On this shape JSON with
-# single quotes and Python agree, so `from_json` reads it without leaving the
-# JVM.  Possessive quantifiers keep the match linear and free of recursion.
-_PLAIN = r"""(?:'[^'\\\x00-\x1f]*+'|"[^"\\\x00-\x1f]*+")"""
+# The usual shape of a problem dict: the known keys in their usual order, strings
+# with no escapes beyond \\ \n \r \t and quotes.  On this shape Python and JSON with
+# single quotes agree, so `from_json` reads it without leaving the JVM.  Possessive
+# quantifiers keep the match linear and free of recursion.
+_PLAIN = (r"""(?:'(?:[^'\\\x00-\x1f]++|\\[\\nrt'"])*+'"""
+          r"""|"(?:[^"\\\x00-\x1f]++|\\[\\nrt'"])*+")""")
 _PLAIN_PROBLEM = (
     r"^\{'question': " + _PLAIN
     + r", 'choices': \[(?:" + _PLAIN + r"(?:, " + _PLAIN + r")*+)?\]"
     + r"(?:, 'answer': (?:0|[1-9][0-9]{0,8}))?"
     + r"(?:, 'question_plus': " + _PLAIN + r")?\}\z"
 )
+_JSON_OPTIONS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
 
 
 def _literal_reader(keys: tuple[str, ...]):
@@ -91,15 +93,22 @@ def _literal_reader(keys: tuple[str, ...]):
     The function is nested so that it is shipped whole: executors need no copy of
     this package.
     """
+    def text_of(value):
+        if value is None:
+            return None
+        text = str(value)
+        text.encode()  # a lone surrogate is no text: ValueError
+        return text
+
     def read_one(text):
         try:
             value = ast.literal_eval(text)
             question, choices, answer, extra = (value.get(k) for k in keys)
             return (
-                None if question is None else str(question),
-                [None if c is None else str(c) for c in choices],
+                text_of(question),
+                [text_of(c) for c in choices],
                 None if answer is None else int(answer),
-                None if extra is None else str(extra),
+                text_of(extra),
             )
         except (ValueError, SyntaxError, TypeError, AttributeError, MemoryError, RecursionError):
             return (None,) * len(keys)
@@ -121,7 +130,7 @@ def parse_problem_literal(text) -> Column:
     reach it as nulls.
     """
     plain = F.rlike(text, F.lit(_PLAIN_PROBLEM))
-    native = F.from_json(text, PROBLEMS)
+    native = F.from_json(text, PROBLEMS, _JSON_OPTIONS)
     other = _literal_reader(tuple(PROBLEMS.fieldNames()))(F.when(~plain, text))
     return F.when(plain, native).when(
         other["question"].isNotNull() & other["choices"].isNotNull(), other)

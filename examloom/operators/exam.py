@@ -149,6 +149,11 @@ def preview(df: DataFrame, *order: str, rows: int = 5) -> DataFrame:
     return df.orderBy(*order).limit(rows)
 
 
-def merge_sources(*sources: DataFrame) -> DataFrame:
-    """UNION ALL by column name; missing columns become null, nothing is removed."""
+def merge_sources(*sources: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """UNION ALL by column name; missing columns become null, nothing is removed.
+
+    `names` adds a `source` column, which tells rows with the same id apart.
+    """
+    if names is not None:
+        sources = [df.withColumn("source", F.lit(n)) for df, n in zip(sources, names, strict=True)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)

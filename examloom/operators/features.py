@@ -26,6 +26,13 @@ def _top_terms(df: DataFrame, text: str, size: int) -> DataFrame:
     return totals.orderBy(F.desc("cf"), "term").limit(size)
 
 
+def _top_words(df: DataFrame, text: str, size: int) -> DataFrame:
+    """term, cf of the most frequent terms; cheaper where df is not needed."""
+    totals = df.select(F.explode(words(text)).alias("term")).groupBy("term").agg(
+        F.count("*").alias("cf"))
+    return totals.orderBy(F.desc("cf"), "term").limit(size)
+
+
 def vocabulary(df: DataFrame, text: str = "full_question",
                max_features: int = MAX_FEATURES) -> DataFrame:
     """Kept terms in alphabetical order with their totals."""
@@ -85,7 +92,7 @@ def tokenize(df: DataFrame, *keys: str, text: str = "text",
     A token's id is its rank by frequency (1 is the most frequent); words outside
     the vocabulary become 0.  Nothing is truncated or padded.
     """
-    top = _top_terms(df, text, max_vocabulary)
+    top = _top_words(df, text, max_vocabulary)
     # A window without partitions is safe here: its input is cut to the vocabulary.
     ranked = top.select("term", F.row_number().over(
         Window.orderBy(F.desc("cf"), "term")).alias("token_id"))
@@ -107,7 +114,6 @@ def tokenize_with(df: DataFrame, load_tokenizer: Callable[[], Callable[[list[str
         for texts in batches:
             yield pd.Series(tokenizer(texts.fillna("").tolist()), index=texts.index, dtype=object)
 
-    encode.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     ids = F.pandas_udf(encode, "array<int>")(F.col(text))
     coded = df.select(*keys, ids.alias("input_ids"))
     return coded.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))

@@ -19,7 +19,7 @@ from examloom.operators.joins import join_by_id
 from examloom.operators.replies import first_valid_attempt
 from examloom.sources.tables import stage
 
-# Reply style -> how its replies are read and accepted.
+# `source` in the table of replies -> how these replies are read and accepted.
 VARIANTS = {
     "bold": dict(parse=parse_bold_reply, exact_choices=None, max_attempts=1),
     "korean": dict(parse=parse_korean_reply, exact_choices=OPTION_COUNT,
@@ -34,7 +34,8 @@ def select_sources(labelled: DataFrame) -> DataFrame:
 
 def match_replies(sources: DataFrame, responses: DataFrame, variant: str) -> DataFrame:
     """Every source row with the new question of its id, or nulls."""
-    accepted = first_valid_attempt(responses, **VARIANTS[variant])
+    replies = responses.filter(F.col("source") == variant)
+    accepted = first_valid_attempt(replies, **VARIANTS[variant])
     return join_by_id(sources, accepted)
 
 

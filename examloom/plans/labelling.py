@@ -12,13 +12,17 @@ from examloom.operators.replies import first_by_attempt
 from examloom.sources.tables import stage
 
 
+LABEL_SOURCE = "label"  # value of `source` in the table of replies
+
+
 def reply_labels(responses: DataFrame) -> DataFrame:
-    """id, topic and prior_knowledge_needed as each id's first reply states them.
+    """id, topic and prior_knowledge_needed as each id's first label reply states them.
 
     Replies shrink to their two labels before the shuffle, and to one row per id
     on the map side.
     """
-    parsed = responses.filter(F.col("text").isNotNull()).select(
+    replies = responses.filter((F.col("source") == LABEL_SOURCE) & F.col("text").isNotNull())
+    parsed = replies.select(
         "id", "attempt", F.inline(F.array(parse_label_reply(F.col("text")))))
     return first_by_attempt(parsed, "topic", "prior_knowledge_needed").drop("attempt")
 

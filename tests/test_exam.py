@@ -110,6 +110,8 @@ def test_merge_sources(spark):
     assert merged.columns == a.columns
     assert sorted(tuple(r) for r in merged.collect() if r["question_plus"]) == [("1", "P", "x")] * 2
     assert merged.filter("question_plus IS NULL").collect()[0]["paragraph"] == "P"
+    named = ex.merge_sources(a, b, names=["train", "bold"])
+    assert sorted((r["id"], r["source"]) for r in named.collect()) == [("1", "bold"), ("1", "train")]
 
 
 # --- prompts ----------------------------------------------------------------------------

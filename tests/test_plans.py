@@ -20,7 +20,8 @@ def test_label_exam(spark):
     replies = spark.createDataFrame([
         ("q2", "label", 1, "주제: **경제(a)**\n사전지식 필요: 필요 없음"),
         ("q10", "label", 1, ""), ("q1", "label", 2, "주제: x\n사전지식: 필요"),
-        ("q1", "label", 1, "주제: 문학\n사전지식: 필요 없음"), ("other", "label", 1, "x")], RESPONSES)
+        ("q1", "label", 1, "주제: 문학\n사전지식: 필요 없음"), ("other", "label", 1, "x"),
+        ("none", "bold", 1, "주제: 문학\n사전지식: 필요 없음")], RESPONSES)
     raw, cleaned, rejected = labelling.label_exam(rows, replies)
     assert {r["id"]: r["topic"] for r in raw.collect()} == {
         "q2": "**경제(a)**", "q10": "분류 실패", "q1": "문학"}

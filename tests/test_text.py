@@ -5,6 +5,7 @@ import unicodedata
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from examloom.functions import labels, literals, text
@@ -107,6 +108,24 @@ def test_problem_details(spark):
     ]
 
 
+def test_usual_problems_stay_in_the_jvm(spark):
+    """Long texts with ordinary escapes match the native shape; others do not."""
+    long = {"question": "it's \n\\ \"x\" " * 50_000, "choices": ["a'b", "c\td"], "answer": 3,
+            "question_plus": "한국어\n" * 50_000}
+    values = [repr(long), "{'question': 'a\\xa0', 'choices': []}", "{'question': 'a', 'choices': [None]}"]
+    native = evaluate(spark, lambda c: F.rlike(c, F.lit(literals._PLAIN_PROBLEM)), values)
+    assert native == [True, False, False]
+    got = evaluate(spark, literals.parse_problem_literal, values)
+    assert (got[0]["question"], got[0]["choices"], got[0]["question_plus"]) == (
+        long["question"], long["choices"], long["question_plus"])
+    assert got[1]["question"] == "a\xa0" and got[2]["choices"] == [None]
+
+
+def test_lone_surrogate_is_unusable(spark):
+    assert evaluate(spark, literals.parse_problem_literal, [
+        "{'question': '\\ud800', 'choices': []}"]) == [None]
+
+
 def test_problem_json(spark):
     got = evaluate(spark, literals.parse_problem_json, [
         '{"question": "q", "choices": ["a\\n"], "answer": null}', "{'x': 1}", "junk"])
