@@ -78,9 +78,10 @@ def python_literal(col: Column, dtype: T.DataType) -> Column:
 # quantifiers keep the match linear and free of recursion.
 _PLAIN = (r"""(?:'(?:[^'\\\x00-\x1f]++|\\[\\nrt'"])*+'"""
           r"""|"(?:[^"\\\x00-\x1f]++|\\[\\nrt'"])*+")""")
+_PLAIN_ITEMS = r"\[(?:" + _PLAIN + r"(?:, " + _PLAIN + r")*+)?\]"
+_PLAIN_LIST = "^" + _PLAIN_ITEMS + r"\z"
 _PLAIN_PROBLEM = (
-    r"^\{'question': " + _PLAIN
-    + r", 'choices': \[(?:" + _PLAIN + r"(?:, " + _PLAIN + r")*+)?\]"
+    r"^\{'question': " + _PLAIN + r", 'choices': " + _PLAIN_ITEMS
     + r"(?:, 'answer': (?:0|[1-9][0-9]{0,8}))?"
     + r"(?:, 'question_plus': " + _PLAIN + r")?\}\z"
 )
@@ -143,16 +144,28 @@ def parse_problem_json(text) -> Column:
 
 
 def parse_list_literal(text) -> Column:
-    """List text -> array<string>, null when it is not a list."""
+    """List text -> array<string>, null when it is not a list.
+
+    As with problems, only lists outside the plain shape travel to Python.
+    """
+    def text_of(value):
+        if value is None:
+            return None
+        text = str(value)
+        text.encode()
+        return text
+
     def read_one(text):
         try:
             value = ast.literal_eval(text)
-            return [None if v is None else str(v) for v in value] if isinstance(
-                value, (list, tuple)) else None
+            return [text_of(v) for v in value] if isinstance(value, (list, tuple)) else None
         except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
             return None
 
     def read(texts: pd.Series) -> pd.Series:
         return texts.map(read_one)
 
-    return F.pandas_udf(read, T.ArrayType(T.StringType()))(text)
+    strings = T.ArrayType(T.StringType())
+    plain = F.rlike(text, F.lit(_PLAIN_LIST))
+    other = F.pandas_udf(read, strings)(F.when(~plain, text))
+    return F.when(plain, F.from_json(text, strings, _JSON_OPTIONS)).otherwise(other)

@@ -16,7 +16,11 @@ from examloom.fixed_values import (
     PRIOR_KNOWLEDGE_NOT_NEEDED,
 )
 from examloom.functions.labels import id_digits
-from examloom.functions.literals import parse_problem_json, parse_problem_literal
+from examloom.functions.literals import (
+    parse_list_literal,
+    parse_problem_json,
+    parse_problem_literal,
+)
 from examloom.functions.text import once
 
 PROBLEM_PARTS = ("question", "choices", "answer")
@@ -57,7 +61,12 @@ def unreadable_exam(df: DataFrame, form: str = "python") -> DataFrame:
 
 
 def nest_problems(df: DataFrame) -> DataFrame:
-    """Add `problems` as a struct of question, choices and answer."""
+    """Add `problems` as a struct of question, choices and answer.
+
+    Choices that come from a CSV as list text are read first.
+    """
+    if isinstance(df.schema["choices"].dataType, T.StringType):
+        df = df.withColumn("choices", parse_list_literal(F.col("choices")))
     return df.withColumn("problems", F.struct(*PROBLEM_PARTS))
 
 

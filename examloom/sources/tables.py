@@ -69,7 +69,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Only a local session may go without `spark.checkpoint.dir`; its one machine
     then uses a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from examloom.operators import joins
+from examloom.operators.exam import parse_problems
 from examloom.plans import augmenting, labelling, training
 from examloom.schemas import EXAM_RAW, RESPONSES
 from tests.helpers import plan
@@ -54,6 +55,19 @@ def test_augment_and_merge(spark):
     assert sorted(r["id"] for r in final.collect()) == ["a", "a_aug", "a_aug", "b"]
 
 
+def test_parsed_train_rows_merge_with_new_rows(spark):
+    """The parsed train struct has one more field; it is null in the new rows."""
+    train = parse_problems(exam(spark, "a").withColumn("paragraph", F.repeat(F.lit("p"), 300)),
+                           into="parsed").select("id", "paragraph", F.col("parsed").alias("problems"))
+    new = spark.createDataFrame(
+        [("b_aug", "p" * 300, ("N", ["x"], 2), "")],
+        "id string, paragraph string, problems struct<question:string,choices:array<string>,answer:int>, "
+        "question_plus string")
+    rows = augmenting.build_train_table(train, new).orderBy("id").collect()
+    assert [(r["id"], r["problems"]["question"], r["problems"]["question_plus"], r["question_plus"])
+            for r in rows] == [("a", "Q", None, None), ("b_aug", "N", None, "")]
+
+
 def test_repeated_ids_keep_every_source_row(spark):
     """A third of all source rows share one id; each keeps its row and its reply."""
     sources = spark.range(3_000).select(

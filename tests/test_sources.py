@@ -1,6 +1,7 @@
 """CSV and Parquet edges, staging, and operators on a stream."""
 
 import os
+from types import SimpleNamespace
 from urllib.parse import urlparse
 
 import pytest
@@ -72,6 +73,8 @@ def test_labelled_csv_schema(spark, tmp_path):
     tables.write_csv(df, path)
     row = tables.read_exam_csv(spark, path, CLASSIFIED_CSV).first()
     assert (row["choices"], row["answer"], row["question_plus"]) == ("['x', 'y']", 2, None)
+    nested = ex.nest_problems(tables.read_exam_csv(spark, path, CLASSIFIED_CSV)).first()
+    assert nested["problems"]["choices"] == ["x", "y"]
 
 
 def test_write_table_overwrites(spark, tmp_path):
@@ -90,6 +93,16 @@ def test_stage_uses_the_checkpoint_folder(spark):
     assert staged.dtypes == df.dtypes and staged.count() == 10
 
 
+def test_a_cluster_needs_a_shared_folder():
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.scratch_path(cluster, "x")
+    cluster.conf.get = lambda key, default: "hdfs:///shared/"
+    assert tables.scratch_path(cluster, "x").startswith("hdfs:///shared/x-")
+
+
 def test_spread(spark):
     cores = spark.sparkContext.defaultParallelism
     assert tables.spread(spark.range(9).coalesce(1)).rdd.getNumPartitions() == cores

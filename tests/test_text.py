@@ -133,8 +133,9 @@ def test_problem_json(spark):
 
 
 def test_list_literal(spark):
-    assert evaluate(spark, literals.parse_list_literal, ["['a', \"b's\", 3]", "[]", "{'a': 1}", None]) == [
-        ["a", "b's", "3"], [], None, None]
+    values = ["['a', \"b's\", 3]", "['a', \"b's\"]", "['it\\'s\\n']", "[]", "('x',)", "{'a': 1}", "[", None]
+    assert evaluate(spark, literals.parse_list_literal, values) == [
+        ["a", "b's", "3"], ["a", "b's"], ["it's\n"], [], ["x"], None, None, None]
 
 
 # --- labels ------------------------------------------------------------------------------
