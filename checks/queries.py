@@ -453,8 +453,7 @@ def a3(spark, sf_dir):
 
 
 def epoch_report(spark, sf_dir):
-    return metrics.epoch_report(
-        fx.metric_log(spark, sf_dir), order=("ts", "event_id"), chunk=F.to_date("ts"))
+    return metrics.epoch_report(fx.metric_log(spark, sf_dir), order=("ts", "event_id"))
 
 
 @query("a4_epoch_report", f"WITH {fx.REPORT_SQL} SELECT * FROM report")

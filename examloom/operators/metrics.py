@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from examloom.fixed_values import EPOCH_REPORT_FORMAT, REPORT_NUMBER_FORMAT
-
-STEPS_PER_CHUNK = 100_000
+from examloom.sources.tables import stage
 
 
 def accuracy(df: DataFrame, prediction: str = "prediction", reference: str = "label",
@@ -18,20 +17,23 @@ def accuracy(df: DataFrame, prediction: str = "prediction", reference: str = "la
 
 
 def epoch_report(log: DataFrame, run: str = "run", order: tuple[str, ...] = ("step",),
-                 chunk: Column | None = None) -> DataFrame:
+                 ) -> DataFrame:
     """One row per evaluation with the training loss logged last before it.
 
-    A log entry without a loss leaves the previous loss standing.  A run may hold
-    a large share of all rows, so it is cut into chunks along its order (`chunk`
-    must not decrease with `order`; by default 100,000 steps).  Each chunk starts
-    from the last loss of the chunks before it and is then handled on its own.
+    A log entry without a loss leaves the previous loss standing.  A run, or a
+    short time of it, may hold a large share of all rows.  The rows are therefore
+    range-partitioned by run and order into chunks of like size; each chunk starts
+    from the last loss of its run's earlier chunks and is then handled on its own.
+    The chunk numbers are staged, so that they stay the same wherever they are used.
     """
-    chunk = F.floor(F.col(order[0]) / STEPS_PER_CHUNK) if chunk is None else chunk
     logged = F.when(F.col("event") == "log", F.col("loss"))
-    rows = log.select(
-        F.col(run), *order, chunk.alias("_chunk"), "event", "epoch",
-        "eval_loss", "eval_accuracy", logged.alias("training_loss"),
+    relevant = log.select(
+        run, *order, "event", "epoch", "eval_loss", "eval_accuracy",
+        logged.alias("training_loss"),
     ).filter((F.col("event") == "evaluate") | F.col("training_loss").isNotNull())
+    rows = stage(
+        relevant.repartitionByRange(run, *order).withColumn("_chunk", F.spark_partition_id()),
+        "metric-log")
 
     # Last loss per chunk (null if it has none): one small row per chunk.
     logged_at = F.when(F.col("training_loss").isNotNull(), F.struct(*order)

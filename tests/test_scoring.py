@@ -99,18 +99,26 @@ def test_epoch_report(spark, tmp_path):
     assert sum(lines[n:n + 5] == block for n in range(len(lines))) == 2
 
 
-def test_one_run_is_handled_in_chunks(spark):
-    """A run with all rows gives the same report for any chunk size."""
+def test_one_run_is_handled_in_chunks(spark, conf):
+    """A run that holds all rows is cut into chunks, with the same result."""
     df = spark.range(5_000).select(
         F.lit("r").alias("run"), F.col("id").alias("step"),
         F.when(F.col("id") % 7 == 3, "evaluate").otherwise("log").alias("event"),
         (F.col("id") / 100).alias("epoch"),
         F.when(F.col("id") % 1000 < 40, F.col("id").cast("double")).alias("loss"),
         F.lit(0.5).alias("eval_loss"), F.lit(0.5).alias("eval_accuracy"))
-    whole = metrics.epoch_report(df).orderBy("step").collect()
-    for width in (1, 13, 700):
-        chunked = metrics.epoch_report(df, chunk=F.floor(F.col("step") / width))
-        assert chunked.orderBy("step").collect() == whole
     logged = [n for n in range(5_000) if n % 1000 < 40 and n % 7 != 3]
-    assert [r["training_loss"] for r in whole] == [
-        float(max((n for n in logged if n < r["step"]), default=-1)) for r in whole]
+    expected = [float(max((n for n in logged if n < step), default=-1))
+                for step in range(3, 5_000, 7)]
+
+    def losses(report):
+        return [r["training_loss"] for r in report.orderBy("step").collect()]
+
+    assert losses(metrics.epoch_report(df)) == expected
+    conf("spark.sql.adaptive.enabled", "false")
+    for partitions in ("1", "3", "40"):
+        conf("spark.sql.shuffle.partitions", partitions)
+        report = metrics.epoch_report(df)
+        assert losses(report) == expected
+    tasks = {r["task"] for r in report.withColumn("task", F.spark_partition_id()).collect()}
+    assert len(tasks) > 10
