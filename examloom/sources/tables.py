@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from examloom.functions.literals import python_literal
+from examloom.operators.joins import hot_keys
 from examloom.schemas import EXAM_RAW
 
 # Quoted fields hold line breaks, and a quote inside a field is doubled.
@@ -52,6 +53,22 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str = "id",
+                   buckets: int = 1024) -> DataFrame:
+    """Write a table in buckets of its id, and return it.
+
+    For wide tables that are joined by id several times: such a join then shuffles
+    the other, smaller side only.  A hot id would put its rows into one bucket;
+    write those tables with `write_table` and leave the spreading to the join.
+    """
+    hot = hot_keys(df, key)
+    if hot:
+        raise ValueError(f"{len(hot)} values of {key} hold too many rows for buckets")
+    df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(
+        buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows over the cores when the input has only a few partitions.
 

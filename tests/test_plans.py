@@ -1,11 +1,13 @@
 """Compositions on small hand-made tables, and behaviour under skew."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from examloom.operators import joins
 from examloom.operators.exam import parse_problems
 from examloom.plans import augmenting, labelling, training
 from examloom.schemas import EXAM_RAW, RESPONSES
+from examloom.sources import tables
 from tests.helpers import plan
 
 PROBLEM = "{'question': 'Q', 'choices': ['x', 'y', 'z', 'v'], 'answer': 1}"
@@ -112,6 +114,22 @@ def test_hot_id_is_spread_over_tasks(spark, conf):
     assert len(tasks_of_hot_rows(salted)) > 3
 
 
+def test_bucketed_questions_are_not_shuffled(spark, conf, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    questions = spark.range(500).select(
+        F.concat(F.lit("q"), "id").alias("id"), F.lit("wide").alias("paragraph"))
+    stored = tables.write_bucketed(questions, "questions", str(tmp_path / "q"), buckets=8)
+    replies = questions.select("id", F.lit("bold").alias("source"), F.lit(1).alias("attempt"),
+                               F.lit("**New Question:** N\n**New Choices:**\n1. a\n\n"
+                                     "**New Answer:** 1").alias("text"))
+    matched = augmenting.match_replies(stored, replies, "bold")
+    text = plan(matched)
+    assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 1
+    assert matched.filter("answer = 1").count() == 500
+    with pytest.raises(ValueError, match="too many rows"):
+        tables.write_bucketed(hot_left(spark), "hot", str(tmp_path / "h"), buckets=8)
+
+
 def test_plain_join_without_hot_ids(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("id"))
     assert "_salt" not in plan(joins.join_by_id(df, df.withColumn("x", F.lit(1))))

@@ -1,5 +1,7 @@
 """Reply parsers, acceptance and first usable attempt."""
 
+from random import Random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +49,28 @@ def test_bold_reply(spark, case):
     assert [tuple(r) for r in evaluate(spark, parse_bold_reply, [reply])] == [expected]
 
 
+def test_bold_reply_against_the_definition(spark):
+    """A line is inside a list if a heading stands before it with no blank line between."""
+    pool = ["**New Question:** Q1", "**New Question:** Q2 ", "**New Choices:**", "1. a", " 2. b. c",
+            "text", "", " \t", "**New Answer:** 3", "**New Answer:** no", "12) z", "9. no"]
+    random = Random(7)
+    replies = [[random.choice(pool) for _ in range(random.randrange(14))] for _ in range(300)]
+
+    def inside(lines, n):
+        before = [m for m in range(n) if lines[m] == "**New Choices:**"]
+        return bool(before) and all(line.strip() for line in lines[before[-1]:n])
+
+    def expected(lines):
+        texts = {"1. a": "a", " 2. b. c": "b. c", "12) z": "12) z"}
+        asked = [line for line in lines if "Question" in line]
+        found = [texts[x] for n, x in enumerate(lines) if x in texts and inside(lines, n)]
+        answered = any(x == "**New Answer:** 3" and not inside(lines, n) for n, x in enumerate(lines))
+        return (asked[-1][18:].strip() if asked else "", found, 3 if answered else None)
+
+    got = evaluate(spark, parse_bold_reply, ["\n".join(lines) for lines in replies])
+    assert [tuple(r) for r in got] == [expected(lines) for lines in replies]
+
+
 FIVE = "1. a\n2. b\n3. c\n4. d\n5. e"
 ABCDE = ["a", "b", "c", "d", "e"]
 KOREAN = {
