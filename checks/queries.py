@@ -4,7 +4,6 @@ long texts are compared by digest and length, doubles are rounded to six digits.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from checks import fixtures as fx
 from checks.registry import query
@@ -327,8 +326,10 @@ def t2(spark, sf_dir):
         "doc_id", F.col("prior_knowledge_needed").alias("prior"))
 
 
-MIXED_ID_SPARK = "CASE doc_id % 3 WHEN 0 THEN concat('exam-', doc_id) WHEN 1 THEN concat(source, '-', doc_id) ELSE lang END"
-MIXED_ID_SQL = "CASE doc_id % 3 WHEN 0 THEN 'exam-' || doc_id WHEN 1 THEN source || '-' || doc_id ELSE lang END"
+MIXED_ID_SPARK = """CASE doc_id % 3 WHEN 0 THEN concat('exam-', doc_id)
+    WHEN 1 THEN concat(source, '-', doc_id) ELSE lang END"""
+MIXED_ID_SQL = """CASE doc_id % 3 WHEN 0 THEN 'exam-' || doc_id
+    WHEN 1 THEN source || '-' || doc_id ELSE lang END"""
 
 
 @query("t3_extract_id_number", f"""WITH ids AS (SELECT doc_id, {MIXED_ID_SQL} AS id FROM documents)

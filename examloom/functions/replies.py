@@ -44,9 +44,9 @@ def parse_bold_reply(text) -> Column:
     its block is the option list; answer lines count only outside such a list.
     The last question line and the last readable answer win.
     """
-    blank_line = rf"(?Umd)^{INLINE_SPACE}*$"
+    blank_line = rf"(?Umd)^{INLINE_SPACE}*+$"
     heading = rf"(?md)^{_quoted(BOLD_CHOICES)}.*$"
-    option = rf"(?Umd)^{INLINE_SPACE}*([1-5].*)$"
+    option = rf"(?Umd)^{INLINE_SPACE}*+([1-5].*)$"
 
     def options(part):
         listed = F.coalesce(F.get(part, F.lit(1)), F.lit(""))

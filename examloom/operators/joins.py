@@ -17,7 +17,7 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_MIN_ROWS) -> list:
     """
     counts = df.groupBy(key).count().filter(F.col("count") >= min_rows)
     top = counts.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).select(key)
-    return [r[0] for r in top.collect() if r[0] is not None]
+    return [r[0] for r in top.collect()]
 
 
 def join_by_id(left: DataFrame, right: DataFrame, key: str = "id",
@@ -32,7 +32,10 @@ def join_by_id(left: DataFrame, right: DataFrame, key: str = "id",
     hot = hot_keys(left, key, min_rows)
     if not hot:
         return left.join(right, key, "left")
-    is_hot = F.col(key).isin(hot)
+    is_hot = F.col(key).isin([k for k in hot if k is not None])
+    if None in hot:  # rows without an id match nothing, but would share one task
+        is_hot = is_hot | F.col(key).isNull()
+    is_hot = F.coalesce(is_hot, F.lit(False))
     salted = left.withColumn(
         "_salt", F.when(is_hot, F.spark_partition_id() % SALTS).otherwise(F.lit(0)))
     groups = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
