@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from examloom.llm import exact_dedup, quality
+from examloom.llm import exact_dedup, licenses, quality
 from examloom.llm.registry import query
 
 
@@ -20,3 +20,8 @@ def op8(spark, sf_dir):
 @query("op9_exact_dedup", exact_dedup.SQL)
 def op9(spark, sf_dir):
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"), exact_dedup.new_index(spark))
+
+
+@query("op7_license_scan", licenses.SQL)
+def op7(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
