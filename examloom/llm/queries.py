@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from examloom.llm import exact_dedup, licenses, quality
+from examloom.llm import chat, exact_dedup, licenses, mixing, quality
 from examloom.llm.registry import query
 
 
@@ -25,3 +25,15 @@ def op9(spark, sf_dir):
 @query("op7_license_scan", licenses.SQL)
 def op7(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op1_mix_sources", mixing.SQL)
+def op1(spark, sf_dir):
+    return mixing.select(table(spark, sf_dir, "documents"))
+
+
+@query("op10_chat_format", chat.SQL)
+def op10(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)], turns.schema)
+    return chat.read_back(chat.format_chats(turns.unionByName(probe)))
