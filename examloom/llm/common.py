@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 WHITE = r"\x20\x09-\x0D"  # white space of the contracts
@@ -94,5 +93,15 @@ def unsigned32(value: Column) -> Column:
     return value.bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def blocks(texts, limit: int):
+    """(start, stop) of runs of an Arrow text column with about `limit` bytes, one row at least."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(ends):
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
+        yield start, stop
+        start = stop

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from examloom.llm import chat, exact_dedup, licenses, mixing, quality
+from examloom.llm import bpe, chat, exact_dedup, licenses, mixing, quality
 from examloom.llm.registry import query
 
 
@@ -37,3 +37,11 @@ def op10(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)], turns.schema)
     return chat.read_back(chat.format_chats(turns.unionByName(probe)))
+
+
+@query("op5_byte_bpe")
+def op5(spark, sf_dir):
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
