@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from examloom.llm import bpe, chat, exact_dedup, licenses, mixing, quality
+from examloom.llm import bpe, chat, exact_dedup, extraction, licenses, mixing, quality
 from examloom.llm.registry import query
 
 
@@ -45,3 +45,8 @@ def op5(spark, sf_dir):
 
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op3_html_extraction")
+def op3(spark, sf_dir):
+    return extraction.extract(table(spark, sf_dir, "pages"))
