@@ -64,13 +64,14 @@ def attach(left: DataFrame, groups: DataFrame, key: str, rows: str) -> DataFrame
 
 
 def running(df: DataFrame, group: list[str], order: str, weight: Column, out: str,
-            buckets: int) -> DataFrame:
+            buckets: int, ties: list[str] | None = None) -> DataFrame:
     """Sum of `weight` over the earlier rows of the group, in ascending `order`.
 
     For groups of any size: `order` is a hash (long) whose top bits cut a group
     into `buckets` ranges (rounded up to a power of two).  Sums per range are combined before their shuffle and added up in a window
     of `buckets` rows a group; the rows themselves meet in windows of one range.  Rows
-    of one hash value share their sum.
+    of one hash value share their sum; with `ties` they are told apart by those columns,
+    and rows equal in them too are taken in any order.
     """
     bits = max(0, (buckets - 1).bit_length())
     bucket = F.shiftright(order, 64 - bits) if bits else F.lit(0).cast("long")
@@ -79,7 +80,9 @@ def running(df: DataFrame, group: list[str], order: str, weight: Column, out: st
     sums = rows.groupBy(*group, "_bucket").agg(F.sum("_weight").alias("_sum"))
     before = W.partitionBy(*group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     sums = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
-    inside = W.partitionBy(*group, "_bucket").orderBy(order).rangeBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*group, "_bucket")
+    inside = inside.orderBy(order).rangeBetween(W.unboundedPreceding, -1) if ties is None else \
+        inside.orderBy(order, *ties).rowsBetween(W.unboundedPreceding, -1)
     same = F.lit(True)
     for name in [*group, "_bucket"]:
         same = same & F.col(f"r.{name}").eqNullSafe(F.col(f"s.{name}"))

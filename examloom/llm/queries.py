@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from examloom.llm import bpe, chat, exact_dedup, extraction, licenses, mixing, quality
+from examloom.llm import bpe, chat, exact_dedup, extraction, licenses, mixing, quality, sharding
 from examloom.llm.registry import query
 
 
@@ -50,3 +50,8 @@ def op5(spark, sf_dir):
 @query("op3_html_extraction")
 def op3(spark, sf_dir):
     return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op4_sharding")
+def op4(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"))
