@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from examloom.llm import bpe, chat, exact_dedup, extraction, licenses, mixing, quality, sharding
+from examloom.llm import bpe, chat, exact_dedup, extraction, jaccard, licenses, mixing, quality, sharding
 from examloom.llm.registry import query
 
 
@@ -55,3 +55,8 @@ def op3(spark, sf_dir):
 @query("op4_sharding")
 def op4(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query("op2_ngram_jaccard")
+def op2(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"), jaccard.Threshold(85, 4))
