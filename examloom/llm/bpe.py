@@ -216,6 +216,11 @@ def codec(path: str, pattern: str) -> Codec:
     return _CODECS[path, pattern]
 
 
+TRAINING = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()),
+    T.StructField("ids", T.BinaryType()), T.StructField("exact", T.BooleanType())])
+
+
 def _run(docs: DataFrame, path: str, pattern: str, row, schema) -> DataFrame:
     names = schema.fieldNames()
 
@@ -226,25 +231,30 @@ def _run(docs: DataFrame, path: str, pattern: str, row, schema) -> DataFrame:
                 doc_ids, texts = (batch.column(i).slice(start, stop - start).to_pylist() for i in (0, 1))
                 encoded = own.encode(texts)
                 decoded = own.decode(encoded)
-                columns = zip(*[row(*x) for x in zip(doc_ids, encoded, decoded)])
+                columns = zip(*[row(*x) for x in zip(doc_ids, texts, encoded, decoded)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), t) for c, t in zip(columns, types)], names)
 
-    kinds = {"long": pa.int64(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    kinds = {"long": pa.int64(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(),
+             "boolean": pa.bool_()}
     types = [kinds[f.dataType.typeName()] for f in schema.fields]
     rows = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"),
                        F.coalesce(F.col("`text`").cast("string"), F.lit("")).alias("text"))
     return rows.mapInArrow(work, schema)
 
 
-def _whole(doc_id, ids: bytes, decoded: bytes):
+def _whole(doc_id, text: str, ids: bytes, decoded: bytes):
     return doc_id, len(ids) // 4, ids, decoded
 
 
-def _digested(doc_id, ids: bytes, decoded: bytes):
+def _digested(doc_id, text: str, ids: bytes, decoded: bytes):
     return doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
+def _training(doc_id, text: str, ids: bytes, decoded: bytes):
+    return doc_id, len(ids) // 4, ids, decoded == text.encode()
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids (little-endian unsigned 32-bit), decoded bytes.
 
@@ -258,3 +268,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """As `encode_documents`, with the digests of ids and decoded bytes in their place."""
     return _run(docs, path, pattern, _digested, DIGESTS)
+
+
+def training_rows(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """As `encode_documents`, with a flag that the ids decode to the text in place of the bytes."""
+    return _run(docs, path, pattern, _training, TRAINING)

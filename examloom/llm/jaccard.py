@@ -55,9 +55,14 @@ class Threshold:
         return 100 * overlap >= self.percent * (n + m - overlap)
 
 
+def _text_key(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(docs["`text`"].cast("string"), F.lit("")))
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("`doc_id`").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("`text`").cast("string"), F.lit("")).alias("text"))
+                       F.coalesce(F.col("`text`").cast("string"), F.lit("")).alias("text"),
+                       _text_key(docs).alias("text_key"))
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -130,11 +135,11 @@ def _lists(spans: np.ndarray, tokens: np.ndarray) -> pa.Array:
 
 
 def document_sets(docs: DataFrame, table, threshold: Threshold) -> DataFrame:
-    """doc_id, set_id, n, prefix under the first order, parity map m0..m3 of every document."""
+    """doc_id, text_key, set_id, n, prefix under the first order, parity map m0..m3 of every document."""
     k = threshold.k
     maps = [f"m{i}" for i in range(MAP_WORDS)]
-    schema = "doc_id long, set_id long, n long, prefix array<long>, " + ", ".join(f"{m} long" for m in maps)
-    names = ["doc_id", "set_id", "n", "prefix", *maps]
+    schema = "doc_id long, text_key long, set_id long, n long, prefix array<long>, " + ", ".join(f"{m} long" for m in maps)
+    names = ["doc_id", "text_key", "set_id", "n", "prefix", *maps]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = table.value
@@ -149,7 +154,7 @@ def document_sets(docs: DataFrame, table, threshold: Threshold) -> DataFrame:
                 flips = np.bincount(rows * 64 * MAP_WORDS + bit, minlength=len(part) * 64 * MAP_WORDS) & 1
                 packed = np.packbits(flips.astype(np.uint8).reshape(len(part), -1), axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), _signed(_set_ids(rows, hashes, spans)), pa.array(np.diff(spans)),
+                    part.column(0), part.column(2), _signed(_set_ids(rows, hashes, spans)), pa.array(np.diff(spans)),
                     _lists(cut, tokens), *[pa.array(np.ascontiguousarray(packed[:, i])) for i in range(MAP_WORDS)]], names)
 
     return _texts(docs).mapInArrow(work, schema)
@@ -237,10 +242,16 @@ def _verified(pairs: DataFrame, whole: DataFrame, threshold: Threshold) -> DataF
         threshold.linked(overlap, F.col("u_n"), F.col("v_n"))).select("u", "v")
 
 
+def _rank() -> Column:
+    """By this the first document of a component is the one to stay: smallest id, then text."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+
+
 def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc_id, set_id, n) and sets (set_id, mult documents, component_id).
+    """Documents (doc_id, text_key, set_id, n) and sets (set_id, _n documents, component_id, first).
 
-    component_id is the smallest doc_id that links reach.  Documents without words have
+    component_id is the smallest doc_id that links reach, `first` the document that stands for
+    the component.  Documents without words have
     set_id 0, n 0 and no links.
     """
     spark, k = docs.sparkSession, threshold.k
@@ -255,7 +266,7 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     maps = [f"m{i}" for i in range(MAP_WORDS)]
     # All columns but doc_id depend on the set alone.
     sets = staged(found.filter("n > 0").groupBy("set_id").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("mult"),
+        F.min("doc_id").alias("rep"), F.count("*").alias("mult"), F.min(_rank()).alias("first"),
         *[F.first(c).alias(c) for c in ("n", "prefix", *maps)]), "sets")
 
     # Postings of the tokens that several sets share.
@@ -308,12 +319,14 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
         links = links.unionByName(verify(second))
         labels = staged(components(links), "components")
 
-    named = sets.select("set_id", "mult", "rep").join(
+    named = sets.select("set_id", "mult", "rep", "first").join(
         labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", label)
     named = staged(named, "named-sets")
-    least = staged(named.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("_n")), "least")
-    out = attach(named, least, "component", "_n").select("set_id", F.col("mult").alias("_n"), "component_id")
-    return found.select("doc_id", "set_id", "n"), staged(out, "set-components")
+    least = staged(named.groupBy("component").agg(F.min("rep").alias("component_id"), F.min("first").alias("head"),
+                                                 F.count("*").alias("_n")), "least")
+    out = attach(named.drop("first"), least, "component", "_n").select(
+        "set_id", F.col("mult").alias("_n"), "component_id", F.col("head").alias("first"))
+    return found.select("doc_id", "text_key", "set_id", "n"), staged(out, "set-components")
 
 
 def join(docs: DataFrame, threshold: Threshold) -> DataFrame:
@@ -328,3 +341,17 @@ def join(docs: DataFrame, threshold: Threshold) -> DataFrame:
         "doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.unionByName(found.filter("n = 0").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, threshold: Threshold = Threshold()) -> DataFrame:
+    """The documents with one of each group of linked ones, with all their columns.
+
+    The smallest id of a group stays (null ids last, then by a hash of the text); rows equal in
+    id and text are one document and stay or go together.  Documents without words stay.
+    """
+    found, sets = link(docs, threshold)
+    gone = attach(found.filter("n > 0"), sets, "set_id", "_n").filter(~_rank().eqNullSafe(F.col("first"))).select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    gone = staged(gone.distinct(), "near-copies")
+    same = docs["doc_id"].cast("long").eqNullSafe(gone["__id"]) & (_text_key(docs) == gone["__key"])
+    return docs.join(gone, same, "left_anti")
