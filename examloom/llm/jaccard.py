@@ -21,13 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from examloom.llm import shingles
+from examloom.llm import shingles, sketches
 from examloom.llm.common import attach, blocks, partitions, staged
 from examloom.llm.components import components
 
 BLOCK_BYTES = 1 << 20
 COUNTERS = 1 << 20        # of the table of counts: 4 MB, whatever the corpus
-CELL = 1 << 10            # counters per row while they are summed up
 CANDIDATE_BITS = 1 << 24  # of the map of documents to verify: 2 MB; more documents only fill it
 ORDER_SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)  # of the orders after the first
 HOT = 1_000               # sets of one token compared by one task with all of that token
@@ -84,42 +83,6 @@ def _set_ids(rows: np.ndarray, hashes: np.ndarray, spans: np.ndarray) -> np.ndar
     return np.where(a == b, np.uint64(0), ids | np.uint64(1))
 
 
-def count_table(rows: DataFrame, hashes, counters: int = COUNTERS) -> np.ndarray:
-    """How many of `hashes(batch)` fall on each counter, over all batches of all tasks.
-
-    Each task sums up its own table; cells of the tables are shuffled and added, and
-    the whole table, whose size is fixed, comes to the driver.
-    """
-    shift = np.uint64(64 - (counters.bit_length() - 1))
-    schema = "cell long, counts binary"
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(counters, np.int64)
-        for batch in batches:
-            for h in hashes(batch):
-                table += np.bincount((h >> shift).astype(np.int64), minlength=counters)
-        table = np.minimum(table, 2**32 - 1).astype(np.uint32).reshape(-1, CELL)
-        used = np.flatnonzero(table.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array([table[i].tobytes() for i in used], pa.binary())], ["cell", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for cell, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = sums.setdefault(cell, np.zeros(CELL, np.int64))
-                own += np.frombuffer(raw, np.uint32)
-        out = [(c, np.minimum(s, 2**32 - 1).astype(np.uint32).tobytes()) for c, s in sums.items()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([c for c, _ in out], pa.int64()), pa.array([s for _, s in out], pa.binary())], ["cell", "counts"])
-
-    added = rows.mapInArrow(count, schema).repartition(partitions(rows.sparkSession), "cell").mapInArrow(add, schema)
-    table = np.zeros((counters // CELL, CELL), np.uint32)
-    for r in added.collect():  # counters / CELL rows
-        table[r["cell"]] = np.frombuffer(r["counts"], np.uint32)
-    return table.reshape(-1)
-
-
 def _prefixes(rows, hashes, spans, rank, order, threshold: Threshold):
     """(spans, tokens) of the prefixes: the tokens of least (rank, order) in each set."""
     by = np.lexsort((order, rank, rows))
@@ -143,13 +106,12 @@ def document_sets(docs: DataFrame, table, threshold: Threshold) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = table.value
-        shift = np.uint64(64 - (len(counts).bit_length() - 1))
         for batch in batches:
             for start, stop in blocks(batch.column(1), BLOCK_BYTES):
                 part = batch.slice(start, stop - start)
                 rows, hashes = shingles.shingle_sets(part.column(1), k)
                 spans = _spans(rows, len(part))
-                cut, tokens = _prefixes(rows, hashes, spans, counts[hashes >> shift], hashes, threshold)
+                cut, tokens = _prefixes(rows, hashes, spans, sketches.counted(counts, hashes), hashes, threshold)
                 bit = (hashes & np.uint64(64 * MAP_WORDS - 1)).astype(np.int64)
                 flips = np.bincount(rows * 64 * MAP_WORDS + bit, minlength=len(part) * 64 * MAP_WORDS) & 1
                 packed = np.packbits(flips.astype(np.uint8).reshape(len(part), -1), axis=1).view(np.int64)
@@ -160,26 +122,22 @@ def document_sets(docs: DataFrame, table, threshold: Threshold) -> DataFrame:
     return _texts(docs).mapInArrow(work, schema)
 
 
-def whole_sets(docs: DataFrame, table, wanted: np.ndarray, threshold: Threshold) -> DataFrame:
+def whole_sets(docs: DataFrame, table, wanted, threshold: Threshold) -> DataFrame:
     """doc_id, set_id, n, tokens, prefixes p2 and p3 under the other orders, of the documents whose
     id is in the map `wanted` (and a few others)."""
-    k, spark = threshold.k, docs.sparkSession
-    marked = spark.sparkContext.broadcast(np.packbits(wanted > 0))
-    shift_id = np.uint64(64 - (len(wanted).bit_length() - 1))
+    k = threshold.k
     schema = "doc_id long, set_id long, n long, tokens array<long>, p2 array<long>, p3 array<long>"
     names = ["doc_id", "set_id", "n", "tokens", "p2", "p3"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, bits = table.value, marked.value
-        shift = np.uint64(64 - (len(counts).bit_length() - 1))
+        counts, bits = table.value, wanted.value
         for batch in batches:
-            h = (_id_hash(batch.column(0)) >> shift_id).astype(np.int64)
-            batch = batch.filter(pa.array((bits[h >> 3] >> (7 - (h & 7)).astype(np.uint8) & 1).astype(bool)))
+            batch = batch.filter(pa.array(sketches.marked(bits, _id_hash(batch.column(0)))))
             for start, stop in blocks(batch.column(1), BLOCK_BYTES):
                 part = batch.slice(start, stop - start)
                 rows, hashes = shingles.shingle_sets(part.column(1), k)
                 spans = _spans(rows, len(part))
-                rank = np.log2(counts[hashes >> shift] + np.uint32(1)).astype(np.int64)
+                rank = np.log2(sketches.counted(counts, hashes) + 1.0).astype(np.int64)
                 more = [_lists(*_prefixes(rows, hashes, spans, rank, shingles.mix(hashes ^ np.uint64(s)), threshold))
                         for s in ORDER_SEEDS]
                 yield pa.RecordBatch.from_arrays([
@@ -261,7 +219,7 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
         for start, stop in blocks(batch.column(1), BLOCK_BYTES):
             yield shingles.shingle_sets(batch.column(1).slice(start, stop - start), k)[1]
 
-    table = spark.sparkContext.broadcast(count_table(texts, hashes))
+    table = spark.sparkContext.broadcast(sketches.count_table(texts, hashes, COUNTERS))
     found = staged(document_sets(docs, table, threshold), "document-sets")
     maps = [f"m{i}" for i in range(MAP_WORDS)]
     # All columns but doc_id depend on the set alone.
@@ -290,7 +248,8 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     def verify(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct()
         reps = staged(nodes.join(sets.select("set_id", "rep"), "set_id").select("rep", "set_id"), "to-verify")
-        wanted = count_table(reps, lambda batch: [_id_hash(batch.column(0))], CANDIDATE_BITS)
+        wanted = spark.sparkContext.broadcast(
+            sketches.bit_map(reps, lambda batch: [_id_hash(batch.column(0))], CANDIDATE_BITS))
         whole = whole_sets(docs, table, wanted, threshold)
         whole = whole.join(reps.select("set_id"), "set_id", "left_semi")
         whole = staged(whole.dropDuplicates(["set_id"]), "whole-sets")
