@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from examloom.llm import bpe, chat, exact_dedup, extraction, jaccard, licenses, mixing, quality, sharding
+from examloom.llm import bpe, chat, exact_dedup, extraction, jaccard, licenses, long_repeats, mixing, quality, sharding
 from examloom.llm.registry import query
 
 
@@ -60,3 +60,9 @@ def op4(spark, sf_dir):
 @query("op2_ngram_jaccard")
 def op2(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents"), jaccard.Threshold(85, 4))
+
+
+@query("op6_long_repeats")
+def op6(spark, sf_dir):
+    kept = long_repeats.remove(table(spark, sf_dir, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
