@@ -15,11 +15,12 @@ from pyspark.sql import types as T
 
 from examloom.functions.literals import python_literal
 from examloom.schemas import PROBLEMS
-from examloom.sources.tables import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    """The whole table, dealt over all cores: these files are of one row group each."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 # --- exam questions -----------------------------------------------------------------
@@ -37,7 +38,7 @@ def exam(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text AS paragraph",
         "concat(source, char(39), 's passage in ', lang, ': which statement fits?') AS question",
         f"CASE WHEN doc_id % 2 = 1 THEN {five} ELSE {four} END AS choices",
-        "cast(doc_id % (4 + doc_id % 2) + 1 AS int) AS answer",
+        "doc_id % (4 + doc_id % 2) + 1 AS answer",
         "CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 2 THEN text END AS question_plus",
     )
 
@@ -50,7 +51,7 @@ EXAM_SQL = r"""exam AS (
          CASE WHEN doc_id % 2 = 1
               THEN [source, lang, lang || '-' || source, n_chars::VARCHAR, 'c:\' || doc_id]
               ELSE [source, lang, lang || '-' || source, n_chars::VARCHAR] END AS choices,
-         (doc_id % (4 + doc_id % 2) + 1)::INTEGER AS answer,
+         (doc_id % (4 + doc_id % 2) + 1)::BIGINT AS answer,
          CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 2 THEN text END AS question_plus
   FROM documents)"""
 
@@ -65,17 +66,39 @@ def flat_exam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return append_sentinel_choice(exam(spark, sf_dir))
 
 
-def exam_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows whose `problems` is dict text; extra material is a key only if present."""
+def exam_raw(spark: SparkSession, sf_dir: str, odd: bool = False) -> DataFrame:
+    """Raw rows whose `problems` is dict text; extra material is a key only if present.
+
+    `odd`: most rows are literals outside the usual shape, five of eight unreadable.
+    """
     rows = exam(spark, sf_dir)
     with_extra = python_literal(F.struct(*PROBLEMS.fieldNames()), PROBLEMS)
     without = T.StructType(PROBLEMS.fields[:3])
     plain = python_literal(F.struct(*without.fieldNames()), without)
-    return rows.select(
-        "doc_id", "id", "paragraph",
-        F.when(F.col("question_plus").isNull(), plain).otherwise(with_extra).alias("problems"),
-        "question_plus",
-    )
+    rows = rows.withColumn(
+        "problems", F.when(F.col("question_plus").isNull(), plain).otherwise(with_extra))
+    if odd:
+        rows = rows.withColumn("problems", F.expr(ODD_PROBLEMS_SPARK))
+    return rows.select("doc_id", "id", "paragraph", "problems", "question_plus")
+
+
+# Literals outside the usual shape by doc_id % 8; the last five cannot be read.
+ODD_PROBLEMS_SPARK = r'''CASE doc_id % 8
+  WHEN 0 THEN problems
+  WHEN 1 THEN concat('{"choices": ["', choices[1], '\\x41", r"b\\n", u"c"], "answer": "2", "question": "', source, '"}')
+  WHEN 2 THEN concat('{"answer": 3000000000, "question": """', source, '""", "choices": ("', choices[1], '", "z"),}')
+  WHEN 3 THEN concat('{"question": "', source, '", "choices": "xyz", "answer": 1}')
+  WHEN 4 THEN concat('{"question": "', source, '", "choices": ["a"], "answer": 1.7}')
+  WHEN 5 THEN concat('{"question": "', source, '", "choices": ["a"], "answer": 99999999999999999999}')
+  WHEN 6 THEN concat('{"question": "', source, '", "choices": ["a"], "answer": 1e999}')
+  ELSE concat(source, ' {') END'''
+ODD_PROBLEMS_SQL = r"""odd AS (SELECT doc_id, id,
+  CASE doc_id % 8 WHEN 0 THEN question WHEN 1 THEN source WHEN 2 THEN source END AS question,
+  CASE doc_id % 8 WHEN 0 THEN choices WHEN 1 THEN [lang || 'A', 'b\n', 'c'] WHEN 2 THEN [lang, 'z'] END AS choices,
+  CASE doc_id % 8 WHEN 0 THEN answer WHEN 1 THEN 2 WHEN 2 THEN 3000000000 END AS answer,
+  CASE WHEN doc_id % 8 = 0 THEN question_plus END AS question_plus,
+  CASE WHEN doc_id % 8 > 2 THEN 'unreadable problem' END AS reason
+  FROM exam JOIN documents USING (doc_id))"""
 
 
 # The same dict text.  Documents hold neither single quotes nor backslashes.
@@ -148,7 +171,7 @@ BOLD_SQL = """bold AS (
          CASE WHEN doc_id // 6 % 6 = 5 THEN '' ELSE 'Where is ' || source || ' from?' END AS question,
          CASE WHEN doc_id // 6 % 6 IN (2, 5) THEN []
               ELSE ['one', 'two. b', '3 three', 'four', 'five'] END AS choices,
-         CASE doc_id // 6 % 6 WHEN 0 THEN 3 WHEN 2 THEN 2 WHEN 4 THEN 4 END::INTEGER AS answer,
+         CASE doc_id // 6 % 6 WHEN 0 THEN 3 WHEN 2 THEN 2 WHEN 4 THEN 4 END::BIGINT AS answer,
          doc_id // 6 % 6 IN (0, 4) AS valid
   FROM documents)"""
 
@@ -187,7 +210,7 @@ KOREAN_SQL = """korean AS (
               WHEN attempt = 1 AND kind = 2 THEN ['하나', '둘', '3) 셋', '넷. 사']
               ELSE ['하나', '둘', '3) 셋', '넷. 사', '다섯'] END AS choices,
          CASE WHEN attempt = 1 THEN CASE kind WHEN 0 THEN 2 WHEN 1 THEN 9 WHEN 4 THEN 1 END
-              ELSE CASE kind WHEN 2 THEN 5 WHEN 3 THEN NULL ELSE 1 END END::INTEGER AS answer,
+              ELSE CASE kind WHEN 2 THEN 5 WHEN 3 THEN NULL ELSE 1 END END::BIGINT AS answer,
          (attempt = 1 AND kind IN (0, 1, 4)) OR (attempt = 2 AND kind = 2) AS valid
   FROM (SELECT *, doc_id // 6 % 6 AS kind FROM documents), (VALUES (1), (2)) v(attempt))"""
 
@@ -214,6 +237,17 @@ ANSWER_SQL = """CASE WHEN idx < 5 THEN (idx + 1)::VARCHAR
        WHEN idx = 5 THEN (('0x' || substr(md5('42:' || id), 1, 8))::BIGINT % 5 + 1)::VARCHAR END"""
 
 
+HOURLY_REPORT_SQL = """report AS (
+  SELECT user_id::VARCHAR AS run, hour, floor(event_id / 1000)::INTEGER::VARCHAR AS epoch,
+         training_loss, value AS validation_loss, (event_id % 100) / 100::DOUBLE AS accuracy
+  FROM (SELECT *, last_value(loss IGNORE NULLS) OVER (
+                    PARTITION BY user_id ORDER BY hour, event_type = 'purchase', loss NULLS FIRST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS training_loss
+        FROM (SELECT *, strftime(ts, '%Y-%m-%d %H') AS hour,
+                     CASE WHEN event_type IN ('click', 'view') THEN value END AS loss FROM events))
+  WHERE event_type = 'purchase')"""
+
+
 def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a training log: one run per user, purchases are evaluations."""
     return table(spark, sf_dir, "events").selectExpr(

@@ -3,6 +3,7 @@ long texts are compared by digest and length, doubles are rounded to six digits.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
@@ -69,33 +70,46 @@ def s2_csv(spark, sf_dir):
     return tables.read_exam_csv(spark, path).select("id", digest(F.col("problems"), "problems"))
 
 
+# Templates of a user, written as files; slots in another order, and one of them left out.
+OWN_PLAIN = "Q: {question}\n{choices}\n\n{paragraph}\n"
+OWN_MATERIAL = "{question_plus} / {question}\n{choices}\n"
+OWN_SLOTS = {"paragraph": "paragraph", "question": "question", "question_plus": "question_plus",
+             "choices": fx.NUMBERED_SQL}
+
+
 @query("s3_prompt_templates", f"""WITH {fx.EXAM_SQL}
-SELECT id, md5(CASE WHEN coalesce(question_plus, '') <> '' THEN {fx.sql_text(fv.PROMPT_WITH_MATERIAL)}
-                    ELSE {fx.sql_text(fv.PROMPT_PLAIN)} END) AS template FROM exam""")
+SELECT id, md5(CASE WHEN coalesce(question_plus, '') <> '' THEN {fx.sql_fill(OWN_MATERIAL, **OWN_SLOTS)}
+                    ELSE {fx.sql_fill(OWN_PLAIN, **OWN_SLOTS)} END) AS prompt FROM exam""")
 def s3(spark, sf_dir):
-    chosen = prompt_fns.question_template(F.col("question_plus"), **templates.prompt_templates())
-    return fx.exam(spark, sf_dir).select("id", digest(chosen, "template"))
+    paths = {}
+    for name, text in (("plain", OWN_PLAIN), ("material", OWN_MATERIAL)):
+        paths[name] = tables.scratch_path(spark, f"template-{name}")
+        spark.createDataFrame([(text[:-1],)], "value string").coalesce(1).write.text(paths[name])
+    own = templates.prompt_templates(spark, paths["plain"], paths["material"])
+    rendered = messages.render_prompt(fx.exam(spark, sf_dir), templates=own)
+    return rendered.select("id", digest(F.col("prompt"), "prompt"))
 
 
 @query("s4_write_epoch_report", f"""WITH {fx.REPORT_SQL},
 blocks AS (SELECT 'Epoch : ' || epoch || ',' || chr(10)
     || 'Training Loss : ' || coalesce(printf('%.6f', training_loss), 'None') || ',' || chr(10)
     || 'Validation Loss : ' || printf('%.6f', validation_loss) || ',' || chr(10)
-    || 'Accuracy : ' || printf('%.6f', accuracy) || chr(10) || repeat('#', 25) AS block FROM report)
-SELECT unnest(string_split(block, chr(10))) AS line FROM blocks""")
+    || 'Accuracy : ' || printf('%.6f', accuracy) || chr(10) AS block FROM report)
+SELECT block FROM blocks""")
 def s4(spark, sf_dir):
     path = tables.scratch_path(spark, "epoch-report")
     reports.write_epoch_report(epoch_report(spark, sf_dir), path, "run", "event_id")
-    return spark.read.text(path).select(F.col("value").alias("line"))
+    whole_blocks = spark.read.option("lineSep", "#" * 25 + "\n").text(path)
+    return whole_blocks.select(F.col("value").alias("block"))
 
 
 # --- projections, nesting, parsing ----------------------------------------------------
 
 
-@query("p1_parse_problems", f"""WITH {fx.EXAM_SQL}
-SELECT id, question, {CHOICES}, answer, md5(question_plus) AS question_plus FROM exam""")
+@query("p1_parse_problems", f"""WITH {fx.EXAM_SQL}, {fx.ODD_PROBLEMS_SQL}
+SELECT id, question, {CHOICES}, answer, md5(question_plus) AS question_plus FROM odd""")
 def p1(spark, sf_dir):
-    parsed = ex.parse_problems(fx.exam_raw(spark, sf_dir))
+    parsed = ex.parse_problems(fx.exam_raw(spark, sf_dir, odd=True))
     return parsed.select(
         "id", "p.question", joined("p.choices"), "p.answer",
         digest(F.col("p.question_plus"), "question_plus"))
@@ -197,14 +211,29 @@ def p12(spark, sf_dir):
     return chat.select("id", digest(F.col("text"), "text_md5"), F.length("text").alias("text_length"))
 
 
-@query("p12_render_chat_turns", """SELECT conv_id, turn,
+TEST_CHAT_SQL = (f"{SYSTEM_SQL} || '<start_of_turn>user' || chr(10) || {PROMPT_SQL} || '<end_of_turn>'"
+                 " || chr(10) || '<start_of_turn>model' || chr(10)")
+
+
+@query("p12_render_chat_test", f"""WITH {fx.FLAT_SQL}, chat AS (SELECT *, {TEST_CHAT_SQL} AS text FROM flat)
+SELECT id, md5(text) AS text_md5, length(text)::INTEGER AS text_length, len(choices)::INTEGER AS len_choices
+FROM chat""")
+def p12_test(spark, sf_dir):
+    chat = scoring.test_chat(fx.flat_exam(spark, sf_dir))
+    return chat.select("id", digest(F.col("text"), "text_md5"), F.length("text").alias("text_length"), "len_choices")
+
+
+# Every seventh turn has no text; conversations start at turn 3.
+@query("p12_render_chat_turns", """SELECT conv_id, turn + 3 AS turn,
   CASE WHEN role = 'user' THEN '<start_of_turn>user' || chr(10) || text || '<end_of_turn>' || chr(10)
                                || '<start_of_turn>model' || chr(10)
        WHEN role = 'assistant' THEN text || '<end_of_turn>' || chr(10)
        WHEN role = 'system' AND turn = 0 THEN text ELSE '' END AS segment
-FROM conversations""")
+FROM (SELECT * REPLACE (CASE WHEN (conv_id + turn) % 7 = 0 THEN '' ELSE text END AS text) FROM conversations)""")
 def p12_turns(spark, sf_dir):
-    turns = fx.table(spark, sf_dir, "conversations")
+    turns = fx.table(spark, sf_dir, "conversations").withColumn(
+        "text", F.when((F.col("conv_id") + F.col("turn")) % 7 != 0, F.col("text"))).withColumn(
+        "turn", F.col("turn") + 3)
     return messages.render_chat_turns(turns).select("conv_id", "turn", "segment")
 
 
@@ -295,15 +324,10 @@ def f4(spark, sf_dir):
     return ex.merge_sources(bold, korean).select("id", "source", "attempt", "valid")
 
 
-@query("f5_quarantine", f"""WITH {fx.RAW_SQL}
-SELECT id, CASE WHEN lang = 'en' THEN 'unreadable problem' END AS reason, lang <> 'en' AS kept
-FROM raw JOIN documents USING (doc_id)""")
+@query("f5_quarantine", f"""WITH {fx.EXAM_SQL}, {fx.ODD_PROBLEMS_SQL}
+SELECT id, reason, reason IS NULL AS kept FROM odd""")
 def f5(spark, sf_dir):
-    # English rows carry their paragraph where the dict text should be.
-    raw = fx.exam_raw(spark, sf_dir).withColumn(
-        "problems", F.when(F.col("problems").rlike("passage in en:"), F.col("paragraph"))
-        .otherwise(F.col("problems")))
-    parsed = ex.parse_problems(raw).select("id", "p")
+    parsed = ex.parse_problems(fx.exam_raw(spark, sf_dir, odd=True)).select("id", "p")
     flagged = tables.stage(parsed.select(
         "id", F.when(F.col("p").isNull(), F.lit("unreadable problem")).alias("reason")), "flagged")
     good, bad = ex.quarantine(flagged)
@@ -385,18 +409,22 @@ def t8(spark, sf_dir):
   CASE WHEN role = 'user' THEN chr(10) || lang END AS completion
 FROM (SELECT *, role || '!' AS lang FROM conversations)""")
 def t9(spark, sf_dir):
-    turns = messages.render_chat_turns(fx.table(spark, sf_dir, "conversations"))
+    turns = messages.render_chat_turns(fx.table(spark, sf_dir, "conversations"), first_turn=0)
     text = F.concat("segment", "role", F.lit("!"))
     return turns.select("conv_id", "turn", label_fns.completion_text(text).alias("completion"))
 
 
 @query("t10_decode_label", """SELECT vec_id, label,
-  CASE WHEN label BETWEEN 1 AND 5 THEN label - 1 END::INTEGER AS option FROM embeddings""")
+  CASE WHEN label BETWEEN 1 AND 5 THEN label - 1 END::INTEGER AS option, label NOT BETWEEN 1 AND 5 AS rejected
+FROM embeddings""")
 def t10(spark, sf_dir):
     text = F.concat(F.lit(" \n"), F.col("label").cast("string"),
                     F.lit(f"\u3000{fv.TURN_END}\n9{fv.TURN_END}"))
-    return fx.table(spark, sf_dir, "embeddings").select(
-        "vec_id", "label", label_fns.decode_label(text).alias("option"))
+    decoded, rejected = replies.decode_labels(
+        fx.table(spark, sf_dir, "embeddings").select("vec_id", "label", text.alias("text")))
+    return ex.merge_sources(
+        decoded.withColumn("rejected", F.lit(False)), rejected.withColumn("rejected", F.lit(True)),
+    ).select("vec_id", "label", "option", "rejected")
 
 
 @query("t11_token_count", f"""SELECT doc_id, len({fx.WORDS_SQL.format('text')})::INTEGER AS token_count
@@ -411,8 +439,7 @@ def t11_count(spark, sf_dir):
   FROM (SELECT doc_id, {fx.WORDS_SQL.format('text')} AS words FROM documents)),
 ranked AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) AS token_id
            FROM tokens GROUP BY term),
-coded AS (SELECT doc_id, string_agg(CASE WHEN token_id <= 30000 THEN token_id ELSE 0 END::VARCHAR, ','
-                                    ORDER BY pos) AS ids, count(*)::INTEGER AS n
+coded AS (SELECT doc_id, string_agg(token_id::VARCHAR, ',' ORDER BY pos) AS ids, count(*)::INTEGER AS n
           FROM tokens JOIN ranked USING (term) GROUP BY doc_id)
 SELECT d.doc_id, md5(coalesce(ids, '')) AS input_ids, coalesce(n, 0) AS attended
 FROM documents d LEFT JOIN coded USING (doc_id)""")
@@ -457,9 +484,11 @@ def epoch_report(spark, sf_dir):
     return metrics.epoch_report(fx.metric_log(spark, sf_dir), order=("ts", "event_id"))
 
 
-@query("a4_epoch_report", f"WITH {fx.REPORT_SQL} SELECT * FROM report")
+# By the hour, logs and evaluations share their place: the logs count first.
+@query("a4_epoch_report", f"WITH {fx.HOURLY_REPORT_SQL} SELECT * FROM report")
 def a4(spark, sf_dir):
-    return epoch_report(spark, sf_dir).drop("ts")
+    log = fx.metric_log(spark, sf_dir).withColumn("hour", F.date_format("ts", "yyyy-MM-dd HH"))
+    return metrics.epoch_report(log, order=("hour",))
 
 
 # --- scoring --------------------------------------------------------------------------------
@@ -520,11 +549,20 @@ def m4(spark, sf_dir):
 # --- order, limit, union, split ----------------------------------------------------------------
 
 
-@query("o1_sort_by_id_number", f"""SELECT doc_id, {MIXED_ID_SQL} AS id FROM documents
-ORDER BY TRY_CAST(nullif(regexp_extract({MIXED_ID_SQL}, '[0-9]+'), '') AS BIGINT) NULLS LAST, id""")
+@query("o1_sort_by_id_number", f"""WITH ids AS (SELECT doc_id, {MIXED_ID_SQL} AS id FROM documents),
+keyed AS (SELECT *, TRY_CAST(nullif(regexp_extract(id, '[0-9]+'), '') AS BIGINT) AS n FROM ids)
+SELECT id, row_number() OVER (ORDER BY n NULLS LAST, id) - 1 AS position FROM keyed""")
 def o1(spark, sf_dir):
+    """The position that each row has in the output: range partitions in order, then rows."""
     ids = fx.table(spark, sf_dir, "documents").select("doc_id", F.expr(MIXED_ID_SPARK).alias("id"))
-    return ex.sort_by_id_number(ids)
+    placed = tables.stage(ex.sort_by_id_number(ids).select(
+        "id", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")), "sorted")
+    sizes = placed.groupBy("part").agg(F.count("*").alias("rows"))
+    before = F.coalesce(F.sum("rows").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(sizes.select("part", before.alias("before")))  # one row per range
+    in_part = F.col("place") - F.shiftleft(F.col("part").cast("long"), 33)
+    return placed.join(starts, "part").select("id", (F.col("before") + in_part).alias("position"))
 
 
 @query("o2_preview", f"WITH {fx.EXAM_SQL} SELECT id, question, answer FROM exam ORDER BY id LIMIT 5")
@@ -581,6 +619,10 @@ def sources(spark, sf_dir):
     return tables.stage(augmenting.select_sources(labelled_rows), "sources")
 
 
+def both_replies(spark, sf_dir):
+    return ex.merge_sources(fx.bold_replies(spark, sf_dir), fx.korean_replies(spark, sf_dir))
+
+
 AUGMENTED_SQL = f"""{fx.EXAM_SQL}, {fx.LABELS_SQL}, {fx.BOLD_SQL}, {fx.KOREAN_SQL},
 picked AS (SELECT e.* FROM exam e JOIN labelled USING (doc_id) WHERE prior = '필요 없음'),
 made AS (
@@ -595,9 +637,9 @@ made AS (
 SELECT variant, CASE WHEN answer IS NULL THEN id ELSE id || '_aug' END AS id,
        md5(paragraph) AS paragraph, question, {CHOICES}, answer FROM made""")
 def w2(spark, sf_dir):
-    picked, rows = sources(spark, sf_dir), []
-    for variant, given in (("bold", fx.bold_replies), ("korean", fx.korean_replies)):
-        new, failed = augmenting.augment(picked, given(spark, sf_dir), variant)
+    rows = []
+    made = augmenting.augment_all(sources(spark, sf_dir), both_replies(spark, sf_dir))
+    for variant, (new, failed) in made.items():
         rows.append(new.select("id", "paragraph", "problems.*"))
         rows.append(failed.select("id", "paragraph"))
         rows[-2:] = [r.withColumn("variant", F.lit(variant)) for r in rows[-2:]]
@@ -614,10 +656,8 @@ FROM made WHERE answer IS NOT NULL AND length(paragraph) > 286""")
 def w3(spark, sf_dir):
     train = ex.nest_problems(fx.exam(spark, sf_dir)).select(
         "id", "paragraph", "problems", "question_plus")
-    picked = sources(spark, sf_dir)
-    bold, _ = augmenting.augment(picked, fx.bold_replies(spark, sf_dir), "bold")
-    korean, _ = augmenting.augment(picked, fx.korean_replies(spark, sf_dir), "korean")
-    final = augmenting.build_train_table(train, bold, korean)
+    made = augmenting.augment_all(sources(spark, sf_dir), both_replies(spark, sf_dir))
+    final = augmenting.build_train_table(train, *[new for new, _ in made.values()])
     return final.select(
         "id", digest(F.col("paragraph"), "paragraph"), "problems.question", "problems.answer",
         digest(F.col("question_plus"), "question_plus"))
@@ -625,13 +665,21 @@ def w3(spark, sf_dir):
 
 @query("w4_build_train_eval", f"""WITH {fx.FLAT_SQL}, chat AS (SELECT id, answer, {CHAT_SQL} AS text FROM flat),
 kept AS (SELECT *, len({fx.WORDS_SQL.format('text')})::INTEGER AS token_count FROM chat
-         WHERE len({fx.WORDS_SQL.format('text')}) <= 1024)
-SELECT id, md5(text) AS text_md5, answer AS label, token_count,
-       {SPLIT_SQL.format(id='id', rows='kept')} FROM kept""")
+         WHERE len({fx.WORDS_SQL.format('text')}) <= 1024),
+tokens AS (SELECT id, unnest(words) AS term, generate_subscripts(words, 1) AS pos
+           FROM (SELECT id, {fx.WORDS_SQL.format('text')} AS words FROM kept)),
+ranked AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) AS token_id FROM tokens GROUP BY term),
+coded AS (SELECT id, md5(string_agg(token_id::VARCHAR, ',' ORDER BY pos)) AS input_ids
+          FROM tokens JOIN ranked USING (term) GROUP BY id)
+SELECT id, md5(text) AS text_md5, answer AS label, input_ids, token_count AS attended,
+       {SPLIT_SQL.format(id='id', rows='kept')} FROM kept JOIN coded USING (id)""")
 def w4(spark, sf_dir):
     exam = ex.flatten_exam(fx.exam_raw(spark, sf_dir))
     rows = training.build_train_eval(training.exam_features(exam))
-    return rows.select("id", digest(F.col("text"), "text_md5"), "label", "token_count", "is_eval")
+    return rows.select(
+        "id", digest(F.col("text"), "text_md5"), "label",
+        digest(F.array_join(F.col("input_ids").cast("array<string>"), ","), "input_ids"),
+        F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("attended"), "is_eval")
 
 
 @query("w5_score_test", f"""WITH {fx.FLAT_SQL}, {fx.LOGITS_SQL.replace(
@@ -642,4 +690,7 @@ best AS (SELECT flat.id, (list_position(logits[1:len(choices)], list_max(logits[
 SELECT id, {fx.ANSWER_SQL} AS answer FROM best""")
 def w5(spark, sf_dir):
     exam = ex.flatten_exam(fx.exam_raw(spark, sf_dir))
-    return scoring.score_test(exam, fx.logits(spark, sf_dir).select("id", "logits"))
+    logits = fx.logits(spark, sf_dir).select("id", "logits")
+    # Every id once more with larger scores: the least row of an id counts.
+    more = logits.withColumn("logits", F.transform("logits", lambda x: x + 1))
+    return scoring.score_test(exam, more.unionByName(logits))

@@ -13,7 +13,7 @@ from examloom.fixed_values import (
     TOPICS,
     TURN_END,
 )
-from examloom.functions.text import let, strip
+from examloom.functions.text import ascii_digits, let, strip
 
 
 def clean_topic(topic) -> Column:
@@ -33,7 +33,7 @@ def normalize_prior_knowledge(value) -> Column:
 
 def id_digits(id_col) -> Column:
     """First run of digits in an id, empty when there is none."""
-    return F.regexp_extract(id_col, "[0-9]+", 0)
+    return F.regexp_extract(ascii_digits(id_col), "[0-9]+", 0)
 
 
 def id_number(id_col) -> Column:

@@ -101,24 +101,31 @@ def _literal_reader(keys: tuple[str, ...]):
         text.encode()  # a lone surrogate is no text: ValueError
         return text
 
+    def whole_of(value):
+        if value is None:
+            return None
+        if isinstance(value, str):
+            value = int(value)
+        if isinstance(value, bool) or not isinstance(value, int) or not -2**63 <= value < 2**63:
+            raise ValueError("no whole number of 64 bits")
+        return value
+
     def read_one(text):
         try:
             value = ast.literal_eval(text)
             question, choices, answer, extra = (value.get(k) for k in keys)
-            return (
-                text_of(question),
-                [text_of(c) for c in choices],
-                None if answer is None else int(answer),
-                text_of(extra),
-            )
-        except (ValueError, SyntaxError, TypeError, AttributeError, MemoryError, RecursionError):
+            if not isinstance(choices, (list, tuple)):
+                raise ValueError("no list of options")
+            return text_of(question), [text_of(c) for c in choices], whole_of(answer), text_of(extra)
+        except (ValueError, SyntaxError, TypeError, AttributeError, MemoryError, RecursionError,
+                OverflowError):
             return (None,) * len(keys)
 
     def read(texts: pd.Series) -> pd.DataFrame:
         empty = (None,) * len(keys)
         rows = [empty if t is None else read_one(t) for t in texts]
         out = pd.DataFrame(rows, columns=list(keys), dtype=object)
-        return out.assign(answer=out["answer"].astype("Int32"))
+        return out.assign(answer=out["answer"].astype("Int64"))
 
     return F.pandas_udf(read, PROBLEMS)
 
@@ -126,8 +133,8 @@ def _literal_reader(keys: tuple[str, ...]):
 def parse_problem_literal(text) -> Column:
     """struct<question, choices, answer, question_plus> from dict text.
 
-    Null when the text does not parse or lacks question or choices.  Only rows
-    outside the usual shape travel to Python (in Arrow batches); the others
+    Null when the text does not parse, lacks question or choices, or when the choices are
+    no list or the answer is no whole number of 64 bits.  Only rows outside the usual shape travel to Python (in Arrow batches); the others
     reach it as nulls.
     """
     plain = F.rlike(text, F.lit(_PLAIN_PROBLEM))

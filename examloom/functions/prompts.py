@@ -81,13 +81,14 @@ def test_messages(prompt) -> Column:
 
 
 def turn_text(role, content, is_first) -> Column:
-    """What one chat turn adds to the chat text."""
+    """What one chat turn adds to the chat text.  Null content is empty: a turn keeps its marks."""
+    content = F.coalesce(content, F.lit(""))
     user = F.concat(
         F.lit(f"{TURN_START}user\n"), content, F.lit(f"{TURN_END}\n{TURN_START}model\n"))
     return (
         F.when(role == "user", user)
         .when(role == "assistant", F.concat(content, F.lit(f"{TURN_END}\n")))
-        .when((role == "system") & is_first, content)
+        .when((role == "system") & F.coalesce(is_first, F.lit(False)), content)
         .otherwise(F.lit(""))
     )
 

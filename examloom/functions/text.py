@@ -5,6 +5,9 @@ the data was produced with; these helpers close the gap with built-in
 expressions only, so every one of them stays inside the JVM.
 """
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +24,11 @@ SPACE = r"[\s\x1c-\x1f]"
 INLINE_SPACE = r"[\s\x1c-\x1f&&[^\n]]"
 
 
+# Every decimal digit beyond ASCII, as Python's int() and \\d know them, with its value.
+DIGITS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd")
+VALUES = "".join(str(unicodedata.digit(c)) for c in DIGITS)
+
+
 def let(value, body):
     """Evaluate `value` once and hand it to `body(column)`.
 
@@ -53,16 +61,21 @@ def strip(col) -> Column:
 def python_int(col) -> Column:
     """Integer in `col` under the rules of Python's int(), else null.
 
-    Surrounding whitespace, a sign, single underscores and full-width digits
-    are accepted; `3번` and `3.7` are not.  Values beyond 32 bits are null.
+    Surrounding whitespace, a sign, single underscores and the digits of every script
+    are accepted; `3번` and `3.7` are not.  Values beyond 64 bits are null.
     """
-    plain = F.translate(strip(col), "０１２３４５６７８９", "0123456789")
+    plain = ascii_digits(strip(col))
     return F.when(
         F.rlike(plain, F.lit(r"^[+-]?[0-9]+(?:_[0-9]+)*\z")),
-        F.replace(plain, F.lit("_"), F.lit("")).try_cast("int"),
+        F.replace(plain, F.lit("_"), F.lit("")).try_cast("bigint"),
     )
 
 
+def ascii_digits(col) -> Column:
+    """The text with the decimal digits of all scripts as 0-9."""
+    return F.when(F.rlike(col, F.lit(r"[^\x00-\x7f]")), F.translate(col, DIGITS, VALUES)).otherwise(col)
+
+
 def after_first(col, separator: str) -> Column:
     """Text behind the first `separator`; the whole text if there is none."""
     at = F.instr(col, separator)

@@ -1,7 +1,7 @@
 """Bag-of-words features and tokens.  DataFrame -> DataFrame.
 
-Term counts of a row are taken inside the row, so the only shuffles are the
-term totals of the corpus, combined on the map side.
+Term counts of a row are taken inside the row; term totals of the corpus are
+combined on the map side before they are shuffled.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from examloom.fixed_values import MAX_FEATURES
 from examloom.functions.lookup import LookupIndex
 from examloom.functions.text import let, once, word_counts, words
+from examloom.sources.tables import stage
 
 
 def _top_terms(df: DataFrame, text: str, size: int) -> DataFrame:
@@ -26,13 +27,6 @@ def _top_terms(df: DataFrame, text: str, size: int) -> DataFrame:
     return totals.orderBy(F.desc("cf"), "term").limit(size)
 
 
-def _top_words(df: DataFrame, text: str, size: int) -> DataFrame:
-    """term, cf of the most frequent terms; cheaper where df is not needed."""
-    totals = df.select(F.explode(words(text)).alias("term")).groupBy("term").agg(
-        F.count("*").alias("cf"))
-    return totals.orderBy(F.desc("cf"), "term").limit(size)
-
-
 def vocabulary(df: DataFrame, text: str = "full_question",
                max_features: int = MAX_FEATURES) -> DataFrame:
     """Kept terms in alphabetical order with their totals."""
@@ -85,21 +79,54 @@ def add_token_count(df: DataFrame, text: str = "text", into: str = "token_count"
     return df.select("*", once(F.size(words(text))).alias(into))
 
 
-def tokenize(df: DataFrame, *keys: str, text: str = "text",
-             max_vocabulary: int = 30_000) -> DataFrame:
+def word_ids(df: DataFrame, text: str = "text", max_vocabulary: int | None = None) -> DataFrame:
+    """term, token_id of all words: 1 for the most frequent; ties by term.
+
+    Words are counted on the map side, range-partitioned by rank and staged; each
+    range numbers its own words behind the counts of the ranges before it.  A
+    vocabulary limit holds only if the caller sets one.
+    """
+    totals = df.select(F.explode(words(text)).alias("term")).groupBy("term").agg(F.count("*").alias("cf"))
+    ordered = totals.repartitionByRange(F.desc("cf"), F.asc("term"))
+    ranges = stage(ordered.withColumn("_range", F.spark_partition_id()), "word-ranges")
+    sizes = ranges.groupBy("_range").agg(F.count("*").alias("_words"))
+    before = F.coalesce(F.sum("_words").over(
+        Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_range", before.alias("_before"))  # one row per range
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(F.desc("cf"), "term"))
+    ids = ranges.withColumn("_place", inside).join(offsets, "_range").select(
+        "term", (F.col("_before") + F.col("_place")).cast("int").alias("token_id"))
+    return ids if max_vocabulary is None else ids.filter(F.col("token_id") <= max_vocabulary)
+
+
+def tokenize(df: DataFrame, *keys: str, text: str = "text", max_vocabulary: int | None = None,
+             frequent: int = 30_000) -> DataFrame:
     """Key columns, input_ids, attention_mask with the built-in word tokenizer.
 
-    A token's id is its rank by frequency (1 is the most frequent); words outside
-    the vocabulary become 0.  Nothing is truncated or padded.
+    A token's id is its rank by frequency (1 is the most frequent).  Nothing is
+    truncated or padded.  Only if the caller sets `max_vocabulary`, words behind it
+    become 0.  The `frequent` first words are looked up inside the row; the others,
+    none of which is frequent, are joined by term and put back by row and place.
     """
-    top = _top_words(df, text, max_vocabulary)
-    # A window without partitions is safe here: its input is cut to the vocabulary.
-    ranked = top.select("term", F.row_number().over(
-        Window.orderBy(F.desc("cf"), "term")).alias("token_id"))
-    index = LookupIndex(ranked, "term", "token_id", max_vocabulary)
-    ids = F.transform(words(text), lambda w: F.coalesce(index.look_up(w), F.lit(0)))
-    coded = index.attach(df).select(*keys, ids.alias("input_ids"))
-    return coded.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
+    ids = stage(word_ids(df, text, max_vocabulary), "word-ids")
+    index = LookupIndex(ids.filter(F.col("token_id") <= frequent), "term", "token_id", frequent)
+    found = F.transform(words(text), lambda w, i: F.struct(
+        i.alias("place"), index.look_up(w).alias("id"), w.alias("term")))
+    coded = index.attach(df).select(*keys, let(found, lambda ws: F.struct(
+        F.transform(F.filter(ws, lambda w: w["id"].isNotNull()),
+                    lambda w: F.struct(w["place"].alias("place"), w["id"].alias("id"))).alias("known"),
+        F.transform(F.filter(ws, lambda w: w["id"].isNull()),
+                    lambda w: F.struct(w["place"].alias("place"), w["term"].alias("term"))).alias("rare"),
+    )).alias("_coded"))
+    # The row numbers have to stay the same wherever they are used.
+    rows = stage(coded.select(*keys, F.monotonically_increasing_id().alias("_row"), "_coded.*"), "coded")
+    rare = rows.select("_row", F.inline("rare")).join(ids, "term", "left")
+    of_row = rare.groupBy("_row").agg(F.collect_list(F.struct(  # words of one row
+        "place", F.coalesce("token_id", F.lit(0)).alias("id"))).alias("rest"))
+    in_place = F.sort_array(F.concat("known", F.coalesce("rest", F.array().cast("array<struct<place:int,id:int>>"))))
+    joined = rows.join(of_row, "_row", "left").select(
+        *keys, F.transform(in_place, lambda w: w["id"]).alias("input_ids"))
+    return joined.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
 
 
 def tokenize_with(df: DataFrame, load_tokenizer: Callable[[], Callable[[list[str]], list]],

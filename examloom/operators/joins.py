@@ -5,39 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1_000   # so any other id holds less than a thousandth of the rows
-HOT_MIN_ROWS = 10_000  # ids with fewer rows are never hot
-SALTS = 512            # groups the rows of a hot id are spread over
 
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """key, groups: the values that hold more than 1/P of the rows (P: shuffle partitions).
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_MIN_ROWS) -> list:
-    """The most frequent values of a column, at most MAX_HOT_KEYS of them.
-
-    One pass over the key column, counted on the map side first.
+    Fewer than P values can, by arithmetic.  `groups` is the number of average tasks
+    their rows would fill.  Nothing runs before the result is used.
     """
-    counts = df.groupBy(key).count().filter(F.col("count") >= min_rows)
-    top = counts.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).select(key)
-    return [r[0] for r in top.collect()]
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
+    total = df.agg(F.count("*")).scalar()
+    filled = F.col("_rows") * tasks / total
+    return counts.filter(F.col(key).isNotNull() & (filled > 1)).select(
+        key, F.ceil(filled).cast("long").alias("groups"))
 
 
-def join_by_id(left: DataFrame, right: DataFrame, key: str = "id",
-               min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+def join_by_id(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
     """Left join with a table that has one row per key.
 
-    If some ids hold a large share of the left rows, these are dealt into SALTS
-    groups by input partition, and the (few) right rows of those ids are repeated
-    per group.  Without hot ids this is a plain join.  The ids of `left` are read
-    once more to find out, so they should be cheap to read.
+    The rows of a hot key are dealt one by one into groups of about an average task,
+    and its right row is repeated per group; rows without a key, which match nothing, are
+    dealt over all tasks.  The right side grows by fewer than 2P rows.  The key column
+    of `left` is read a second time to count it, so stage costly inputs first.
     """
-    hot = hot_keys(left, key, min_rows)
-    if not hot:
-        return left.join(right, key, "left")
-    is_hot = F.col(key).isin([k for k in hot if k is not None])
-    if None in hot:  # rows without an id match nothing, but would share one task
-        is_hot = is_hot | F.col(key).isNull()
-    is_hot = F.coalesce(is_hot, F.lit(False))
-    salted = left.withColumn(
-        "_salt", F.when(is_hot, F.spark_partition_id() % SALTS).otherwise(F.lit(0)))
-    groups = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.select("*", F.explode(groups).alias("_salt"))
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(left, key).withColumnRenamed("groups", "_groups"))
+    groups = F.when(F.col(key).isNull(), tasks).otherwise(F.coalesce("_groups", F.lit(1)))
+    salted = left.join(hot, key, "left").withColumn(
+        "_salt", F.monotonically_increasing_id() % groups).drop("_groups")
+    copies = F.sequence(F.lit(0).cast("long"), F.coalesce("_groups", F.lit(1)) - 1)
+    repeated = right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_groups")
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")

@@ -4,19 +4,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from examloom.functions import prompts
+from examloom.operators.joins import join_by_id
 
 
 def _exam_columns():
     return (F.col("paragraph"), F.col("question"), F.col("choices"), F.col("question_plus"))
 
 
-def render_prompt(df: DataFrame, into: str = "prompt") -> DataFrame:
-    return df.withColumn(into, prompts.render_prompt(*_exam_columns()))
+def render_prompt(df: DataFrame, into: str = "prompt",
+                  templates: dict[str, str] | None = None) -> DataFrame:
+    """Add the filled prompt; `templates` as `sources.templates.prompt_templates` gives them."""
+    return df.withColumn(into, _prompt(templates))
 
 
-def train_messages(df: DataFrame) -> DataFrame:
+def _prompt(templates: dict[str, str] | None):
+    return prompts.render_prompt(*_exam_columns(), **(templates or {}))
+
+
+def train_messages(df: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """id, messages (system, user, assistant), label."""
-    prompt = prompts.render_prompt(*_exam_columns())
+    prompt = _prompt(templates)
     return df.select(
         "id",
         prompts.train_messages(prompt, F.col("answer")).alias("messages"),
@@ -24,9 +31,9 @@ def train_messages(df: DataFrame) -> DataFrame:
     )
 
 
-def test_messages(df: DataFrame) -> DataFrame:
+def test_messages(df: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """id, messages (system, user), label, len_choices."""
-    prompt = prompts.render_prompt(*_exam_columns())
+    prompt = _prompt(templates)
     return df.select(
         "id",
         prompts.test_messages(prompt).alias("messages"),
@@ -40,15 +47,22 @@ def render_chat(df: DataFrame, into: str = "text") -> DataFrame:
 
 
 def render_chat_turns(df: DataFrame, turn: str = "turn", role: str = "role",
-                      content: str = "text", first_turn: int = 0,
-                      into: str = "segment") -> DataFrame:
+                      content: str = "text", conversation: str = "conv_id",
+                      first_turn: int | None = None, into: str = "segment") -> DataFrame:
     """Chat text per turn for conversations stored one turn per row.
 
-    The segments of a conversation in turn order are its chat text.  Rendering
-    row by row needs no grouping, however long a conversation is.
+    The result is one segment per turn; those of a conversation in turn order are its
+    chat text, however long it is.  Only a system turn that is first is printed.  The
+    first turn of a conversation is its smallest one; where all conversations start at
+    one number, `first_turn` says so and no look at the other turns is needed.
     """
-    return df.withColumn(into, prompts.turn_text(
-        F.col(role), F.col(content), F.col(turn) == first_turn))
+    if first_turn is not None:
+        first = F.col(turn) == first_turn
+        return df.withColumn(into, prompts.turn_text(F.col(role), F.col(content), first))
+    starts = df.groupBy(conversation).agg(F.min(turn).alias("_first"))
+    joined = join_by_id(df, starts, conversation)
+    return joined.withColumn(into, prompts.turn_text(
+        F.col(role), F.col(content), F.col(turn) == F.col("_first"))).select(*df.columns, into)
 
 
 def label_prompt(df: DataFrame, into: str = "label_prompt") -> DataFrame:

@@ -20,8 +20,10 @@ def epoch_report(log: DataFrame, run: str = "run", order: tuple[str, ...] = ("st
                  ) -> DataFrame:
     """One row per evaluation with the training loss logged last before it.
 
-    A log entry without a loss leaves the previous loss standing.  A run, or a
-    short time of it, may hold a large share of all rows.  The rows are therefore
+    At one place of `order` a log comes before an evaluation; of several losses logged
+    there the largest counts, so the order of the input never matters.  A log entry
+    without a loss leaves the previous loss standing.  A run, or a short time of it,
+    may hold a large share of all rows.  The rows are therefore
     range-partitioned by run and order into chunks of like size; each chunk starts
     from the last loss of its run's earlier chunks and is then handled on its own.
     The chunk numbers are staged, so that they stay the same wherever they are used.
@@ -36,19 +38,20 @@ def epoch_report(log: DataFrame, run: str = "run", order: tuple[str, ...] = ("st
         "metric-log")
 
     # Last loss per chunk (null if it has none): one small row per chunk.
-    logged_at = F.when(F.col("training_loss").isNotNull(), F.struct(*order)
-                       if len(order) > 1 else F.col(order[0]))
+    logged_last = F.when(F.col("training_loss").isNotNull(), F.struct(*order, "training_loss"))
     chunks = rows.groupBy(run, "_chunk").agg(
-        F.max_by("training_loss", logged_at).alias("training_loss"))
+        F.max(logged_last)["training_loss"].alias("training_loss"))
     earlier = Window.partitionBy(run).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = chunks.withColumn(
         "training_loss", F.last("training_loss", ignorenulls=True).over(earlier),
     ).filter(F.col("training_loss").isNotNull())
 
-    # Carried rows have no order value and therefore sort first in their chunk.
-    seeded = rows.unionByName(carried, allowMissingColumns=True)
+    # Carried rows first in their chunk; then by order, logs before evaluations.
+    ranked = rows.withColumn("_rank", F.when(F.col("event") == "evaluate", 2).otherwise(1))
+    seeded = ranked.unionByName(carried.withColumn("_rank", F.lit(0)), allowMissingColumns=True)
     so_far = Window.partitionBy(run, "_chunk").orderBy(
-        *[F.col(c).asc_nulls_first() for c in order],
+        F.col("_rank") > 0, *[F.col(c).asc_nulls_first() for c in order],
+        "_rank", F.col("training_loss").asc_nulls_first(),
     ).rowsBetween(Window.unboundedPreceding, 0)
     filled = seeded.withColumn(
         "training_loss", F.last("training_loss", ignorenulls=True).over(so_far))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from examloom.fixed_values import EVAL_SHARE, SEED
 
 PREFIX_LENGTHS = (3, 6, 32)  # hex digits of the md5 key looked at per pass
-COPY_SLOTS = 512             # groups that identical rows at the cut are dealt into
+COPIES_AT_ONCE = 1_000       # identical rows written from one array
 
 
 @dataclass(frozen=True)
@@ -63,18 +63,22 @@ def find_cut(keys: DataFrame, take: int) -> Cut:
 def _deal_copies(copies: DataFrame, take: int) -> DataFrame:
     """`take` of a set of identical rows to evaluation, the others to training.
 
-    Identical rows are counted per slot instead of numbered one by one, and
-    written out again per slot, so no task handles more than its slot's share.
+    Identical rows are counted per input partition instead of numbered one by one, and
+    written out again in runs of COPIES_AT_ONCE, dealt over the tasks.
     """
     columns = copies.columns
-    slots = copies.withColumn("_slot", F.spark_partition_id() % COPY_SLOTS)
+    slots = copies.withColumn("_slot", F.spark_partition_id())
     counted = slots.groupBy("_slot", *columns).agg(F.count("*").alias("_rows"))
     before = F.coalesce(F.sum("_rows").over(
         Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     wanted = F.greatest(F.lit(0), F.least(F.col("_rows"), F.lit(take) - F.col("_before")))
-    spread = counted.withColumn("_before", before).withColumn("_take", wanted).repartition("_slot")
-    repeated = spread.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_rows"))))
-    return repeated.select(*columns, (F.col("_n") <= F.col("_take")).alias("is_eval"))
+    taken = counted.withColumn("_before", before).withColumn("_take", wanted)
+    zero = F.lit(0).cast("bigint")
+    runs = taken.withColumn("_first", F.explode(F.sequence(
+        zero, F.col("_rows") - 1, F.lit(COPIES_AT_ONCE).cast("bigint")))).repartition("_slot", "_first")
+    repeated = runs.withColumn("_n", F.explode(F.sequence(
+        F.col("_first"), F.least("_rows", F.col("_first") + COPIES_AT_ONCE) - 1)))
+    return repeated.select(*columns, (F.col("_n") < F.col("_take")).alias("is_eval"))
 
 
 def assign_split(df: DataFrame, id_col: str = "id", test_size: float = EVAL_SHARE,

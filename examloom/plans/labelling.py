@@ -28,14 +28,18 @@ def reply_labels(responses: DataFrame) -> DataFrame:
 
 
 def flag_labels(exam: DataFrame, responses: DataFrame, form: str = "python") -> DataFrame:
-    """Raw exam rows with raw labels and the `reason` a row is unusable, if any."""
-    joined = join_by_id(exam, reply_labels(responses))
+    """Raw exam rows with raw labels and the `reason` a row is unusable, if any.
+
+    The exam is read and parsed once, into a staged table; its ids are counted there.
+    """
+    parsed = stage(parse_problems(exam, form=form).select("id", "paragraph", "p", "question_plus"), "parsed")
+    joined = join_by_id(parsed, reply_labels(responses))
     reason = (
         F.when(F.col("p").isNull(), F.lit("unreadable problem"))
         .when(F.col("p.answer").isNull(), F.lit("no answer"))
         .when(F.col("topic").isNull(), F.lit("no reply"))
     )
-    return parse_problems(joined, form=form).select(
+    return joined.select(
         "id", "topic", "prior_knowledge_needed", "paragraph",
         "p.question", "p.choices", "p.answer", "question_plus", reason.alias("reason"),
     )
@@ -43,8 +47,12 @@ def flag_labels(exam: DataFrame, responses: DataFrame, form: str = "python") ->
 
 def label_exam(exam: DataFrame, responses: DataFrame, form: str = "python",
                ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(raw labels, cleaned labels in id order, rejected rows)."""
-    flagged = stage(flag_labels(exam, responses, form), "labels")
+    """(raw labels, cleaned labels in id order, rejected rows).
+
+    Each of them joins the staged questions with the labels; used in one query, they share
+    the shuffle of that join.
+    """
+    flagged = flag_labels(exam, responses, form)
     usable, rejected = quarantine(flagged)
     return usable, clean_labels(usable), rejected.select("id", "paragraph", "reason")
 

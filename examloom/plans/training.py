@@ -12,7 +12,7 @@ from examloom.operators.exam import (
     add_question_length,
     filter_max_tokens,
 )
-from examloom.operators.features import add_token_count, tokenize_with
+from examloom.operators.features import add_token_count, tokenize, tokenize_with
 from examloom.operators.messages import render_chat, train_messages
 from examloom.operators.split import assign_split
 from examloom.sources.tables import stage
@@ -30,17 +30,17 @@ def chat_table(exam: DataFrame) -> DataFrame:
 def build_train_eval(exam: DataFrame, max_tokens: int = MAX_TOKENS,
                      test_size: float = EVAL_SHARE, seed: int = SEED,
                      load_tokenizer: Callable | None = None) -> DataFrame:
-    """Chat rows of acceptable length with `is_eval`.
+    """Chat rows of acceptable length: id, label, text, input_ids, attention_mask, is_eval.
 
-    Length is the built-in word count (`token_count`), or that of the caller's
-    tokenizer, which then also provides `input_ids` and `attention_mask`.  One
-    staged write keeps the split's passes from repeating this work; they read
-    nothing but the id column of the staged table.
+    Ids come from the caller's tokenizer, or are the ranks of the words of all kept rows.
+    Staged writes keep the split's passes from repeating this work; they read nothing
+    but the id column of the staged table.
     """
     chat = chat_table(exam)
     if load_tokenizer is None:
-        kept = filter_max_tokens(add_token_count(chat), "token_count", max_tokens)
+        short = filter_max_tokens(add_token_count(chat), "token_count", max_tokens)
+        kept = tokenize(stage(short.select("id", "label", "text"), "chat"), "id", "label", "text")
     else:
         coded = tokenize_with(chat, load_tokenizer, "id", "label", "text")
         kept = filter_max_tokens(coded, "input_ids", max_tokens)
-    return assign_split(stage(kept, "chat"), "id", test_size, seed)
+    return assign_split(stage(kept, "chat-ids"), "id", test_size, seed)

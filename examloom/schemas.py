@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 PROBLEMS = T.StructType([
     T.StructField("question", T.StringType()),
     T.StructField("choices", T.ArrayType(T.StringType())),
-    T.StructField("answer", T.IntegerType()),
+    T.StructField("answer", T.LongType()),
     T.StructField("question_plus", T.StringType()),
 ])
 
@@ -25,20 +25,10 @@ CLASSIFIED_CSV = T.StructType([
     T.StructField("paragraph", T.StringType()),
     T.StructField("question", T.StringType()),
     T.StructField("choices", T.StringType()),
-    T.StructField("answer", T.IntegerType()),
+    T.StructField("answer", T.LongType()),
     T.StructField("question_plus", T.StringType()),
 ])
 
-# Labelled questions after filtering and re-nesting.
-CLASSIFIED_NESTED_CSV = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("prior_knowledge_needed", T.StringType()),
-    T.StructField("paragraph", T.StringType()),
-    T.StructField("question_plus", T.StringType()),
-    T.StructField("problems", T.StringType()),
-])
-
 # One model reply per question, generator and attempt.
 RESPONSES = T.StructType([
     T.StructField("id", T.StringType()),
@@ -47,12 +37,6 @@ RESPONSES = T.StructType([
     T.StructField("text", T.StringType()),
 ])
 
-# One row of next-token scores per question.
-LOGITS = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("logits", T.ArrayType(T.DoubleType())),
-])
-
 METRIC_LOG = T.StructType([
     T.StructField("run", T.StringType()),
     T.StructField("step", T.LongType()),
@@ -62,8 +46,3 @@ METRIC_LOG = T.StructType([
     T.StructField("eval_loss", T.DoubleType()),
     T.StructField("eval_accuracy", T.DoubleType()),
 ])
-
-PREDICTIONS = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("answer", T.StringType()),
-])

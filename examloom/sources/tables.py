@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from examloom.functions.literals import python_literal
-from examloom.operators.joins import hot_keys
 from examloom.schemas import EXAM_RAW
 
 # Quoted fields hold line breaks, and a quote inside a field is doubled.
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
-MAX_SPREAD = 64
 
 
 def read_exam_csv(spark: SparkSession, path: str, schema: T.StructType = EXAM_RAW) -> DataFrame:
@@ -53,45 +52,19 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, path: str, key: str = "id",
-                   buckets: int = 1024) -> DataFrame:
-    """Write a table in buckets of its id, and return it.
-
-    For wide tables that are joined by id several times: such a join then shuffles
-    the other, smaller side only.  A hot id would put its rows into one bucket;
-    write those tables with `write_table` and leave the spreading to the join.
-    """
-    hot = hot_keys(df, key)
-    if hot:
-        raise ValueError(f"{len(hot)} values of {key} hold too many rows for buckets")
-    df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(
-        buckets, key).sortBy(key).option("path", path).saveAsTable(table)
-    return df.sparkSession.table(table)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows over the cores when the input has only a few partitions.
-
-    A few small files would otherwise keep a few tasks busy.  Inputs of
-    MAX_SPREAD partitions or more are left as they are, so large tables are never
-    shuffled for this.
-    """
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+_STAGED: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """New path in the shared checkpoint folder of the session.
+    """New path in a folder that all executors share.
 
-    Only a local session may go without `spark.checkpoint.dir`; its one machine
-    then uses a temporary folder.
+    That is `spark.checkpoint.dir`; where it is unset, the warehouse, which executors
+    share as well.  `clear_staged` removes it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="examloom-")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+              or spark.conf.get("spark.sql.warehouse.dir"))
+    _STAGED.append(f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _STAGED[-1]
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -104,3 +77,22 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession, keep: int = 0) -> None:
+    """Remove what this process has staged, but for the first `keep` tables."""
+    jvm = spark.sparkContext._jvm
+    for path in _STAGED[keep:]:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    del _STAGED[keep:]
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are removed at its end: write the results in it."""
+    before = len(_STAGED)
+    try:
+        yield
+    finally:
+        clear_staged(spark, before)

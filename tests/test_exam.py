@@ -164,10 +164,16 @@ def test_render_chat(spark):
 def test_turns_join_to_the_chat(spark):
     chat = [("system", "S"), ("user", "U"), ("system", "late"), ("assistant", "A")]
     turns = spark.createDataFrame(
-        [(n, r, t) for n, (r, t) in enumerate(chat)], "turn int, role string, text string")
-    segments = messages.render_chat_turns(turns).orderBy("turn").collect()
+        [(c, n + c, r, t) for c in (0, 4) for n, (r, t) in enumerate(chat)],
+        "conv_id int, turn int, role string, text string")
+    segments = messages.render_chat_turns(turns).filter("conv_id = 4").orderBy("turn").collect()
     whole = evaluate(spark, prompts.render_chat, [chat], "array<struct<role:string,content:string>>")
     assert "".join(r["segment"] for r in segments) == whole[0]
+    given = messages.render_chat_turns(turns, first_turn=0).filter("conv_id = 0").orderBy("turn").collect()
+    assert "".join(r["segment"] for r in given) == whole[0]
+    empty = evaluate(spark, prompts.render_chat, [[("system", "S"), ("user", None), ("assistant", "A")]],
+                     "array<struct<role:string,content:string>>")[0]
+    assert empty == "S<start_of_turn>user\n<end_of_turn>\n<start_of_turn>model\nA<end_of_turn>\n"
 
 
 def test_label_and_generation_prompts(spark):

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from examloom.operators import joins
 from examloom.operators.exam import parse_problems
-from examloom.plans import augmenting, labelling, training
+from examloom.plans import augmenting, labelling, scoring, training
 from examloom.schemas import EXAM_RAW, RESPONSES
-from examloom.sources import tables
 from tests.helpers import plan
 
+BOLD = "**New Question:** N\n**New Choices:**\n1. a\n\n**New Answer:** 1"
 PROBLEM = "{'question': 'Q', 'choices': ['x', 'y', 'z', 'v'], 'answer': 1}"
 
 
@@ -41,7 +41,7 @@ def test_augment_and_merge(spark):
         [(i, "경제", "필요 없음" if i != "c" else "필요함", f"{i} " * 200, "Q", ["x"], 1, "plus")
          for i in "abc"],
         "id string, topic string, prior_knowledge_needed string, paragraph string, question string, "
-        "choices array<string>, answer int, question_plus string")
+        "choices array<string>, answer bigint, question_plus string")
     sources = augmenting.select_sources(labelled)
     assert sources.columns == [
         "id", "topic", "prior_knowledge_needed", "paragraph", "question_plus", "problems"]
@@ -65,7 +65,7 @@ def test_parsed_train_rows_merge_with_new_rows(spark):
                            into="parsed").select("id", "paragraph", F.col("parsed").alias("problems"))
     new = spark.createDataFrame(
         [("b_aug", "p" * 300, ("N", ["x"], 2), "")],
-        "id string, paragraph string, problems struct<question:string,choices:array<string>,answer:int>, "
+        "id string, paragraph string, problems struct<question:string,choices:array<string>,answer:bigint>, "
         "question_plus string")
     rows = augmenting.build_train_table(train, new).orderBy("id").collect()
     assert [(r["id"], r["problems"]["question"], r["problems"]["question_plus"], r["question_plus"])
@@ -91,18 +91,36 @@ def hot_left(spark):
         F.col("id").alias("n"))
 
 
+def groups(df):
+    return {r["id"]: r["groups"] for r in df.collect()}
+
+
 def test_hot_keys(spark):
-    assert joins.hot_keys(hot_left(spark), "id") == ["hot"]
-    assert joins.hot_keys(spark.range(20_000), "id") == []
-    assert joins.hot_keys(spark.range(0), "id") == []
+    """Hot is what holds more than an average task; 8 tasks share 30,000 rows here."""
+    assert groups(joins.hot_keys(hot_left(spark), "id")) == {"hot": 3}
+    assert groups(joins.hot_keys(spark.range(20_000), "id")) == {}
+    assert groups(joins.hot_keys(spark.range(0), "id")) == {}
+
 
+def test_many_hot_keys(spark, conf):
+    """No number of hot keys is too many: 2,000 keys hold nearly all rows."""
+    conf("spark.sql.shuffle.partitions", "4000")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    left = spark.range(40_000).select(
+        F.when(F.col("id") < 39_000, F.col("id") % 2_000).otherwise(F.col("id")).cast("string").alias("id"))
+    assert len(groups(joins.hot_keys(left, "id"))) == 2_000
 
+
+@pytest.mark.parametrize("inputs", [1, 16])
 @pytest.mark.parametrize("hot", ["hot", None])
-def test_hot_id_is_spread_over_tasks(spark, conf, hot):
-    """A third of the left rows share one id (or have none); they are joined in many groups."""
+def test_hot_id_is_spread_over_tasks(spark, conf, hot, inputs):
+    """A third of the left rows share one id (or have none), also in one input partition."""
     conf("spark.sql.adaptive.enabled", "false")
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     left = hot_left(spark).withColumn("id", F.when(F.col("id") == "hot", F.lit(hot)).otherwise(F.col("id")))
+    if inputs == 1:  # all rows of the hot id in one input partition
+        is_hot = F.col("id").eqNullSafe(F.lit(hot))
+        left = left.filter(is_hot).coalesce(1).union(left.filter(~is_hot))
     right = left.select("id").distinct().filter("id <> '7'").withColumn("reply", F.upper("id"))
     salted = joins.join_by_id(left, right)
     assert salted.columns == ["id", "n", "reply"]
@@ -114,28 +132,32 @@ def test_hot_id_is_spread_over_tasks(spark, conf, hot):
         return {r["task"] for r in rows if r["id"] == hot}
 
     assert len(tasks_of_hot_rows(plain)) == 1
-    assert len(tasks_of_hot_rows(salted)) > 3
+    assert len(tasks_of_hot_rows(salted)) > 1
 
 
-def test_bucketed_questions_are_not_shuffled(spark, conf, tmp_path):
+def test_all_variants_take_one_join(spark, conf, tmp_path):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    questions = spark.range(500).select(
-        F.concat(F.lit("q"), "id").alias("id"), F.lit("wide").alias("paragraph"))
-    stored = tables.write_bucketed(questions, "questions", str(tmp_path / "q"), buckets=8)
-    replies = questions.select("id", F.lit("bold").alias("source"), F.lit(1).alias("attempt"),
-                               F.lit("**New Question:** N\n**New Choices:**\n1. a\n\n"
-                                     "**New Answer:** 1").alias("text"))
-    matched = augmenting.match_replies(stored, replies, "bold")
-    text = plan(matched)
-    assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 1
-    assert matched.filter("answer = 1").count() == 500
-    with pytest.raises(ValueError, match="too many rows"):
-        tables.write_bucketed(hot_left(spark), "hot", str(tmp_path / "h"), buckets=8)
-
-
-def test_plain_join_without_hot_ids(spark):
-    df = spark.range(100).select(F.col("id").cast("string").alias("id"))
-    assert "_salt" not in plan(joins.join_by_id(df, df.withColumn("x", F.lit(1))))
+    conf("spark.sql.adaptive.enabled", "false")
+    wide = spark.range(500).select(F.concat(F.lit("q"), "id").alias("id"), F.lit("wide").alias("paragraph"))
+    path = str(tmp_path / "wide")
+    wide.write.parquet(path)
+    replies = spark.createDataFrame([("q1", "bold", 1, BOLD), ("q1", "korean", 1, "x"), ("q2", "korean", 1, "x")], RESPONSES)
+    accepted = augmenting.accepted_replies(replies)
+    assert accepted.columns == ["id", "_bold", "_korean"]
+    text = plan(joins.join_by_id(spark.read.parquet(path), accepted))
+    assert text.count("SortMergeJoin") <= 1 + text.count("BroadcastHashJoin")
+    made = augmenting.augment_all(spark.read.parquet(path), replies)
+    assert {v: (new.count(), failed.count()) for v, (new, failed) in made.items()} == {
+        "bold": (1, 499), "korean": (0, 500)}
+
+
+def test_one_row_of_logits_per_id(spark):
+    asked = spark.createDataFrame([("a", 2), ("b", 2), (None, 2)], "id string, len_choices int")
+    rows = [("a", [0.0, 1.0]), ("a", [1.0, 0.0]), ("c", [1.0, 0.0])]
+    for given in (rows, rows[::-1]):
+        logits = spark.createDataFrame(given, "id string, logits array<double>")
+        out = Counter(map(tuple, scoring.predict(asked, logits).collect()))
+        assert out == Counter([("a", "2"), ("b", None), (None, None)])
 
 
 def test_build_train_eval(spark):

@@ -99,6 +99,21 @@ def test_epoch_report(spark, tmp_path):
     assert sum(lines[n:n + 5] == block for n in range(len(lines))) == 2
 
 
+def test_log_and_evaluation_at_one_step(spark, conf):
+    """The log counts first, whatever the order of the input, also over chunk borders."""
+    rows = [("r", 1, "log", 1.0, 9.0, None, None), ("r", 2, "evaluate", 1.0, None, 0.5, 0.5),
+            ("r", 2, "log", 1.0, 1.25, None, None), ("r", 3, "evaluate", 2.0, None, 0.5, 0.5),
+            ("r", None, "evaluate", 0.0, None, 0.5, 0.5), ("r", None, "log", 0.0, 7.0, None, None),
+            ("r", 4, "log", 2.0, 3.0, None, None), ("r", 4, "log", 2.0, 2.0, None, None),
+            ("r", 4, "evaluate", 2.0, None, 0.5, 0.5)]
+    expected = [(None, 7.0), (2, 1.25), (3, 1.25), (4, 3.0)]
+    for partitions in ("1", "8"):
+        conf("spark.sql.shuffle.partitions", partitions)
+        for given in (rows, rows[::-1]):
+            report = metrics.epoch_report(log(spark, *given)).orderBy("step")
+            assert [(r["step"], r["training_loss"]) for r in report.collect()] == expected
+
+
 def test_one_run_is_handled_in_chunks(spark, conf):
     """A run that holds all rows is cut into chunks, with the same result."""
     df = spark.range(5_000).select(

@@ -93,21 +93,24 @@ def test_stage_uses_the_checkpoint_folder(spark):
     assert staged.dtypes == df.dtypes and staged.count() == 10
 
 
-def test_a_cluster_needs_a_shared_folder():
+def test_scratch_folder():
+    conf = {"spark.sql.warehouse.dir": "hdfs:///warehouse"}
     cluster = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: default),
-        sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        tables.scratch_path(cluster, "x")
-    cluster.conf.get = lambda key, default: "hdfs:///shared/"
+        conf=SimpleNamespace(get=lambda key, *default: conf.get(key, *default)),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
+    assert tables.scratch_path(cluster, "x").startswith("hdfs:///warehouse/x-")
+    conf["spark.checkpoint.dir"] = "hdfs:///shared/"
     assert tables.scratch_path(cluster, "x").startswith("hdfs:///shared/x-")
+    del tables._STAGED[-2:]
 
 
-def test_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert tables.spread(spark.range(9).coalesce(1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 9, numPartitions=cores + 3)
-    assert tables.spread(wide) is wide
+def test_staged_tables_go_when_the_results_are_written(spark, tmp_path):
+    with tables.staging(spark):
+        staged = tables.stage(spark.range(5))
+        folder = os.path.dirname(urlparse(staged.inputFiles()[0]).path)
+        tables.write_table(staged, str(tmp_path / "t"))
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder) and spark.read.parquet(str(tmp_path / "t")).count() == 5
 
 
 def test_row_operators_run_on_a_stream(spark, tmp_path):

@@ -29,9 +29,10 @@ def test_strip(spark):
 
 
 def test_python_int(spark):
-    values = ["3", " +3　", "-12", "1_000", "３", "3번", "3.7", "", "1__0", "_1", "+", "99999999999"]
+    values = ["3", " +3　", "-12", "1_000", "３", "3번", "3.7", "", "1__0", "_1", "+",
+              "99999999999", "٣", "1" * 20]
     assert evaluate(spark, text.python_int, values) == [
-        3, 3, -12, 1000, 3, None, None, None, None, None, None, None]
+        3, 3, -12, 1000, 3, None, None, None, None, None, None, 99999999999, 3, None]
 
 
 def test_after_first(spark):
