@@ -5,46 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from examloom.llm.common import attach, staged
+from examloom.llm.common import staged
 
 MAX_ROUNDS = 60  # rounds grow with the logarithm of the nodes
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    """node, least of it and its neighbours, number of edges; combined on the map side."""
-    return edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"), F.count("*").alias("_n"))
+def _with_least(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) and the least of u and its neighbours.
 
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    both = staged(both.distinct(), "edges")
-    joined = attach(both, staged(_least(both), "least"), "u", "_n")
-    return joined.filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
+    Neighbours are combined on the map side; the join is one that adaptive execution splits
+    where a node has very many edges.
+    """
+    least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
+    return edges.join(least, "u")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = staged(edges.filter("u <> v").select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    joined = attach(down, staged(_least(down), "least"), "u", "_n")
+def _round(edges: DataFrame) -> DataFrame:
+    """A large and a small star: larger neighbours hang on the least one, then all on the least."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    large = _with_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
     pairs = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("least").alias("v")),
                               F.struct(F.col("u"), F.col("least").alias("v"))))
-    return joined.select(pairs.alias("e")).select("e.*").filter("u <> v").distinct()
+    return _with_least(large).select(pairs.alias("e")).select("e.*").filter("u <> v").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, component (its least node) of every node of the links (u, v), two longs.
 
-    Each half round groups edges by a node, takes the least neighbour and hangs the others on
-    it; a node of any degree is only counted and joined with its one row.  Ends when a round
-    changes nothing, which two sums over the edges show.
+    Each round groups edges by a node, takes the least neighbour and hangs the others on it.
+    Ends when a round changes nothing, which two sums over the edges show.
     """
-    edges = staged(_small_star(links.select("u", "v")), "stars")
-    state = None
+    edges, state = links.select("u", "v").filter("u <> v"), None
     for _ in range(MAX_ROUNDS):
+        edges = staged(_round(edges), "stars")
         new = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if new == state:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         state = new
-        edges = staged(_small_star(_large_star(edges)), "stars")
     raise RuntimeError("components did not settle")

@@ -30,7 +30,9 @@ COUNTERS = 1 << 20        # of the table of counts: 4 MB, whatever the corpus
 CANDIDATE_BITS = 1 << 24  # of the map of documents to verify: 2 MB; more documents only fill it
 ORDER_SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)  # of the orders after the first
 HOT = 1_000               # sets of one token compared by one task with all of that token
-MAP_WORDS = 4             # longs of a parity map
+MAP_WORDS = 4             # longs of a parity map, looked at where tokens meet
+WIDE_FROM = 256           # shingles from which a set has a second one, looked at for each pair
+WIDE_SHARE = 32           # shingles per long of it, rounded to powers of two
 
 
 class Threshold:
@@ -65,7 +67,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
+    return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
 def _spans(rows: np.ndarray, n: int) -> np.ndarray:
@@ -97,12 +99,25 @@ def _lists(spans: np.ndarray, tokens: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(spans.astype(np.int32)), _signed(tokens))
 
 
+def _parity(rows: np.ndarray, hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """`words` longs (a power of two, or none) for each row, one after the other: for each bit,
+    whether an odd number of the row's tokens falls on it."""
+    has = words[rows] > 0
+    rows, hashes = rows[has], hashes[has]
+    bits = words.astype(np.int64) * 64
+    begin = np.cumsum(bits) - bits
+    at = begin[rows] + (hashes & (bits[rows] - 1).astype(np.uint64)).astype(np.int64)
+    flips = np.bincount(at, minlength=int(bits.sum())) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def document_sets(docs: DataFrame, table, threshold: Threshold) -> DataFrame:
     """doc_id, text_key, set_id, n, prefix under the first order, parity map m0..m3 of every document."""
     k = threshold.k
     maps = [f"m{i}" for i in range(MAP_WORDS)]
-    schema = "doc_id long, text_key long, set_id long, n long, prefix array<long>, " + ", ".join(f"{m} long" for m in maps)
-    names = ["doc_id", "text_key", "set_id", "n", "prefix", *maps]
+    schema = ("doc_id long, text_key long, set_id long, n long, prefix array<long>, wide array<long>, "
+              + ", ".join(f"{m} long" for m in maps))
+    names = ["doc_id", "text_key", "set_id", "n", "prefix", "wide", *maps]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = table.value
@@ -112,12 +127,15 @@ def document_sets(docs: DataFrame, table, threshold: Threshold) -> DataFrame:
                 rows, hashes = shingles.shingle_sets(part.column(1), k)
                 spans = _spans(rows, len(part))
                 cut, tokens = _prefixes(rows, hashes, spans, sketches.counted(counts, hashes), hashes, threshold)
-                bit = (hashes & np.uint64(64 * MAP_WORDS - 1)).astype(np.int64)
-                flips = np.bincount(rows * 64 * MAP_WORDS + bit, minlength=len(part) * 64 * MAP_WORDS) & 1
-                packed = np.packbits(flips.astype(np.uint8).reshape(len(part), -1), axis=1).view(np.int64)
+                sizes = np.diff(spans)
+                packed = _parity(rows, hashes, np.full(len(part), MAP_WORDS)).reshape(len(part), MAP_WORDS)
+                wide_words = np.where(sizes < WIDE_FROM, 0, 1 << np.ceil(np.log2(
+                    np.maximum(sizes, 1) / WIDE_SHARE).clip(0)).astype(np.int64))
+                wide = _parity(rows, hashes >> np.uint64(8), wide_words)
+                wide_ends = np.concatenate([[0], np.cumsum(wide_words)])
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(2), _signed(_set_ids(rows, hashes, spans)), pa.array(np.diff(spans)),
-                    _lists(cut, tokens), *[pa.array(np.ascontiguousarray(packed[:, i])) for i in range(MAP_WORDS)]], names)
+                    _lists(cut, tokens), _lists(wide_ends, wide), *[pa.array(np.ascontiguousarray(packed[:, i])) for i in range(MAP_WORDS)]], names)
 
     return _texts(docs).mapInArrow(work, schema)
 
@@ -164,6 +182,26 @@ def _may_link(threshold: Threshold) -> Column:
     return threshold.like_size(n, m) & threshold.few_differences(_differences(), n, m)
 
 
+def _near(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
+    """The pairs (u, v) whose wide parity maps differ in few enough bits; small sets have none.
+
+    Sets of like size have maps of one size or twice that; halves of the larger are folded."""
+    wide = sets.select("set_id", "n", "wide")
+    both = pairs.join(wide.toDF("u", "u_n", "u_wide"), "u").join(wide.toDF("v", "v_n", "v_wide"), "v")
+    xor = lambda a, b: a.bitwiseXOR(b)
+
+    def folded(own, other):
+        size = F.size(other)
+        return F.when(F.size(own) > size, F.zip_with(
+            F.slice(own, F.lit(1), size), F.slice(own, size + 1, size), xor)).otherwise(F.col(own))
+
+    differ = F.aggregate(F.zip_with(folded("u_wide", "v_wide"), folded("v_wide", "u_wide"),
+                                    lambda a, b: F.bit_count(xor(a, b))), F.lit(0), lambda s, x: s + x)
+    small, large = F.least(F.size("u_wide"), F.size("v_wide")), F.greatest(F.size("u_wide"), F.size("v_wide"))
+    comparable = (small > 0) & (large <= 2 * small)
+    return both.filter(~comparable | threshold.few_differences(differ, F.col("u_n"), F.col("v_n"))).select("u", "v")
+
+
 def _salted(left: DataFrame, right: DataFrame, key: str, rows: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
     """Both sides with a column `_salt` to join on as well, so that at most about `share` left rows
     have one key and salt.  `rows` (key, _n): left rows of the keys with more than that."""
@@ -185,19 +223,15 @@ def _verified(pairs: DataFrame, whole: DataFrame, threshold: Threshold) -> DataF
     share = max(HOT, pairs.count() // partitions(pairs.sparkSession))
     counts = staged(pairs.groupBy("v").agg(F.count("*").alias("_n")).filter(F.col("_n") > share), "pair-counts")
 
-    def side(names, prefix):
-        return whole.select(F.col("set_id").alias(prefix), *[F.col(c).alias(f"{prefix}_{c}") for c in names])
+    def side(prefix):
+        return whole.select(F.col("set_id").alias(prefix), *[
+            F.col(c).alias(f"{prefix}_{c}") for c in ("n", "tokens", "p2", "p3")])
 
-    few = ["p2", "p3"]
-    left, right = _salted(pairs.join(side(few, "u"), "u"), side(few, "v"), "v", counts, share)
-    near = left.join(right, ["v", "_salt"]).filter(
-        F.arrays_overlap("u_p2", "v_p2") & F.arrays_overlap("u_p3", "v_p3")).select("u", "v")
-    near = staged(near, "near-pairs")
-    full = ["n", "tokens"]
-    left, right = _salted(near.join(side(full, "u"), "u"), side(full, "v"), "v", counts, share)
+    left, right = _salted(pairs.join(side("u"), "u"), side("v"), "v", counts, share)
     overlap = F.size(F.array_intersect("u_tokens", "v_tokens"))
     return left.join(right, ["v", "_salt"]).filter(
-        threshold.linked(overlap, F.col("u_n"), F.col("v_n"))).select("u", "v")
+        F.arrays_overlap("u_p2", "v_p2") & F.arrays_overlap("u_p3", "v_p3")
+        & threshold.linked(overlap, F.col("u_n"), F.col("v_n"))).select("u", "v")
 
 
 def _rank() -> Column:
@@ -225,17 +259,14 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     # All columns but doc_id depend on the set alone.
     sets = staged(found.filter("n > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("mult"), F.min(_rank()).alias("first"),
-        *[F.first(c).alias(c) for c in ("n", "prefix", *maps)]), "sets")
+        *[F.first(c).alias(c) for c in ("n", "prefix", "wide", *maps)]), "sets")
 
     # Postings of the tokens that several sets share.
     shared = staged(sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(
         F.count("*").alias("_n")).filter("_n > 1"), "shared-tokens")
     postings = attach(sets.select("set_id", F.explode("prefix").alias("token")), shared, "token", "_n")
-    members = staged(postings, "postings")
-    used = sets.select("set_id", "n", "mult", "rep", *maps)
-    members = staged(attach(members, staged(
-        members.groupBy("set_id").agg(F.count("*").alias("_n")).join(used, "set_id"), "used-sets"), "set_id", "_n"),
-        "members")
+    # A set has no more postings than its prefix.
+    members = staged(postings.join(sets.select("set_id", "n", "mult", *maps), "set_id"), "members")
 
     # First the pairs of each token's centre, the set with most copies, with the others.
     centre = F.max(F.struct("mult", "set_id", "n", *maps)).alias("c")
@@ -244,6 +275,7 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     first = first.select(F.struct("set_id", "n", *maps).alias("a"), F.col("c").alias("b")) \
         .filter(_may_link(threshold)).select(F.col("a.set_id").alias("u"), F.col("b.set_id").alias("v"))
     first = staged(first.distinct(), "centre-pairs")
+    near = staged(_near(first, sets, threshold), "near-centres")
 
     def verify(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct()
@@ -252,15 +284,19 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
             sketches.bit_map(reps, lambda batch: [_id_hash(batch.column(0))], CANDIDATE_BITS))
         whole = whole_sets(docs, table, wanted, threshold)
         whole = whole.join(reps.select("set_id"), "set_id", "left_semi")
+        # Dealt by the set already; of a set's copies one is enough.
         whole = staged(whole.dropDuplicates(["set_id"]), "whole-sets")
         return staged(_verified(pairs, whole, threshold), "links")
 
-    links = verify(first)
+    links = verify(near)
     labels = staged(components(links), "components")
 
     # Then pairs of one token across components.
     label = F.coalesce(F.col("component"), F.col("set_id"))
-    marked = staged(members.select("token", "set_id", "n", *maps).join(
+    # The pair of a token's only two sets has been seen.
+    several = attach(members.select("token", "set_id", "n", *maps),
+                     staged(centres.select("token", "_n").filter("_n > 2"), "several"), "token", "_n")
+    marked = staged(several.join(
         labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", label), "labelled")
     mixed = staged(marked.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("_n"))
@@ -275,8 +311,9 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     known = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     second = staged(second.join(known, ["u", "v"], "left_anti"), "cross-pairs")
     if second.limit(1).count():
-        links = links.unionByName(verify(second))
-        labels = staged(components(links), "components")
+        hung = labels.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        close = staged(_near(second, sets, threshold), "near-pairs")
+        labels = staged(components(hung.unionByName(verify(close))), "components")
 
     named = sets.select("set_id", "mult", "rep", "first").join(
         labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", label)
