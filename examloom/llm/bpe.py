@@ -134,13 +134,12 @@ class Codec:
         return [ids[4 * a:4 * b] for a, b in zip(cuts[:-1], cuts[1:])]
 
     def _learn(self, pieces: set[str]) -> None:
-        """Put the ids of pieces into the cache."""
-        if len(self.cache) + len(pieces) > CACHE_PIECES:
-            self.cache = {}
+        """See that the cache holds the ids of all these pieces."""
+        new = pieces.difference(self.cache)
+        if new and len(self.cache) + len(new) > CACHE_PIECES:
+            self.cache, new = {}, pieces
         open_pieces = []
-        for piece in pieces:
-            if piece in self.cache:
-                continue
+        for piece in new:
             raw = piece.encode()
             whole = self.ranks.get(raw)
             if whole is None:
@@ -161,19 +160,18 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian 32-bit numbers."""
-        short = [self.pattern.findall(t) if len(t) <= PIECES_AT_ONCE else None for t in texts]
-        self._learn({p for found in short if found for p in found}.difference(self.cache))
-        out = []
-        for text, found in zip(texts, short):
-            if found is not None:
-                out.append(b"".join(map(self.cache.__getitem__, found)))
-                continue
-            matches, parts = (m[0] for m in self.pattern.finditer(text)), []
-            while found := list(islice(matches, PIECES_AT_ONCE)):
-                self._learn(set(found))
-                parts.append(b"".join(map(self.cache.__getitem__, found)))
-            out.append(b"".join(parts))
-            self._learn({p for f in short if f for p in f}.difference(self.cache))
+        out = [b""] * len(texts)
+        short = {i: self.pattern.findall(t) for i, t in enumerate(texts) if len(t) <= PIECES_AT_ONCE}
+        self._learn({p for found in short.values() for p in found})
+        for i, found in short.items():
+            out[i] = b"".join(map(self.cache.__getitem__, found))
+        for i, text in enumerate(texts):
+            if i not in short:
+                matches, parts = (m[0] for m in self.pattern.finditer(text)), []
+                while found := list(islice(matches, PIECES_AT_ONCE)):
+                    self._learn(set(found))
+                    parts.append(b"".join(map(self.cache.__getitem__, found)))
+                out[i] = b"".join(parts)
         return out
 
     def decode(self, encoded: list[bytes]) -> list[bytes]:
