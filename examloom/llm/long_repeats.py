@@ -28,7 +28,8 @@ from examloom.llm.run_index import RunIndex
 LENGTH = 100
 GRAM = 32
 PIECE_BYTES = 1 << 19    # hashed at once
-INDEX_BYTES = 1 << 18    # segments indexed together
+INDEX_BYTES = 1 << 21    # segments looked at together
+CLASSES = 4              # of places in a segment
 SLICE = 1_000            # segments of one anchor text that meet in a block
 MAP_BITS = 1 << 26       # 8 MB; more anchors only fill it
 DOCUMENT_BITS = 1 << 24
@@ -36,9 +37,14 @@ NO_ID = (1 << 63) - 1    # null ids are later than all others
 
 
 def _texts(docs: DataFrame) -> DataFrame:
+    """id, text, text_key, doc_id.  The key tells documents of one id apart; where all ids are
+    unique it is 0 and takes no room."""
     text = F.coalesce(F.col("`text`").cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col("`doc_id`").cast("long"), F.lit(NO_ID)).alias("id"),
-                       text.alias("text"), F.xxhash64(text).alias("text_key"), F.col("`doc_id`").cast("long").alias("doc_id"))
+    rows = docs.select(F.coalesce(F.col("`doc_id`").cast("long"), F.lit(NO_ID)).alias("id"),
+                       text.alias("text"), F.col("`doc_id`").cast("long").alias("doc_id"))
+    repeated = rows.groupBy("id").count().filter("count > 1").limit(1).count()
+    return rows.select("id", "text", (F.xxhash64("text") if repeated else F.lit(0).cast("long")).alias("text_key"),
+                       "doc_id")
 
 
 def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -105,6 +111,11 @@ def _parts(batches, text: int):
             yield part, *_bytes(part.column(text))
 
 
+def _spread(h: np.ndarray) -> np.ndarray:
+    """Anchors have the least hashes of their places; this spreads them over a map."""
+    return shingles.mix(h + np.uint64(0x9E3779B97F4A7C15))
+
+
 def _segment_ids(flat, start, end, place) -> list[bytes]:
     """128-bit digests of segments and the place of the anchor in them."""
     raw = flat.tobytes()
@@ -127,7 +138,7 @@ def _segment_rows(texts: DataFrame, bits) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, flat, ends in _parts(batches, 1):
             doc, start, end, place, h = anchors(flat, ends)
-            on = sketches.marked(bits.value, h)
+            on = sketches.marked(bits.value, _spread(h))
             doc, start, end, place, h = doc[on], start[on], end[on], place[on], h[on]
             at = pa.array(doc)
             yield pa.RecordBatch.from_arrays([
@@ -145,7 +156,7 @@ def _segment_bytes(texts: DataFrame, bits) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, flat, ends in _parts(batches, 0):
             _, start, end, place, h = anchors(flat, ends)
-            on = sketches.marked(bits.value, h)
+            on = sketches.marked(bits.value, _spread(h))
             start, end, place = start[on], end[on], place[on]
             raw, seen = flat.tobytes(), {}
             for seg, a, b, p in zip(_segment_ids(flat, start, end, place), start.tolist(), end.tolist(), place.tolist()):
@@ -194,6 +205,35 @@ def repeated_places(segments: list[tuple[int, int, bytes]], length: int = LENGTH
     return found
 
 
+def places_of_segments(segments: list[tuple[int, int, bytes]], length: int = LENGTH,
+                       gram: int = GRAM) -> list[np.ndarray]:
+    """As `repeated_places`, for whole segments, of which few need the index.
+
+    The places of a segment fall into classes by how far the string reaches to the left of
+    the anchor.  All strings of a class hold one core, so only segments with equal cores can
+    match there; where the class's whole stretch is equal as well, the later is a repeat.
+    """
+    found = [np.zeros(len(raw) - length + 1, bool) for _, _, raw in segments]
+    reach = length - gram
+    step = -(-(reach + 1) // CLASSES)
+    bounds = [(l, min(l + step - 1, reach)) for l in range(0, reach + 1, step)]
+    groups: dict[tuple, dict] = {}
+    for i, (bucket, anchor, raw) in enumerate(segments):
+        for least, most in bounds:
+            start, stop = max(0, anchor - most), min(len(raw) - length, anchor - least)
+            if start > stop:
+                continue
+            stretches = groups.setdefault((bucket, most, raw[anchor - least:anchor + length - most]), {})
+            if stretches.setdefault((anchor - start, raw[start:stop + length]), (i, start))[0] != i:
+                found[i][start:stop + 1] = True
+    met = [(n, at, stretch, i, start) for n, stretches in enumerate(groups.values()) if len(stretches) > 1
+           for (at, stretch), (i, start) in stretches.items()]
+    if met:
+        for (_, _, _, i, start), places in zip(met, repeated_places([m[:3] for m in met], length)):
+            found[i][start:start + len(places)] |= places
+    return found
+
+
 def _intervals(places: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Joined (start, end) of the strings at the marked places."""
     at = np.flatnonzero(places)
@@ -216,7 +256,7 @@ def _resolve(length: int):
         out = []
         numbers: dict[tuple[int, int], int] = {}
         segments = [(numbers.setdefault((r["h"], r["slice"]), len(numbers)), r["anchor"], r["raw"]) for r in held]
-        for r, places in zip(held, repeated_places(segments, length)):
+        for r, places in zip(held, places_of_segments(segments, length)):
             for a, b in _intervals(places, length):
                 out.append((r["id"], r["text_key"], r["start"] + a, b - a, None))
             if r["slices"] > 1:
@@ -246,23 +286,22 @@ def _earliest(*more: str) -> Column:
     return F.struct("id", "text_key", "start", *more)
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(texts: DataFrame) -> DataFrame:
     """(id, text_key, start, size): runs of bytes that are repeats; they may overlap."""
-    spark = docs.sparkSession
-    texts = _texts(docs)
+    spark = texts.sparkSession
 
     def ids(batch):
-        return [batch.column(0).to_numpy().view(np.uint64)]
+        return [_spread(batch.column(0).to_numpy().view(np.uint64))]
 
     again = _anchor_rows(texts).groupBy("h").count().filter("count > 1").select("h")
     bits = spark.sparkContext.broadcast(sketches.bit_map(again, ids, MAP_BITS))
     rows = staged(_segment_rows(texts, bits), "segments")
     groups = staged(rows.groupBy("h", "seg").agg(
-        F.min(_earliest("size")).alias("first"), F.count("*").alias("_n")), "segment-groups")
-    copied = groups.filter("_n > 1").select("seg", "_n", *[F.col(f"first.{c}").alias(f"f_{c}") for c in ("id", "text_key", "start")])
-    later = attach(rows.select("seg", "id", "text_key", "start", "size"), staged(copied, "copied-segments"), "seg", "_n")
-    marks = later.filter(~(F.struct("id", "text_key", "start") == F.struct("f_id", "f_text_key", "f_start"))).select(
-        "id", "text_key", "start", "size")
+        F.min(_earliest()).alias("first")), "segment-groups")
+    # Every segment that is not the first of its group is a repeat; places are unique, so no
+    # group's size matters here.
+    marks = rows.select("id", "text_key", "start", "size").join(
+        groups.select("first.*"), ["id", "text_key", "start"], "left_anti")
 
     several = staged(groups.groupBy("h").agg(F.count("*").alias("_variants")).filter("_variants > 1"), "several")
     bits = spark.sparkContext.broadcast(sketches.bit_map(several.select("h"), ids, MAP_BITS))
@@ -326,7 +365,8 @@ def remove(docs: DataFrame) -> DataFrame:
     by a hash of their texts, and rows equal in id and text are one document.  An empty
     table gives no rows.
     """
-    marks = repeats(docs)
+    texts = _texts(docs)
+    marks = repeats(texts)
     spans = staged(marks.groupBy("id", "text_key").agg(
         F.collect_set(F.struct("start", "size")).alias("spans")), "spans")  # of one document each
     bits = docs.sparkSession.sparkContext.broadcast(sketches.bit_map(
@@ -337,7 +377,7 @@ def remove(docs: DataFrame) -> DataFrame:
             yield batch.append_column("marked", pa.array(sketches.marked(bits.value, _id_hash(batch.column(0)))))
 
     # Only texts with marks are shuffled to meet them.
-    flagged = _texts(docs).mapInArrow(
+    flagged = texts.mapInArrow(
         has_marks, "id long, text string, text_key long, doc_id long, marked boolean")
     plain = flagged.filter("NOT marked").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     met = flagged.filter("marked").join(spans, ["id", "text_key"], "left").select("doc_id", "text", "spans")
@@ -345,4 +385,4 @@ def remove(docs: DataFrame) -> DataFrame:
 
 
 def _id_hash(ids: pa.Array) -> np.ndarray:
-    return shingles.mix(ids.to_numpy().view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    return _spread(ids.to_numpy().view(np.uint64))
