@@ -114,6 +114,22 @@ def test_near_copies_of_one_text(spark):
     assert 1 < len({c for _, c in out.values()}) < 300
 
 
+def test_near_copies_of_large_texts(spark):
+    """Parity maps of one size and of two; links just above and just below the threshold."""
+    docs = {}
+    for g, size in enumerate((260, 500, 1020, 1100, 2040)):
+        base = [f"g{g}w{i}" for i in range(size)]
+        for j, changed in enumerate((0, size // 100, size // 55, size // 50, size // 45, size // 20)):
+            words = list(base) + [f"e{g}x{j}n{i}" for i in range(4 * j)]
+            for i in range(changed):
+                words[i * size // changed] = f"c{g}x{j}n{i}"
+            docs[10 * g + j] = " ".join(words)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    out = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in OPERATORS["jaccard"](df).collect()}
+    assert out == brute.near_components(docs, 85, 4)
+    assert 10 < len({c for _, c in out.values()}) < 30
+
+
 def test_long_repeats(odd_docs):
     out = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest())
            for r in long_repeats.remove(odd_docs).collect()}
@@ -144,6 +160,12 @@ def test_tokens(odd_docs):
     plain = tiktoken.Encoding("own", pat_str=vocabulary()[1], mergeable_ranks=codec.ranks, special_tokens={})
     for text, ids in zip(odd, encoded):
         assert np.frombuffer(ids, "<u4").tolist() == plain.encode_ordinary(text)
+    codec.cache = {}
+    bpe.CACHE_PIECES, limit = 50, bpe.CACHE_PIECES  # the cache starts anew again and again
+    try:
+        assert [codec.encode([t])[0] for t in odd] == encoded
+    finally:
+        bpe.CACHE_PIECES = limit
     out = {r["doc_id"]: r for r in bpe.encode_documents(odd_docs, *vocabulary()).collect()}
     assert out[1]["n_tokens"] == 0 and bytes(out[1]["ids"]) == b""
     assert all(bytes(out[i]["decoded"]).decode() == (t or "") for i, t in texts(odd_docs).items())
