@@ -28,7 +28,7 @@ from examloom.llm.run_index import RunIndex
 LENGTH = 100
 GRAM = 32
 PIECE_BYTES = 1 << 19    # hashed at once
-INDEX_BYTES = 1 << 21    # segments looked at together
+INDEX_BYTES = 1 << 20    # segments looked at together
 CLASSES = 4              # of places in a segment
 SLICE = 1_000            # segments of one anchor text that meet in a block
 MAP_BITS = 1 << 26       # 8 MB; more anchors only fill it
