@@ -181,6 +181,20 @@ def test_shards_of_a_group_larger_than_a_shard(spark):
     assert all(r["grown_shard"] is None and r["law"] == "rows" for r in out)
 
 
+@pytest.mark.parametrize("size, singles", [(2, 0), (10, 48)])
+def test_shards_without_singles_to_exchange(spark, size, singles):
+    """Linked documents change places with each other; what stays split does not grow with the rows."""
+    docs = spark.range(2400).selectExpr("id AS doc_id", f"CASE WHEN id < {singles} THEN concat('t', id) "
+                                        f"ELSE concat('g', (id - {singles}) DIV {size}) END AS text")
+    out = sharding.shard(docs).collect()
+    assert sorted(Counter(r["shard"] for r in out).values()) == [100] * 24
+    groups = {}
+    for r in out:
+        if r["doc_id"] >= singles:
+            groups.setdefault((r["doc_id"] - singles) // size, set()).add(r["shard"])
+    assert sum(len(s) > 1 for s in groups.values()) <= 24
+
+
 def test_mixing_shares_and_shortages(spark):
     text = "w " * 10
     rows = [(i, text, "en", "a") for i in range(10)] + [(100 + i, text, "en", "b") for i in range(100)]
