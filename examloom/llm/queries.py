@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from examloom.llm import bpe, chat, exact_dedup, extraction, jaccard, licenses, long_repeats, mixing, quality, sharding
+from examloom.llm import (
+    bpe, chat, exact_dedup, extraction, infilling, jaccard, licenses, long_repeats, mixing, quality, resampling, sharding,
+)
 from examloom.llm.registry import query
 
 
@@ -66,3 +68,13 @@ def op2(spark, sf_dir):
 def op6(spark, sf_dir):
     kept = long_repeats.remove(table(spark, sf_dir, "documents"))
     return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@query("op11_importance_resampling", resampling.SQL)
+def op11(spark, sf_dir):
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_fill_in_middle", infilling.SQL)
+def op12(spark, sf_dir):
+    return infilling.digests(table(spark, sf_dir, "documents"))
