@@ -108,3 +108,27 @@ def blocks(texts, limit: int):
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
         yield start, stop
         start = stop
+
+
+def flat_bytes(texts):
+    """(all bytes, ends) of an Arrow text column without nulls; text i is bytes ends[i]:ends[i + 1]."""
+    import numpy as np
+    import pyarrow as pa
+
+    wide = pa.types.is_large_string(texts.type)
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64 if wide else np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    flat = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    return flat, ends - ends[0]
+
+
+def identified(docs: DataFrame, last: int) -> DataFrame:
+    """id, text, text_key, doc_id of documents: null texts empty, null ids `last`.
+
+    The key tells documents of one id apart; where all ids differ it is 0 and takes no room.
+    """
+    text = F.coalesce(F.col("`text`").cast("string"), F.lit(""))
+    rows = docs.select(F.coalesce(F.col("`doc_id`").cast("long"), F.lit(last)).alias("id"),
+                       text.alias("text"), F.col("`doc_id`").cast("long").alias("doc_id"))
+    repeated = rows.groupBy("id").count().filter("count > 1").limit(1).count()
+    return rows.select("id", "text", (F.xxhash64("text") if repeated else F.lit(0).cast("long")).alias("text_key"), "doc_id")

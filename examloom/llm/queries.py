@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from examloom.llm import (
     bpe, chat, exact_dedup, extraction, infilling, jaccard, licenses, long_repeats, mixing, quality, resampling, sharding,
+    word_repeats,
 )
 from examloom.llm.registry import query
 
@@ -78,3 +79,9 @@ def op11(spark, sf_dir):
 @query("op12_fill_in_middle", infilling.SQL)
 def op12(spark, sf_dir):
     return infilling.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_substring_dedup")
+def op13(spark, sf_dir):
+    kept = word_repeats.remove(table(spark, sf_dir, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
