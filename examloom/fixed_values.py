@@ -36,6 +36,7 @@ KO_ANSWER = "정답"
 TURN_START = "<start_of_turn>"
 TURN_END = "<end_of_turn>"
 MODEL_TURN = "<start_of_turn>model"
+IGNORED = -100  # label of a token that is not trained on
 
 # --- Fixed values: limits ----------------------------------------------------
 

@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from examloom.fixed_values import (
+    IGNORED,
     LABEL_FAILED,
     MODEL_TURN,
     OPTION_COUNT,
@@ -13,7 +14,7 @@ from examloom.fixed_values import (
     TOPICS,
     TURN_END,
 )
-from examloom.functions.text import ascii_digits, let, strip
+from examloom.functions.text import ascii_digits, last, let, strip
 
 
 def clean_topic(topic) -> Column:
@@ -73,3 +74,36 @@ def decode_label(text) -> Column:
     answer = strip(F.substring_index(text, TURN_END, 1))
     options = [str(n) for n in range(1, OPTION_COUNT + 1)]
     return F.when(answer.isin(*options), answer.try_cast("int") - 1)
+
+
+def completion_labels(input_ids, marker: list[int], pad_id: int | None = None) -> Column:
+    """Training labels of a row of token ids: array of the same length.
+
+    IGNORED up to the end of the last place where the ids of `marker` stand, then the ids
+    themselves; all IGNORED without the marker.  Padding (`pad_id`) is ignored as well.  An
+    empty marker ends nowhere.  Null ids give null labels.
+    """
+    if not marker:
+        return F.transform(input_ids, lambda x: F.lit(IGNORED))
+    ignored = F.lit(IGNORED)
+
+    def stands_at(ids, at):
+        here = F.get(ids, at) == F.lit(marker[0])
+        for offset, token in enumerate(marker[1:], 1):
+            here = here & (F.get(ids, at + offset) == F.lit(token))
+        return here
+
+    def end_in(ids):
+        starts = F.when(
+            F.size(ids) >= len(marker),
+            F.filter(F.sequence(F.lit(0), F.size(ids) - len(marker)), lambda at: stands_at(ids, at)))
+        return F.coalesce(last(starts) + len(marker), F.size(ids))
+
+    def labels(ids):
+        def label(token, at, end):
+            trained = (at >= end) if pad_id is None else (at >= end) & (token != F.lit(pad_id))
+            return F.when(trained, token).otherwise(ignored)
+
+        return let(end_in(ids), lambda end: F.transform(ids, lambda token, at: label(token, at, end)))
+
+    return F.when(input_ids.isNotNull(), let(input_ids, labels))

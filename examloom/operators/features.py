@@ -6,15 +6,18 @@ combined on the map side before they are shuffled.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from examloom.fixed_values import MAX_FEATURES
+from examloom.fixed_values import IGNORED, MAX_FEATURES, MODEL_TURN
+from examloom.functions.labels import completion_labels
 from examloom.functions.lookup import LookupIndex
 from examloom.functions.text import let, once, word_counts, words
+from examloom.operators.dictionaries import BlockDictionaries
 from examloom.sources.tables import stage
 
 
@@ -82,51 +85,75 @@ def add_token_count(df: DataFrame, text: str = "text", into: str = "token_count"
 def word_ids(df: DataFrame, text: str = "text", max_vocabulary: int | None = None) -> DataFrame:
     """term, token_id of all words: 1 for the most frequent; ties by term.
 
-    Words are counted on the map side, range-partitioned by rank and staged; each
-    range numbers its own words behind the counts of the ranges before it.  A
-    vocabulary limit holds only if the caller sets one.
+    A vocabulary limit holds only if the caller sets one.
     """
     totals = df.select(F.explode(words(text)).alias("term")).groupBy("term").agg(F.count("*").alias("cf"))
-    ordered = totals.repartitionByRange(F.desc("cf"), F.asc("term"))
-    ranges = stage(ordered.withColumn("_range", F.spark_partition_id()), "word-ranges")
-    sizes = ranges.groupBy("_range").agg(F.count("*").alias("_words"))
-    before = F.coalesce(F.sum("_words").over(
-        Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select("_range", before.alias("_before"))  # one row per range
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(F.desc("cf"), "term"))
-    ids = ranges.withColumn("_place", inside).join(offsets, "_range").select(
-        "term", (F.col("_before") + F.col("_place")).cast("int").alias("token_id"))
+    return _ranked(totals, max_vocabulary)
+
+
+def _ranked(totals: DataFrame, max_vocabulary: int | None) -> DataFrame:
+    """Ranks of (term, cf): terms are range-partitioned and sorted by rank and staged with their
+    place in the range; a range starts behind the counts of the ranges before it."""
+    spark, place_bits = totals.sparkSession, 33  # as `monotonically_increasing_id` has it
+    ordered = totals.repartitionByRange(F.desc("cf"), F.asc("term")).sortWithinPartitions(F.desc("cf"), "term")
+    ranges = stage(ordered.select("term", F.monotonically_increasing_id().alias("_place")), "word-ranks")
+    number = F.shiftright("_place", place_bits)
+    offsets, before = [], 0
+    for r in ranges.groupBy(number.alias("range")).count().orderBy("range").collect():  # one row per range
+        offsets.append((r["range"], before))
+        before += r["count"]
+    starts = F.broadcast(spark.createDataFrame(offsets, "_range long, _before long"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << place_bits) - 1))
+    ids = ranges.withColumn("_range", number).join(starts, "_range").select(
+        "term", (F.col("_before") + inside + 1).cast("int").alias("token_id"))
     return ids if max_vocabulary is None else ids.filter(F.col("token_id") <= max_vocabulary)
 
 
 def tokenize(df: DataFrame, *keys: str, text: str = "text", max_vocabulary: int | None = None,
-             frequent: int = 30_000) -> DataFrame:
-    """Key columns, input_ids, attention_mask with the built-in word tokenizer.
+             split: Column | None = None) -> DataFrame:
+    """Key columns, input_ids, attention_mask with the built-in word tokenizer; a staged table.
 
     A token's id is its rank by frequency (1 is the most frequent).  Nothing is
     truncated or padded.  Only if the caller sets `max_vocabulary`, words behind it
-    become 0.  The `frequent` first words are looked up inside the row; the others,
-    none of which is frequent, are joined by term and put back by row and place.
+    become 0.  Texts are split once (or were before: `split` holds their words); ranks come
+    from the counts of the blocks' dictionaries and return to them, so neither texts nor ids are shuffled.
     """
-    ids = stage(word_ids(df, text, max_vocabulary), "word-ids")
-    index = LookupIndex(ids.filter(F.col("token_id") <= frequent), "term", "token_id", frequent)
-    found = F.transform(words(text), lambda w, i: F.struct(
-        i.alias("place"), index.look_up(w).alias("id"), w.alias("term")))
-    coded = index.attach(df).select(*keys, let(found, lambda ws: F.struct(
-        F.transform(F.filter(ws, lambda w: w["id"].isNotNull()),
-                    lambda w: F.struct(w["place"].alias("place"), w["id"].alias("id"))).alias("known"),
-        F.transform(F.filter(ws, lambda w: w["id"].isNull()),
-                    lambda w: F.struct(w["place"].alias("place"), w["term"].alias("term"))).alias("rare"),
-    )).alias("_coded"))
-    # The row numbers have to stay the same wherever they are used.
-    rows = stage(coded.select(*keys, F.monotonically_increasing_id().alias("_row"), "_coded.*"), "coded")
-    rare = rows.select("_row", F.inline("rare")).join(ids, "term", "left")
-    of_row = rare.groupBy("_row").agg(F.collect_list(F.struct(  # words of one row
-        "place", F.coalesce("token_id", F.lit(0)).alias("id"))).alias("rest"))
-    in_place = F.sort_array(F.concat("known", F.coalesce("rest", F.array().cast("array<struct<place:int,id:int>>"))))
-    joined = rows.join(of_row, "_row", "left").select(
-        *keys, F.transform(in_place, lambda w: w["id"]).alias("input_ids"))
-    return joined.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
+    return tokenize_with_ids(df, *keys, text=text, max_vocabulary=max_vocabulary, split=split)[0]
+
+
+def tokenize_with_ids(df: DataFrame, *keys: str, text: str = "text", max_vocabulary: int | None = None,
+                      split: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(as `tokenize`, the vocabulary: term, token_id), both from staged tables."""
+    blocks = BlockDictionaries(df, words(F.col(text)) if split is None else split, *keys)
+    totals = blocks.totals().select(F.col("entry").alias("term"), F.col("n").alias("cf"))
+    ids = _ranked(totals, max_vocabulary)
+    coded = blocks.replaced(ids, "term", "token_id", "input_ids", F.lit(0))
+    return coded.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids"))), ids
+
+
+def detokenize(df: DataFrame, ids: DataFrame, *keys: str, input_ids: str = "input_ids", pad_id: int = 0,
+               into: str = "text") -> DataFrame:
+    """Key columns and the text of rows of token ids, words joined by a space; a staged table.
+
+    `ids`: term, token_id.  Ignored labels are padding, and padding is left out, as are ids the
+    vocabulary does not hold.  Null ids give a null text.
+    """
+    padded = F.transform(F.col(input_ids), lambda x: F.when(x == IGNORED, pad_id).otherwise(x))
+    blocks = BlockDictionaries(df, F.filter(padded, lambda x: x.isNotNull() & (x != pad_id)), *keys)
+    found = blocks.replaced(ids, "token_id", "term", "_terms", F.lit(None).cast("string"))
+    return found.select(*keys, F.array_join("_terms", " ").alias(into))
+
+
+def add_completion_labels(df: DataFrame, ids: DataFrame, marker: list[str] | None = None,
+                          input_ids: str = "input_ids", into: str = "labels", pad_id: int | None = None) -> DataFrame:
+    """Add training labels: ignored up to the end of the last marker, then the token ids.
+
+    `marker`: its tokens, by default the words that open a model's turn; `ids`: term, token_id.  A
+    marker with a token that no text holds stands nowhere.
+    """
+    wanted = marker or [w.lower() for w in re.findall(r"\w{2,}", MODEL_TURN)]
+    found = {r["term"]: r["token_id"] for r in ids.filter(F.col("term").isin(wanted)).collect()}  # of the marker
+    return df.withColumn(into, completion_labels(F.col(input_ids), [found.get(w, -1) for w in wanted], pad_id))
 
 
 def tokenize_with(df: DataFrame, load_tokenizer: Callable[[], Callable[[list[str]], list]],
