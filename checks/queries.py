@@ -18,7 +18,8 @@ from examloom.operators import exam as ex
 from examloom.operators import features, messages, metrics, replies, split
 from examloom.plans import augmenting, labelling, scoring, training
 from examloom.schemas import EXAM_RAW
-from examloom.sources import reports, tables, templates
+from examloom.sources import large_csv, reports, tables, templates
+from examloom.streaming import reports as streaming_reports
 
 
 def digest(column, name):
@@ -49,6 +50,16 @@ def s1(spark, sf_dir):
     return back.select("id", *[digest(F.col(c), c) for c in EXAM_RAW.fieldNames()[1:]])
 
 
+@query("s1_read_large_csv", f"""WITH {fx.RAW_SQL}
+SELECT id, md5(paragraph) AS paragraph, md5(problems) AS problems,
+       md5(nullif(question_plus, '')) AS question_plus FROM raw""")
+def s1_large(spark, sf_dir):
+    path = tables.scratch_path(spark, "large-csv")
+    tables.write_csv(fx.exam_raw(spark, sf_dir).select(*EXAM_RAW.fieldNames()), path)
+    back = large_csv.read_large_csv(spark, path)
+    return back.select("id", *[digest(F.col(c), c) for c in EXAM_RAW.fieldNames()[1:]])
+
+
 @query("s2_write_table", f"""WITH {fx.EXAM_SQL}
 SELECT id, md5(paragraph) AS paragraph, question, {CHOICES}, answer FROM exam""")
 def s2(spark, sf_dir):
@@ -414,6 +425,72 @@ def t9(spark, sf_dir):
     return turns.select("conv_id", "turn", label_fns.completion_text(text).alias("completion"))
 
 
+# Turns of a user once, of an assistant behind two user turns, of others without a marker.
+MARKED_SQL = f"""marked AS (
+  SELECT conv_id, turn, CASE role WHEN 'user' THEN u || text || ' end' WHEN 'assistant' THEN u || lang || u || text
+                             ELSE text END AS text
+  FROM (SELECT conv_id, turn, role, coalesce(text, '') AS text, 'go on' AS lang,
+               '<start_of_turn>user x<end_of_turn>' || chr(10) || '<start_of_turn>model ' AS u FROM conversations)),
+words AS (SELECT conv_id, turn, {fx.WORDS_SQL.format('text')} AS w FROM marked),
+vocabulary AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) AS token_id
+               FROM (SELECT unnest(w) AS term FROM words) GROUP BY term)"""
+
+
+def marked_turns(spark, sf_dir):
+    user = f"<start_of_turn>user x{fv.TURN_END}\n{fv.MODEL_TURN} "
+    text = F.coalesce("text", F.lit(""))
+    return fx.table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.when(F.col("role") == "user", F.concat(F.lit(user), text, F.lit(" end"))).when(
+            F.col("role") == "assistant", F.concat(F.lit(user + "go on" + user), text)).otherwise(text).alias("text"))
+
+
+@query("t9_token_labels", f"""WITH {MARKED_SQL},
+places AS (SELECT conv_id, turn, w, list_max(list_filter(range(1, len(w)), lambda i:
+             w[i] = 'start_of_turn' AND w[i + 1] = 'model')) + 1 AS marker_end FROM words),
+tokens AS (SELECT conv_id, turn, unnest(w) AS term, generate_subscripts(w, 1) AS pos, coalesce(marker_end, 1000000000) AS marker_end
+           FROM places),
+coded AS (SELECT conv_id, turn, md5(string_agg(token_id::VARCHAR, ',' ORDER BY pos)) AS input_ids,
+            md5(string_agg(CASE WHEN pos > marker_end THEN token_id ELSE -100 END::VARCHAR, ',' ORDER BY pos)) AS labels,
+            count(*) FILTER (pos > marker_end)::INTEGER AS trained
+          FROM tokens JOIN vocabulary USING (term) GROUP BY conv_id, turn)
+SELECT conv_id, turn, coalesce(input_ids, md5('')) AS input_ids, coalesce(labels, md5('')) AS labels,
+       coalesce(trained, 0) AS trained FROM marked LEFT JOIN coded USING (conv_id, turn)""")
+def t9_labels(spark, sf_dir):
+    coded, ids = features.tokenize_with_ids(marked_turns(spark, sf_dir), "conv_id", "turn")
+    rows = features.add_completion_labels(coded, ids)
+    return rows.select(
+        "conv_id", "turn", *[digest(F.array_join(F.col(c).cast("array<string>"), ","), c) for c in ("input_ids", "labels")],
+        F.size(F.filter("labels", lambda x: x != fv.IGNORED)).alias("trained"))
+
+
+@query("t10_decode_ids", f"""SELECT doc_id, md5(array_to_string({fx.WORDS_SQL.format('text')}, ' ')) AS text,
+  len({fx.WORDS_SQL.format('text')})::INTEGER AS words FROM documents""")
+def t10_ids(spark, sf_dir):
+    coded, ids = features.tokenize_with_ids(fx.table(spark, sf_dir, "documents"), "doc_id")
+    padded = coded.select("doc_id", F.flatten(F.array(  # ignored and padding places around and between the ids
+        F.array(F.lit(fv.IGNORED), F.lit(0)), F.flatten(F.transform("input_ids", lambda x: F.array(x, F.lit(fv.IGNORED)))),
+        F.array(F.lit(0)))).alias("input_ids"))
+    text = features.detokenize(padded, ids, "doc_id")
+    return text.select("doc_id", digest(F.col("text"), "text"),
+                       F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", " "))).alias("words"))
+
+
+# The trained ids of a turn decoded: an option's number, or a reject.
+@query("t10_decode_label_ids", """SELECT conv_id, turn,
+  CASE WHEN (conv_id + turn) % 8 BETWEEN 1 AND 5 THEN (conv_id + turn) % 8 - 1 END::INTEGER AS option,
+  (conv_id + turn) % 8 NOT BETWEEN 1 AND 5 AS rejected FROM conversations""")
+def t10_label_ids(spark, sf_dir):
+    answer = ((F.col("conv_id") + F.col("turn")) % 8).cast("string")
+    turns = fx.table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.concat(F.coalesce("text", F.lit("")), F.lit(f" {fv.MODEL_TURN} "), answer, F.lit(f" {fv.TURN_END}")).alias("text"))
+    coded, ids = features.tokenize_with_ids(turns, "conv_id", "turn", split=F.split("text", r"\s+"))
+    rows = features.add_completion_labels(coded, ids, marker=[fv.MODEL_TURN])
+    decoded, rejected = replies.decode_labels(features.detokenize(rows, ids, "conv_id", "turn", input_ids="labels"))
+    return ex.merge_sources(
+        decoded.withColumn("rejected", F.lit(False)), rejected.withColumn("rejected", F.lit(True)),
+    ).select("conv_id", "turn", "option", "rejected")
+
+
 @query("t10_decode_label", """SELECT vec_id, label,
   CASE WHEN label BETWEEN 1 AND 5 THEN label - 1 END::INTEGER AS option, label NOT BETWEEN 1 AND 5 AS rejected
 FROM embeddings""")
@@ -491,6 +568,23 @@ def a4(spark, sf_dir):
     return metrics.epoch_report(log, order=("hour",))
 
 
+# The log in three pieces, fed one by one; the second query goes on where the first one stopped.
+@query("a4_stream_epoch_report", f"""WITH {fx.REPORT_SQL}
+SELECT run, event_id, epoch, training_loss, validation_loss, accuracy FROM report""")
+def a4_stream(spark, sf_dir):
+    log = fx.metric_log(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    pieces, out, checkpoint = (tables.scratch_path(spark, name) for name in ("log-pieces", "stream-report", "stream-state"))
+    cuts = log.select(F.unix_seconds("ts").alias("s")).agg(F.percentile("s", F.array(F.lit(1 / 3), F.lit(2 / 3)))).first()[0]
+    part = F.when(F.unix_seconds("ts") <= cuts[0], 0).when(F.unix_seconds("ts") <= cuts[1], 1).otherwise(2)
+    for piece in range(3):
+        log.filter(part == piece).write.mode("append").parquet(pieces)
+        events = spark.readStream.schema(log.schema).parquet(pieces)
+        report = streaming_reports.stream_epoch_report(events, order=("ts", "event_id"))
+        report.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(
+            availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(report.schema).parquet(out).drop("ts")
+
+
 # --- scoring --------------------------------------------------------------------------------
 
 
@@ -524,6 +618,24 @@ def m1_at(spark, sf_dir):
         F.round(F.get("p", F.lit(1)), 6).alias("b"))
 
 
+# Scores of three to six places, the last ones padding; one row has no place at all.
+@query("m1_sequence_logits", """WITH s AS (SELECT vec_id, embedding::DOUBLE[] AS e, vec_id % 5 AS n FROM embeddings)
+SELECT vec_id, CASE WHEN n >= 1 THEN printf('%.6f,%.6f', round(e[3] + n - 1, 6), round(e[5] + n - 1, 6)) END AS last,
+  CASE WHEN n >= 2 THEN printf('%.6f,%.6f', round(e[3] + n - 2, 6), round(e[5] + n - 2, 6)) END AS second FROM s""")
+def m1_sequence(spark, sf_dir):
+    n = (F.col("vec_id") % 5).cast("int")
+    places = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda p: F.transform("logits", lambda x: x + p))
+    mask = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda p: F.when(p < n, 1).otherwise(0))
+    rows = fx.logits(spark, sf_dir).select("vec_id", places.alias("logits"), mask.alias("attention_mask"))
+    options = F.array(F.lit(2), F.lit(4))
+
+    def scores(from_end):
+        found = score_fns.sequence_logits(F.col("logits"), F.col("attention_mask"), options, from_end)
+        return F.when(found.isNotNull(), rounded(found))
+
+    return rows.select("vec_id", scores(1).alias("last"), scores(2).alias("second"))
+
+
 @query("m2_softmax", f"""WITH {fx.LOGITS_SQL},
 parts AS (SELECT vec_id, unnest(logits) AS x, generate_subscripts(logits, 1) AS option FROM scores)
 SELECT vec_id, (option - 1)::INTEGER AS option,

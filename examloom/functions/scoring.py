@@ -17,6 +17,25 @@ def logits_at(logits, positions) -> Column:
     return F.transform(positions, lambda p: F.get(logits, p))
 
 
+def sequence_position(attention_mask, from_end: int = 1) -> Column:
+    """0-based place of the last attended token of a right-padded row, or of the one `from_end - 1`
+    places before it; null where the row has no such token."""
+    ends = F.size(attention_mask) - F.array_position(F.reverse(attention_mask), F.lit(1)).cast("int")
+    place = F.when(F.array_contains(attention_mask, F.lit(1)), ends - (from_end - 1))
+    return F.when(place >= 0, place)
+
+
+def sequence_logits(logits, attention_mask, options, from_end: int = 1) -> Column:
+    """Scores of the option tokens (0-based vocabulary places) from scores per place and vocabulary.
+
+    `from_end` 1 reads the last attended token, as scoring a prompt does; 2 the one before, as
+    evaluation does while training, where the turn's end follows the answer.  A row that is too
+    short, or has no scores at that place, gives null.
+    """
+    place = sequence_position(attention_mask, from_end)
+    return let(F.get(logits, place), lambda scores: F.when(scores.isNotNull(), logits_at(scores, options)))
+
+
 def softmax(scores) -> Column:
     """Probabilities over an array of scores, shifted by the maximum."""
     def normalised(exps):
