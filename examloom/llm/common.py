@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 WHITE = r"\x20\x09-\x0D"  # white space of the contracts
+_STAGED: list[str] = []
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -19,7 +21,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _STAGED.append(f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _STAGED[-1]
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Tables that operators stage inside the block are removed at its end: write the results in it."""
+    before = len(_STAGED)
+    try:
+        yield
+    finally:
+        for path in _STAGED[before:]:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        del _STAGED[before:]
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -30,6 +46,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int):
+    """Tasks in Python that start inside the block get at most so many rows at once: less memory
+    for long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if int(before) <= 0 or int(before) > most:
+        spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
