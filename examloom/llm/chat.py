@@ -12,10 +12,11 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from examloom.llm.common import partitions
 
@@ -62,6 +63,12 @@ READ = T.StructType([
     T.StructField("valid", T.BooleanType())])
 
 
+def _batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(schema)
+    arrow = to_arrow_schema(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+
 def escape(text: str, pattern: re.Pattern) -> str:
     """An escape sign before each escape sign and each control string."""
     return pattern.sub(lambda m: ESCAPE + m[0], text)
@@ -71,24 +78,18 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.S)
 
 
-def _missing(value) -> bool:
-    return value is None or value != value
-
-
 def _formatter(template: Template):
     pattern = re.compile(re.escape(ESCAPE) + "|" + template.control_pattern())
 
-    def format_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def format_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, state, position = object(), "start", 0
         for batch in batches:
             out = []
-            for conv_id, role, text in zip(batch["conv_id"], batch["role"], batch["text"]):
-                conv_id = None if _missing(conv_id) else int(conv_id)
-                role = None if _missing(role) else role
+            for conv_id, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
                 if conv_id != conv:
                     conv, state, position = conv_id, "start", 0
                 state = template.turns.get(state, {}).get(role, "invalid")
-                body = escape("" if _missing(text) else text, pattern)
+                body = escape(text or "", pattern)
                 if role is None:
                     before, after = template.nameless
                 elif role in template.marks:
@@ -99,7 +100,7 @@ def _formatter(template: Template):
                 segments = [(before, False), (body, role in template.loss), (after, False)]
                 out.append((conv_id, position, [{"text": t, "loss": x} for t, x in segments], state))
                 position += 1
-            yield pd.DataFrame(out, columns=FORMATTED.fieldNames()).astype({"conv_id": "Int64"})
+            yield _batch(out, FORMATTED)
 
     return format_rows
 
@@ -117,7 +118,7 @@ def format_chats(turns: DataFrame, template: Template = Template()) -> DataFrame
                           (("conv_id", "long"), ("turn", "long"), ("role", "string"), ("text", "string"))])
     dealt = rows.repartition(partitions(turns.sparkSession), "conv_id") \
         .sortWithinPartitions("conv_id", "turn", "role", "text")
-    return dealt.mapInPandas(_formatter(template), FORMATTED)
+    return dealt.mapInArrow(_formatter(template), FORMATTED)
 
 
 def _reader(template: Template):
@@ -148,7 +149,7 @@ def _reader(template: Template):
             raise ValueError("text after the end of a turn")
         return role, unescape(chunk[rest:stop])
 
-    def read_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, seen = None, None
 
         def result():
@@ -157,9 +158,8 @@ def _reader(template: Template):
 
         for batch in batches:
             out = []
-            for conv_id, position, segments, state in zip(
-                    batch["conv_id"], batch["position"], batch["segments"], batch["state"]):
-                conv_id = None if _missing(conv_id) else int(conv_id)
+            for conv_id, position, segments, state in zip(*(
+                    batch.column(c).to_pylist() for c in ("conv_id", "position", "segments", "state"))):
                 if position == 0:
                     if seen:
                         out.append(result())
@@ -175,9 +175,9 @@ def _reader(template: Template):
                         seen[4] += len(body)
                 seen[3] += len(chunk)
                 seen[5] = state
-            yield pd.DataFrame(out, columns=READ.fieldNames()).astype({"conv_id": "Int64"})
+            yield _batch(out, READ)
         if seen:
-            yield pd.DataFrame([result()], columns=READ.fieldNames()).astype({"conv_id": "Int64"})
+            yield _batch([result()], READ)
 
     return read_rows
 
@@ -186,7 +186,7 @@ def read_back(formatted: DataFrame, template: Template = Template()) -> DataFram
     """One row per conversation, from the formatted text alone: number and digest of the turns,
     characters and digest of what bears loss, characters of the formatted text, and whether
     the turns were in a valid order.  Takes the rows of `format_chats` as they come."""
-    return formatted.mapInPandas(_reader(template), READ)
+    return formatted.mapInArrow(_reader(template), READ)
 
 
 PROBE = "</s>[INST] ok [/INST]"
