@@ -1,11 +1,12 @@
-"""License labels: phrases anywhere, and lines that contain a license template.
+"""License labels: phrases anywhere, and blocks of lines that contain a license template.
 
-The second part is an exact set-similarity join of text blocks (lines) with templates.
+The second part is an exact set-similarity join of text blocks (runs of `LINES` lines) with templates.
 Tokens are ordered by their frequency in the whole corpus, rarest first.  A block can hold
 `need` of a template's tokens only if the two share a token among their first
 `size - need + 1` in that order (prefix filter), if it has that many known tokens (length
 filter), and if enough tokens follow that first common one on both sides (positional
-filter).  What is left is verified by the full intersection.  The templates are a parameter of
+filter).  What is left is verified by the full intersection, and by the words that tell the license
+from others.  The templates are a parameter of
 fixed size, so their index is a literal in the plan and no text is shuffled.
 """
 
@@ -26,33 +27,37 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
+# (words that tell the license from others and have to be there, text)
 TEMPLATES = {
     "mit": [
-        "released under the mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this "
-        "software and associated documentation files the software to deal in the software "
-        "without restriction",
+        ("mit", "released under the mit license"),
+        ("", "permission is hereby granted free of charge to any person obtaining a copy of this "
+         "software and associated documentation files the software to deal in the software "
+         "without restriction"),
     ],
     "apache-2": [
-        "licensed under the apache license version 2 0",
-        "you may not use this file except in compliance with the license you may obtain a copy "
-        "of the license at http www apache org licenses license 2 0",
+        ("apache 2", "licensed under the apache license version 2 0"),
+        ("apache 2", "you may not use this file except in compliance with the license you may obtain a copy "
+         "of the license at http www apache org licenses license 2 0"),
     ],
     "gpl-3": [
-        "this work is licensed under the gnu general public license version 3",
-        "this program is free software you can redistribute it and or modify it under the terms "
-        "of the gnu general public license as published by the free software foundation",
+        ("gnu 3", "this work is licensed under the gnu general public license version 3"),
+        ("gnu", "this program is free software you can redistribute it and or modify it under the terms "
+         "of the gnu general public license as published by the free software foundation"),
     ],
-    "cc-by-nc": ["licensed under cc by nc 4 0"],
-    "cc-by-sa": ["licensed under cc by sa 4 0"],
-    "bsd": ["redistribution and use in source and binary forms with or without modification are "
-            "permitted provided that the following conditions are met"],
+    "cc-by-nc": [("cc nc", "licensed under cc by nc 4 0")],
+    "cc-by-sa": [("cc sa", "licensed under cc by sa 4 0")],
+    "bsd": [("", "redistribution and use in source and binary forms with or without modification are "
+             "permitted provided that the following conditions are met")],
 }
 THRESHOLD = 0.8
+LINES = 4  # lines of a block: notices are wrapped, and the longest template takes about as many
 
 
-def _template_sets(templates) -> list[tuple[str, list[str]]]:
-    return [(label, sorted(set(text.split()))) for label, texts in templates.items() for text in texts]
+def _template_sets(templates) -> list[tuple[str, list[str], list[str]]]:
+    """(label, distinct tokens, those that have to be there)"""
+    return [(label, sorted(set(text.split())), sorted(set(needed.split())))
+            for label, texts in templates.items() for needed, text in texts]
 
 
 def _tokens(text: Column) -> Column:
@@ -66,7 +71,7 @@ def token_order(docs: DataFrame, text: str, templates=TEMPLATES) -> list[str]:
     The only pass over all texts beside the scan itself; its result has one row per
     template token, whatever the corpus' size.
     """
-    vocabulary = sorted({w for _, words in _template_sets(templates) for w in words})
+    vocabulary = sorted({w for _, words, _ in _template_sets(templates) for w in words})
     known = F.array(*map(F.lit, vocabulary))
     counts = docs.select(F.explode(F.array_intersect(
         _tokens(F.coalesce(F.col(f"`{text}`"), F.lit(""))), known)).alias("token")).groupBy("token").count()
@@ -80,18 +85,21 @@ def _containments(lines: Column, order: list[str], templates, threshold: float)
     ranks = F.create_map(*[x for w, i in rank.items() for x in (F.lit(w), F.lit(i))])
     known = F.array(*map(F.lit, order))
     index = []
-    for label, words in _template_sets(templates):
+    for label, words, required in _template_sets(templates):
         tokens = sorted(rank[w] for w in words)
         need = ceil(threshold * len(tokens) - 1e-9)
         index.append(F.struct(
             F.lit(label).alias("label"), F.array(*map(F.lit, tokens)).alias("tokens"),
             F.array(*map(F.lit, tokens[:len(tokens) - need + 1])).alias("prefix"),
+            F.array(*[F.lit(rank[w]) for w in required]).cast("array<int>").alias("required"),
             F.lit(need).alias("need")))
-    least = min(ceil(threshold * len(w) - 1e-9) for _, w in _template_sets(templates))
+    least = min(ceil(threshold * len(w) - 1e-9) for _, w, _ in _template_sets(templates))
 
-    def block(line: Column) -> Column:
-        words = F.array_intersect(_tokens(line), known)
-        return F.array_sort(F.transform(words, lambda w: F.element_at(ranks, w)))
+    def line_ranks(line: Column) -> Column:
+        return F.transform(F.array_intersect(_tokens(line), known), lambda w: F.element_at(ranks, w))
+
+    def block(of_lines: Column, at: Column) -> Column:
+        return F.array_sort(F.array_distinct(F.flatten(F.slice(of_lines, at + 1, F.lit(LINES)))))
 
     def candidate(b: Column, t: Column) -> Column:
         first = F.array_min(F.array_intersect(
@@ -105,11 +113,16 @@ def _containments(lines: Column, order: list[str], templates, threshold: float)
         scored = F.transform(near, lambda t: F.struct(
             t["label"].alias("label"),
             (F.size(F.array_intersect(b, t["tokens"])) / F.size(t["tokens"])).alias("share"),
-            (F.size(F.array_intersect(b, t["tokens"])) >= t["need"]).alias("ok")))
+            ((F.size(F.array_intersect(b, t["tokens"])) >= t["need"])
+             & (F.size(F.array_except(t["required"], b)) == 0)).alias("ok")))
         return F.filter(scored, lambda m: m["ok"])
 
-    blocks = F.filter(F.transform(lines, block), lambda b: F.size(b) >= least)
-    return F.flatten(F.transform(blocks, matches))
+    def found(of_lines: Column) -> Column:
+        blocks = F.filter(F.transform(of_lines, lambda _, at: block(of_lines, at)), lambda b: F.size(b) >= least)
+        return F.flatten(F.transform(blocks, matches))
+
+    # Bound as a lambda's variable, the lines' tokens are found once.
+    return F.flatten(F.transform(F.array(F.transform(lines, line_ranks)), found))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates=TEMPLATES,
@@ -124,7 +137,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates=
     """
     order = token_order(docs, text, templates)
     rank = {w: i for i, w in enumerate(order)}
-    prefix_words = sorted({w for _, words in _template_sets(templates)
+    prefix_words = sorted({w for _, words, _ in _template_sets(templates)
                            for w in sorted(words, key=rank.get)[:len(words) - ceil(threshold * len(words) - 1e-9) + 1]})
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     lowered = F.lower(body)  # lowers at least A-Z: fit to find what can be there at all
@@ -169,23 +182,26 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates=
 
 def _sql(templates=TEMPLATES, phrases=PHRASES, threshold=THRESHOLD) -> str:
     values = ", ".join(
-        f"('{label}', {i}, [{', '.join(repr(w) for w in words)}], {ceil(threshold * len(words) - 1e-9)})"
-        for i, (label, words) in enumerate(_template_sets(templates)))
+        f"('{label}', {i}, [{', '.join(map(repr, words))}], [{', '.join(map(repr, required)) or 'NULL'}]::VARCHAR[], "
+        f"{ceil(threshold * len(words) - 1e-9)})" for i, (label, words, required) in enumerate(_template_sets(templates)))
     places = " UNION ALL ".join(
         f"SELECT doc_id, i - 1 AS i, '{label}' AS label FROM pos WHERE w[i:i + {len(p.split()) - 1}] = "
         f"[{', '.join(repr(x) for x in p.split())}]" for p, label in phrases.items())
     return f"""
-WITH templates(label, t, words, need) AS (VALUES {values}),
+WITH templates(label, t, words, required, need) AS (VALUES {values}),
 d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM d),
 pos AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w),
 places AS ({places}),
 base AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS b, list(DISTINCT label) AS l
          FROM places GROUP BY doc_id),
-lines AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS b
-          FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
+lines AS (SELECT doc_id, list_distinct(regexp_extract_all(array_to_string(l[i:i + {LINES - 1}], chr(10)),
+            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS b
+          FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
+                FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM d))),
 hits AS (SELECT doc_id, label, len(list_intersect(b, words)) / len(words) AS share
-         FROM lines, templates WHERE len(list_intersect(b, words)) >= need),
+         FROM lines, templates WHERE len(list_intersect(b, words)) >= need
+           AND (required[1] IS NULL OR list_has_all(b, required))),
 more AS (SELECT doc_id, max(share) AS share, list(DISTINCT label) AS l FROM hits GROUP BY doc_id)
 SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word,
   b::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.l), ','), '') AS base_labels,
