@@ -45,7 +45,13 @@ AROUND_NAMES = frozenset(
     "promotion recommended related reply respond search share sharing sidebar signup skip social sponsor "
     "sponsored subscribe teaser toolbar widget".split())
 AROUND_STEMS = ("comment", "advert", "sponsor", "breadcrumb", "cookie", "newsletter", "sidebar")
-NEGATIONS = frozenset("has no with is without".split())
+# Words of layout that a compound name may hold beside those: `cookie-bar` and `related-posts` stand around
+# an article, `social-science` and `content-with-sidebar` do not.
+LAYOUT_NAMES = frozenset(
+    "area aside bar block body bottom box buttons column container content fixed global group holder icons inner item "
+    "items left link links list main page panel post posts primary right row secondary section site slot top unit "
+    "wrap wrapper".split())
+COMMENTS = re.compile(r"\W*(?:\d+\s+)?(?:reader\s+|user\s+)?(?:comments?|responses?|replies)\b.{0,20}", re.I | re.S)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -61,11 +67,10 @@ def _around(attributes: str) -> bool:
     """Whether class, id or role say that an element stands around an article."""
     for m in NAMED.finditer(attributes):
         for name in (m[2] or m[3] or m[4] or "").lower().split():
-            parts = [p for p in re.split(r"[-_:]+", name) if p]
-            if not parts or parts[0] in NEGATIONS:
-                continue
-            if name in AROUND_NAMES or parts[0] in AROUND_NAMES or parts[-1] in AROUND_NAMES \
-                    or any(p.startswith(AROUND_STEMS) for p in parts):
+            parts = [p for p in re.split(r"[-_:]+", name) if p and not p.isdigit()]
+            told = [p in AROUND_NAMES or p.startswith(AROUND_STEMS) for p in parts]
+            # A compound name counts as a whole: it holds nothing but such words and words of layout.
+            if any(told) and all(t or p in LAYOUT_NAMES for t, p in zip(told, parts)):
                 return True
     return HIDDEN.search(attributes) is not None
 
@@ -80,10 +85,16 @@ def flat_blocks(html: str) -> list[tuple[str, list[float], bool]]:
     linked = 0
 
     def close() -> None:
-        nonlocal parts, linked
+        nonlocal parts, linked, classes
         if parts:
             text = "".join(parts)
             words = text.split()
+            if heading and len(words) <= 8 and COMMENTS.fullmatch(" ".join(words)):
+                # What follows in the heading's parent is said by readers.
+                classes += 1
+                if len(open_tags) > 1:
+                    tag, is_around, named, in_main, marked = open_tags[-2]
+                    open_tags[-2] = (tag, is_around, named + 1, in_main, marked)
             if words:
                 density = min(1.0, linked / max(1, len(text)))
                 found.append([" ".join(words), float(len(words)), density, float(around > 0),

@@ -52,4 +52,25 @@ PAGES = [
     </article><div class="notice">{LONG * 3}</div><footer>{LONG * 2}</footer></body>""",
     f"""<body><aside>{MID}</aside><p data-main>{LONG * 3}</p><p data-main>{MID}</p><aside>{LONG * 3}</aside>
     <div class="widget">{LONG * 3}</div><p data-main>{LONG * 4}</p><nav>{LONG * 2}</nav></body>""",
+    # Pages that say nothing by their elements: only lengths, links and neighbours tell.
+    f"""<body><div>Menu</div><div>News today</div><div>Sport</div><div data-main>{LONG}</div><div data-main>So.</div>
+    <div data-main>{LONG * 2}</div><div data-main>{MID}</div><div data-main>{LONG}</div><div><a href=1>{LONG}</a></div>
+    <div><a href=2>{MID}</a></div><div>Copyright of the paper</div></body>""",
+    f"""<body><div>The Daily Paper</div><div><a href=1>Start</a></div><div><a href=2>All of our reports</a></div>
+    <div data-main>{LONG * 3}</div><div data-main>It rained.</div><div data-main>{LONG}</div><div><a href=3>{LONG}</a></div>
+    <div>Imprint</div></body>""",
+    f"""<body><table><tr><td>Home</td><td>Shop</td><td>Help</td></tr></table><table><tr><td data-main>{LONG * 2}</td></tr>
+    <tr><td data-main>Then it stopped.</td></tr><tr><td data-main>{LONG * 2}</td></tr></table><table><tr><td>Terms of use</td>
+    </tr></table></body>""",
+    # Articles with nothing around them.
+    f"""<article><h1 data-main>Tin</h1><p data-main>{LONG}</p><p data-main>End.</p></article>""",
+    f"""<body><article><p data-main>{MID}</p></article></body>""", "<main><p data-main>Gone.</p></main>",
+    f"""<body><main><p data-main>A few words.</p><p data-main>{LONG * 2}</p><p data-main>{MID}</p></main></body>""",
+    f"""<article><p data-main>One.</p><p data-main>Two of them.</p><p data-main><a href=1>All of it</a></p></article>""",
+    f"""<nav><a href=1>Start</a></nav><article><h1 data-main>Lead</h1><p data-main>{LONG * 2}</p></article>""",
+    # Names that mislead.
+    f"""<body><div class="social-science"><h1 data-main>On towns</h1><p data-main>{LONG}</p><p data-main>Few.</p><p data-main>{MID}
+    </p></div><div class="sidebar-left"><p>{LONG}</p></div></body>""",
+    f"""<body><div class="content-with-sidebar"><p data-main>{LONG}</p><p data-main>{LONG}</p><h3>3 Responses</h3><div><p>{LONG}
+    </p></div><div><p>No.</p></div></div></body>""",
 ]

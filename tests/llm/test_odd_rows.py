@@ -228,6 +228,16 @@ def test_licenses(spark):
     assert (out[5]["n_words"], out[5]["labels"], out[5]["score"]) == (0, "", 0.0)
 
 
+def used_features(tree):
+    return set() if isinstance(tree, bool) else {tree[0]} | used_features(tree[2]) | used_features(tree[3])
+
+
+def test_long_page(spark):
+    tree = extraction.train_tree(spark)
+    page = "<article>" + "<p>A sentence of some words.</p>" * 50_000 + "</article>"
+    assert extraction.main_text(page, tree) == " ".join(["A sentence of some words."] * 50_000)
+
+
 def test_pages(spark):
     tree = extraction.train_tree(spark)
     for page in extraction.PAGES:
@@ -237,8 +247,18 @@ def test_pages(spark):
     assert text("<article><p>a &lt; b &amp;amp; c<br>d<b>e</b>f<p>x < y</article><footer>no</footer>") == "a < b &amp; c d" + "ef x < y"
     assert text('<article><script>if (a<b) "</p>"</script><p title="a>b">yes</p><!-- <p>no</p> --></article>') == "yes"
     assert text('<article><p>yes</p></article><div class="comments"><p>no</p></div><div id=sidebar>no</div>') == "yes"
-    pages = spark.createDataFrame([(1, None, None, "x"), (None, "u", "<article><p>t</p></article>", "x")],
-                                  "page_id long, url string, html string, text string")
+    for name in ("social-science", "content-with-sidebar", "legal-analysis", "post ad-free", "search-result", "form-guide"):
+        article = f'<h1>On towns</h1><p>{"A long sentence of a town in spring. " * 6}</p><p>Few.</p>'
+        assert text(f'<div class="{name}">{article}</div>').startswith("On towns A long")  # its end could be a footer
+        whole = text(f'<article class="x"><div class="{name}">{article}</div></article>')
+        assert whole.startswith("On towns A long") and whole.endswith("Few.")
+    for name in ("cookie-bar", "related-posts", "ad-slot", "sidebar_left", "comment-list", "nav-links", "site-footer"):
+        assert text(f'<article><p>yes</p><div class="{name}"><p>no</p></div></article>') == "yes"
+    assert text("<article><p>yes</p><h3>3 Responses</h3><div><p>no</p></div></article><p>after</p>").startswith("yes")
+    assert "no" not in text("<article><p>yes</p><h3>3 Responses</h3><div><p>no</p></div></article>").split()
+    assert {0, 1, 2, 4} <= used_features(tree)  # own words and links, and words of both neighbours
+    pages = spark.createDataFrame([(1, None, None, "x", "y"), (None, "u", "<article><p>t</p></article>", "x", "y")],
+                                  "page_id long, url string, html string, text string, n_chars string")
     out = {r["url"]: tuple(r) for r in extraction.extract(pages, tree).collect()}
     assert out == {None: (1, None, "", 0), "u": (None, "u", "t", 1)}
     assert extraction.extract(pages.limit(0), tree).collect() == []
