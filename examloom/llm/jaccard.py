@@ -8,13 +8,16 @@ a join on the token; they must also share one under the other orders, be of like
 differ in few enough bits of a parity map.  What is left is verified on the whole sets.
 
 Large groups of near copies would make all pairs of a token's sets.  So every token's sets are
-first compared with one centre only, and what is linked becomes one component; then sets
-of one token are compared only across components.
+first compared with one centre only, and what is linked becomes one component: a set with the
+largest of its centres, then with those still in other components.  After that, sets
+of one token are compared only across components, where the place of the token in both prefixes
+and a larger parity map leave few pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,7 @@ CANDIDATE_BITS = 1 << 24  # of the map of documents to verify: 2 MB; more docume
 ORDER_SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)  # of the orders after the first
 HOT = 1_000               # sets of one token compared by one task with all of that token
 MAP_WORDS = 4             # longs of a parity map, looked at where tokens meet
+MORE_WORDS = 8            # longs of a second one, for tokens of several components
 WIDE_FROM = 256           # shingles from which a set has a second one, looked at for each pair
 WIDE_SHARE = 32           # shingles per long of it, rounded to powers of two
 
@@ -48,6 +52,10 @@ class Threshold:
     def like_size(self, n: Column, m: Column) -> Column:
         return (100 * F.least(n, m)) >= (self.percent * F.greatest(n, m))
 
+    def size_step(self) -> float:
+        """Logarithm of slightly more than the largest ratio of sizes."""
+        return log(100 / self.percent) * 1.0001 if self.percent < 100 else 1e-9
+
     def few_differences(self, differences: Column, n: Column, m: Column) -> Column:
         """True of any number that is at most the sets' symmetric difference, if they link."""
         return (100 + self.percent) * differences <= (100 - self.percent) * (n + m)
@@ -114,7 +122,7 @@ def _parity(rows: np.ndarray, hashes: np.ndarray, words: np.ndarray) -> np.ndarr
 def document_sets(docs: DataFrame, table, threshold: Threshold) -> DataFrame:
     """doc_id, text_key, set_id, n, prefix under the first order, parity map m0..m3 of every document."""
     k = threshold.k
-    maps = [f"m{i}" for i in range(MAP_WORDS)]
+    maps = [f"m{i}" for i in range(MAP_WORDS)] + [f"w{i}" for i in range(MORE_WORDS)]
     schema = ("doc_id long, text_key long, set_id long, n long, prefix array<long>, wide array<long>, "
               + ", ".join(f"{m} long" for m in maps))
     names = ["doc_id", "text_key", "set_id", "n", "prefix", "wide", *maps]
@@ -128,14 +136,16 @@ def document_sets(docs: DataFrame, table, threshold: Threshold) -> DataFrame:
                 spans = _spans(rows, len(part))
                 cut, tokens = _prefixes(rows, hashes, spans, sketches.counted(counts, hashes), hashes, threshold)
                 sizes = np.diff(spans)
-                packed = _parity(rows, hashes, np.full(len(part), MAP_WORDS)).reshape(len(part), MAP_WORDS)
+                packed = np.concatenate([
+                    _parity(rows, hashes, np.full(len(part), MAP_WORDS)).reshape(len(part), MAP_WORDS),
+                    _parity(rows, hashes >> np.uint64(20), np.full(len(part), MORE_WORDS)).reshape(len(part), MORE_WORDS)], axis=1)
                 wide_words = np.where(sizes < WIDE_FROM, 0, 1 << np.ceil(np.log2(
                     np.maximum(sizes, 1) / WIDE_SHARE).clip(0)).astype(np.int64))
                 wide = _parity(rows, hashes >> np.uint64(8), wide_words)
                 wide_ends = np.concatenate([[0], np.cumsum(wide_words)])
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(2), _signed(_set_ids(rows, hashes, spans)), pa.array(np.diff(spans)),
-                    _lists(cut, tokens), _lists(wide_ends, wide), *[pa.array(np.ascontiguousarray(packed[:, i])) for i in range(MAP_WORDS)]], names)
+                    _lists(cut, tokens), _lists(wide_ends, wide), *[pa.array(np.ascontiguousarray(column)) for column in packed.T]], names)
 
     return _texts(docs).mapInArrow(work, schema)
 
@@ -170,20 +180,29 @@ def _id_hash(ids: pa.Array) -> np.ndarray:
                         + np.uint64(0x9E3779B97F4A7C15))
 
 
-def _differences() -> Column:
+def _differences(name: str, words: int) -> Column:
+    """Bits in which the parity maps a.<name>0, ... and b.<name>0, ... differ."""
     out = F.lit(0)
-    for i in range(MAP_WORDS):
-        out = out + F.bit_count(F.col(f"a.m{i}").bitwiseXOR(F.col(f"b.m{i}")))
+    for i in range(words):
+        out = out + F.bit_count(F.col(f"a.{name}{i}").bitwiseXOR(F.col(f"b.{name}{i}")))
     return out
 
 
-def _may_link(threshold: Threshold) -> Column:
+def _may_follow(threshold: Threshold) -> Column:
+    """Whether a and b, of like size, can be linked if this is the first token they share: no more than
+    the tokens from here on can be common."""
     n, m = F.col("a.n"), F.col("b.n")
-    return threshold.like_size(n, m) & threshold.few_differences(_differences(), n, m)
+    rest = F.least(n - F.col("a.place"), m - F.col("b.place"))
+    return threshold.like_size(n, m) & threshold.linked(rest, n, m)
+
+
+def _may_link(threshold: Threshold) -> Column:
+    return _may_follow(threshold) & threshold.few_differences(_differences("m", MAP_WORDS), F.col("a.n"), F.col("b.n"))
 
 
 def _near(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """The pairs (u, v) whose wide parity maps differ in few enough bits; small sets have none.
+    """The pairs (u, v) whose wide parity maps, which grow with the sets, differ in few enough bits;
+    small sets have none.
 
     Sets of like size have maps of one size or twice that; halves of the larger are folded."""
     wide = sets.select("set_id", "n", "wide")
@@ -202,14 +221,15 @@ def _near(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
     return both.filter(~comparable | threshold.few_differences(differ, F.col("u_n"), F.col("v_n"))).select("u", "v")
 
 
-def _salted(left: DataFrame, right: DataFrame, key: str, rows: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
+def _salted(left: DataFrame, right: DataFrame, key: str, rows: DataFrame, share: int, own: str) -> tuple[DataFrame, DataFrame]:
     """Both sides with a column `_salt` to join on as well, so that at most about `share` left rows
-    have one key and salt.  `rows` (key, _n): left rows of the keys with more than that."""
+    have one key and salt.  `rows` (key, _n): left rows of the keys with more than that.  Salts come from
+    a hash of the left rows' `own` column, so a task that runs again deals them alike."""
     salts = F.ceil(F.col("_n") / share).cast("long")
     hot = rows.filter(F.col("_n") > share).select(key, salts.alias("_salts"))
     one = F.lit(1).cast("long")
     left = left.join(hot, key, "left").withColumn(
-        "_salt", F.monotonically_increasing_id() % F.coalesce("_salts", one)).drop("_salts")
+        "_salt", F.pmod(F.xxhash64(own), F.coalesce("_salts", one))).drop("_salts")
     right = right.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(
         F.lit(0).cast("long"), F.coalesce("_salts", one) - 1))).drop("_salts")
     return left, right
@@ -227,7 +247,7 @@ def _verified(pairs: DataFrame, whole: DataFrame, threshold: Threshold) -> DataF
         return whole.select(F.col("set_id").alias(prefix), *[
             F.col(c).alias(f"{prefix}_{c}") for c in ("n", "tokens", "p2", "p3")])
 
-    left, right = _salted(pairs.join(side("u"), "u"), side("v"), "v", counts, share)
+    left, right = _salted(pairs.join(side("u"), "u"), side("v"), "v", counts, share, "u")
     overlap = F.size(F.array_intersect("u_tokens", "v_tokens"))
     return left.join(right, ["v", "_salt"]).filter(
         F.arrays_overlap("u_p2", "v_p2") & F.arrays_overlap("u_p3", "v_p3")
@@ -239,6 +259,20 @@ def _rank() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, component) after more links between their members.
+
+    Only the components' names and what had none take part, one link for each two of them.
+    """
+    ends = links.join(labels.toDF("u", "u_of"), "u", "left").join(labels.toDF("v", "v_of"), "v", "left").select(
+        F.coalesce("u_of", "u").alias("u"), F.coalesce("v_of", "v").alias("v")).distinct()
+    more = staged(components(ends), "merged-components")
+    moved = labels.join(more.toDF("component", "larger"), "component", "left").select(
+        "node", F.coalesce("larger", "component").alias("component"))
+    # Names of components have a row of their own in `labels`; other nodes of `more` are new.
+    return staged(moved.unionByName(more.join(labels.select("node"), "node", "left_anti")), "components")
+
+
 def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, text_key, set_id, n) and sets (set_id, _n documents, component_id, first).
 
@@ -255,29 +289,30 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
 
     table = spark.sparkContext.broadcast(sketches.count_table(texts, hashes, COUNTERS))
     found = staged(document_sets(docs, table, threshold), "document-sets")
-    maps = [f"m{i}" for i in range(MAP_WORDS)]
+    maps, more = [f"m{i}" for i in range(MAP_WORDS)], [f"w{i}" for i in range(MORE_WORDS)]
     # All columns but doc_id depend on the set alone.
     sets = staged(found.filter("n > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("mult"), F.min(_rank()).alias("first"),
-        *[F.first(c).alias(c) for c in ("n", "prefix", "wide", *maps)]), "sets")
+        *[F.first(c).alias(c) for c in ("n", "prefix", "wide", *maps, *more)]), "sets")
 
     # Postings of the tokens that several sets share.
     shared = staged(sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(
         F.count("*").alias("_n")).filter("_n > 1"), "shared-tokens")
-    postings = attach(sets.select("set_id", F.explode("prefix").alias("token")), shared, "token", "_n")
+    postings = attach(sets.select("set_id", F.posexplode("prefix").alias("place", "token")), shared, "token", "_n")
     # A set has no more postings than its prefix.
     members = staged(postings.join(sets.select("set_id", "n", "mult", *maps), "set_id"), "members")
 
     # First the pairs of each token's centre, the set with most copies, with the others.
-    centre = F.max(F.struct("mult", "set_id", "n", *maps)).alias("c")
+    centre = F.max(F.struct("mult", "set_id", "n", "place", *maps)).alias("c")
     centres = staged(members.groupBy("token").agg(centre, F.count("*").alias("_n")), "centres")
     first = attach(members, centres, "token", "_n").filter("set_id <> c.set_id")
-    first = first.select(F.struct("set_id", "n", *maps).alias("a"), F.col("c").alias("b")) \
-        .filter(_may_link(threshold)).select(F.col("a.set_id").alias("u"), F.col("b.set_id").alias("v"))
+    first = first.select(F.struct("set_id", "n", "place", *maps).alias("a"), F.col("c").alias("b")) \
+        .filter(_may_link(threshold)).select(
+            F.col("a.set_id").alias("u"), F.col("b.set_id").alias("v"), F.col("b.mult").alias("v_mult"))
     first = staged(first.distinct(), "centre-pairs")
-    near = staged(_near(first, sets, threshold), "near-centres")
+    near = staged(_near(first, sets, threshold).join(first, ["u", "v"]), "near-centres")
 
-    def verify(pairs: DataFrame) -> DataFrame:
+    def whole_of(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct()
         reps = staged(nodes.join(sets.select("set_id", "rep"), "set_id").select("rep", "set_id"), "to-verify")
         wanted = spark.sparkContext.broadcast(
@@ -285,35 +320,51 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
         whole = whole_sets(docs, table, wanted, threshold)
         whole = whole.join(reps.select("set_id"), "set_id", "left_semi")
         # Dealt by the set already; of a set's copies one is enough.
-        whole = staged(whole.dropDuplicates(["set_id"]), "whole-sets")
+        return staged(whole.dropDuplicates(["set_id"]), "whole-sets")
+
+    def verify(pairs: DataFrame, whole: DataFrame) -> DataFrame:
         return staged(_verified(pairs, whole, threshold), "links")
 
-    links = verify(near)
-    labels = staged(components(links), "components")
+    # A set meets the largest of its centres first, then those of other components.
+    whole = whole_of(near)
+    best = near.groupBy("u").agg(F.max(F.struct("v_mult", "v"))["v"].alias("v"))
+    best = staged(best.select("u", "v"), "best-centres")
+    labels = staged(components(verify(best, whole)), "components")
+    named = labels.withColumnRenamed("component", "_of")
+    apart = near.join(named.toDF("u", "u_of"), "u", "left").join(named.toDF("v", "v_of"), "v", "left").filter(
+        F.coalesce("u_of", "u") != F.coalesce("v_of", "v")).select("u", "v").join(best, ["u", "v"], "left_anti")
+    apart = staged(apart, "other-centres")  # pairs of centres and of what they did not link
+    if apart.limit(1).count():
+        labels = _merged(labels, verify(apart, whole))
 
     # Then pairs of one token across components.
     label = F.coalesce(F.col("component"), F.col("set_id"))
     # The pair of a token's only two sets has been seen.
-    several = attach(members.select("token", "set_id", "n", *maps),
+    several = attach(members.select("token", "set_id", "n", "place"),
                      staged(centres.select("token", "_n").filter("_n > 2"), "several"), "token", "_n")
     marked = staged(several.join(
         labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", label), "labelled")
-    mixed = staged(marked.groupBy("token").agg(
+    # Sets of like size meet under a size class of theirs: their own or the next.
+    size_class = F.floor(F.log(F.col("n")) / F.lit(threshold.size_step()))
+    keyed = marked.select(F.explode(F.array(size_class, size_class + 1)).alias("class"), "*").select(
+        F.xxhash64("token", "class").alias("key"), "set_id", "n", "place", "component")
+    mixed = staged(keyed.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("_n"))
-        .filter("low < high").select("token", "_n"), "mixed-tokens")
-    left = attach(marked, mixed.select("token", F.col("_n").alias("_rows")), "token", "_rows")
-    left = staged(left, "mixed-postings")
-    a, b = _salted(left, left, "token", mixed, HOT)
-    second = a.alias("a").join(b.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a._salt") == F.col("b._salt"))
+        .filter("low < high").select("key", "_n"), "mixed-keys")
+    left = attach(keyed, mixed.select("key", F.col("_n").alias("_rows")), "key", "_rows")
+    left = staged(left.join(sets.select("set_id", *more), "set_id"), "mixed-postings")
+    a, b = _salted(left, left, "key", mixed, HOT, "set_id")
+    n, m = F.col("a.n"), F.col("b.n")
+    second = a.alias("a").join(b.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a._salt") == F.col("b._salt"))
                                & (F.col("a.set_id") < F.col("b.set_id"))
-                               & (F.col("a.component") != F.col("b.component")) & _may_link(threshold))
+                               & (F.col("a.component") != F.col("b.component")) & _may_follow(threshold)
+                               & threshold.few_differences(_differences("w", MORE_WORDS), n, m))
     second = second.select(F.col("a.set_id").alias("u"), F.col("b.set_id").alias("v")).distinct()
     known = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     second = staged(second.join(known, ["u", "v"], "left_anti"), "cross-pairs")
-    if second.limit(1).count():
-        hung = labels.select(F.col("node").alias("u"), F.col("component").alias("v"))
-        close = staged(_near(second, sets, threshold), "near-pairs")
-        labels = staged(components(hung.unionByName(verify(close))), "components")
+    close = staged(_near(second, sets, threshold), "near-pairs")
+    if close.limit(1).count():
+        labels = _merged(labels, verify(close, whole_of(close)))
 
     named = sets.select("set_id", "mult", "rep", "first").join(
         labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", label)
