@@ -22,17 +22,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from examloom.llm import shingles, sketches
-from examloom.llm.common import attach, blocks, partitions, staged
+from examloom.llm.common import arrow_rows, attach, blocks, partitions, staged
 from examloom.llm.run_index import RunIndex
 
 LENGTH = 100
 GRAM = 32
-PIECE_BYTES = 1 << 19    # hashed at once
-INDEX_BYTES = 1 << 20    # segments looked at together
+PIECE_BYTES = 1 << 18    # hashed at once
+INDEX_BYTES = 1 << 19    # segments looked at together
 CLASSES = 4              # of places in a segment
 SLICE = 1_000            # segments of one anchor text that meet in a block
 MAP_BITS = 1 << 26       # 8 MB; more anchors only fill it
 DOCUMENT_BITS = 1 << 24
+BATCH_ROWS = 2_000       # sent to Python at once
+ROWS = 2_000             # held as objects before they are written, or after they are read
 NO_ID = (1 << 63) - 1    # null ids are later than all others
 
 
@@ -182,7 +184,7 @@ def repeated_places(segments: list[tuple[int, int, bytes]], length: int = LENGTH
     first = np.flatnonzero(begin)
     place = np.arange(len(bucket)) - first[np.cumsum(begin) - 1]
     largest = int(place.max()) + 1
-    symbols = [np.frombuffer(raw, np.uint8).astype(np.int64) for _, _, raw in segments]
+    symbols = [np.frombuffer(raw, np.uint8) for _, _, raw in segments]
     half = 1
     while half < largest:
         group = place // (2 * half)
@@ -192,7 +194,7 @@ def repeated_places(segments: list[tuple[int, int, bytes]], length: int = LENGTH
         names = {k: 256 + i for i, k in enumerate(np.unique(key[used]).tolist())}
 
         def grouped(i):
-            out = symbols[i].copy()
+            out = symbols[i].astype(np.int32)
             out[segments[i][1]] = names[int(key[i])]
             return out
 
@@ -247,37 +249,43 @@ def _intervals(places: np.ndarray, length: int) -> list[tuple[int, int]]:
 def _resolve(length: int):
     names = ["id", "text_key", "start", "size", "window"]
 
-    def rows(out) -> pa.RecordBatch:
+    def rows(spans, windows) -> pa.RecordBatch:
+        """Runs of repeats without, single strings with their digest."""
+        out = spans + windows
         columns = list(zip(*out)) if out else [[]] * 5
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
 
-    def block(held) -> pa.RecordBatch:
-        out = []
+    def block(held) -> Iterator[pa.RecordBatch]:
+        spans, windows = [], []
         numbers: dict[tuple[int, int], int] = {}
-        segments = [(numbers.setdefault((r["h"], r["slice"]), len(numbers)), r["anchor"], r["raw"]) for r in held]
-        for r, places in zip(held, places_of_segments(segments, length)):
+        segments = [(numbers.setdefault(key, len(numbers)), anchor, raw) for key, _, _, _, _, anchor, raw in held]
+        for (_, slices, id_, text_key, start, _, raw), places in zip(held, places_of_segments(segments, length)):
             for a, b in _intervals(places, length):
-                out.append((r["id"], r["text_key"], r["start"] + a, b - a, None))
-            if r["slices"] > 1:
+                spans.append((id_, text_key, start + a, b - a, None))
+            if slices > 1:
                 for a in np.flatnonzero(~places).tolist():
-                    out.append((r["id"], r["text_key"], r["start"] + a, length,
-                                hashlib.blake2b(r["raw"][a:a + length], digest_size=16).digest()))
-        return rows(out)
+                    windows.append((id_, text_key, start + a, length,
+                                    hashlib.blake2b(raw[a:a + length], digest_size=16).digest()))
+                if len(windows) >= ROWS:
+                    yield rows([], windows)
+                    windows = []
+        yield rows(spans, windows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
-        for batch in batches:
-            for r in batch.to_pylist():
-                key = (r["h"], r["slice"])
-                if key != last and size >= INDEX_BYTES:
-                    yield block(held)
-                    held, size = [], 0
-                held.append(r)
-                size += len(r["raw"])
-                last = key
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):  # few rows as objects at a time
+                part = whole.slice(at, ROWS)
+                for h, piece, slices, id_, text_key, start, anchor, raw in zip(*(c.to_pylist() for c in part.columns)):
+                    if (h, piece) != last and size >= INDEX_BYTES:
+                        yield from block(held)
+                        held, size = [], 0
+                    last = (h, piece)
+                    held.append((last, slices, id_, text_key, start, anchor, raw))
+                    size += len(raw)
         if held:
-            yield block(held)
+            yield from block(held)
 
     return work
 
@@ -366,9 +374,10 @@ def remove(docs: DataFrame) -> DataFrame:
     table gives no rows.
     """
     texts = _texts(docs)
-    marks = repeats(texts)
-    spans = staged(marks.groupBy("id", "text_key").agg(
-        F.collect_set(F.struct("start", "size")).alias("spans")), "spans")  # of one document each
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        marks = repeats(texts)
+        spans = staged(marks.groupBy("id", "text_key").agg(
+            F.collect_set(F.struct("start", "size")).alias("spans")), "spans")  # of one document each
     bits = docs.sparkSession.sparkContext.broadcast(sketches.bit_map(
         spans.select("id"), lambda b: [_id_hash(b.column(0))], DOCUMENT_BITS))
 

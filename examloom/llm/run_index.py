@@ -15,30 +15,29 @@ class RunIndex:
     def __init__(self, segments: list[np.ndarray], alphabet: int):
         """`segments`: symbols below `alphabet`."""
         longest = max(map(len, segments)) + 1
-        text = np.concatenate([np.append(s, alphabet + i) for i, s in enumerate(segments)]).astype(np.int64)
+        text = np.concatenate([np.append(s, alphabet + i) for i, s in enumerate(segments)]).astype(np.int32)
         n = len(text)
         # Ranks of all substrings of 1, 2, 4, ... symbols; the last tell all suffixes apart.
         self.ranks = [np.unique(text, return_inverse=True)[1].astype(np.int32)]
         width = 1
         while width < longest:
-            rank = self.ranks[-1].astype(np.int64)
-            follow = np.zeros(n, np.int64)
-            follow[:n - width] = rank[width:] + 1
-            self.ranks.append(np.unique(rank * (n + 2) + follow, return_inverse=True)[1].astype(np.int32))
+            pair = self.ranks[-1].astype(np.int64) * (n + 2)
+            pair[:n - width] += self.ranks[-1][width:] + 1
+            self.ranks.append(np.unique(pair, return_inverse=True)[1].astype(np.int32))
             width *= 2
-        suffixes = np.empty(n, np.int64)
-        suffixes[self.ranks[-1]] = np.arange(n)
+        suffixes = np.empty(n, np.int32)
+        suffixes[self.ranks[-1]] = np.arange(n, dtype=np.int32)
         bwt = text[suffixes - 1]
         self.start = np.flatnonzero(np.concatenate([[True], bwt[1:] != bwt[:-1]]))
         ends = np.append(self.start[1:], n) - 1
         self.symbol = bwt[self.start]
-        self.first, self.last, self.end = suffixes[self.start], suffixes[ends], ends
+        self.first, self.last, self.end = suffixes[self.start].astype(np.int64), suffixes[ends].astype(np.int64), ends
         order = np.lexsort((self.start, self.symbol))
         lengths = ends - self.start + 1
         self.leads = np.empty(len(order), np.int64)
         self.leads[order] = np.cumsum(lengths[order]) - lengths[order]
         self.order, self.n = order, n
-        self.keys = self.symbol[order] * np.int64(n + 1) + self.start[order]
+        self.keys = self.symbol[order].astype(np.int64) * (n + 1) + self.start[order]
 
     def common(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Length of the common prefix of the suffixes at p and q, by the substring ranks."""
@@ -55,7 +54,7 @@ class RunIndex:
         """(pattern, place) -> length of the longest match that starts there; 0 beyond the end."""
         sizes = np.array([len(p) for p in patterns])
         width = int(sizes.max())
-        symbols = np.full((len(patterns), width), -1, np.int64)
+        symbols = np.full((len(patterns), width), -1, np.int32)
         for i, p in enumerate(patterns):
             symbols[i, :len(p)] = p
         out = np.zeros((len(patterns), width), np.int32)
@@ -73,7 +72,7 @@ class RunIndex:
             if len(jump):
                 # The nearest runs of the symbol on both sides; the one with the longer match.
                 cj, pj, kj = c[jump], p[jump], k[jump]
-                place = np.searchsorted(self.keys, cj * np.int64(self.n + 1) + r[jump])
+                place = np.searchsorted(self.keys, cj.astype(np.int64) * (self.n + 1) + r[jump])
                 up, down = self.order[np.maximum(place - 1, 0)], self.order[np.minimum(place, len(self.order) - 1)]
                 has_up = (place > 0) & (self.symbol[up] == cj)
                 has_down = (place < len(self.order)) & (self.symbol[down] == cj)
