@@ -36,20 +36,21 @@ class SuffixAutomaton:
         return q if self.length[q] == self.length[p] + 1 else self._split(p, symbol, q)
 
     def add(self, sequence: Sequence[Hashable], owner: int) -> None:
+        follow, links, length, owners = self.next, self.link, self.length, self.owner
         last = 0
         for symbol in sequence:
-            if symbol in self.next[last]:
+            if symbol in follow[last]:
                 last = self._target(last, symbol)
             else:
-                new, p = self._state({}, 0, self.length[last] + 1), last
-                while p >= 0 and symbol not in self.next[p]:
-                    self.next[p][symbol] = new
-                    p = self.link[p]
+                new, p = self._state({}, 0, length[last] + 1), last
+                while p >= 0 and symbol not in follow[p]:
+                    follow[p][symbol] = new
+                    p = links[p]
                 if p >= 0:
-                    self.link[new] = self._target(p, symbol)
+                    links[new] = self._target(p, symbol)
                 last = new
-            if owner < self.owner[last]:
-                self.owner[last] = owner
+            if owner < owners[last]:
+                owners[last] = owner
 
     def settle(self) -> None:
         """Hand owners down the links, longest classes first; call it after the last `add`."""
@@ -64,16 +65,20 @@ class SuffixAutomaton:
         The matching statistic of each end, the longest suffix that the automaton holds, is kept up
         to `window` symbols.
         """
+        follow, links, length, owners = self.next, self.link, self.length, self.owner
         found, state, matched = [], 0, 0
         for at, symbol in enumerate(sequence):
-            while state and symbol not in self.next[state]:
-                state = self.link[state]
-                matched = self.length[state]
-            if symbol in self.next[state]:
-                state, matched = self.next[state][symbol], matched + 1
-            while state and self.length[self.link[state]] >= window:
-                state = self.link[state]
-                matched = self.length[state]
+            step = follow[state].get(symbol)
+            while step is None and state:
+                state = links[state]
+                matched = length[state]
+                step = follow[state].get(symbol)
+            if step is not None:
+                state, matched = step, matched + 1
+            if matched > window:
+                while length[links[state]] >= window:
+                    state = links[state]
+                matched = min(matched, length[state])
             if at >= window - 1:
-                found.append(self.owner[state] if matched >= window else NOBODY)
+                found.append(owners[state] if matched >= window else NOBODY)
         return found

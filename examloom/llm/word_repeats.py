@@ -19,18 +19,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from examloom.llm import shingles, sketches
 from examloom.llm.automaton import NOBODY, SuffixAutomaton
-from examloom.llm.common import attach, blocks, flat_bytes, identified, partitions, staged
+from examloom.llm.common import arrow_rows, attach, blocks, flat_bytes, identified, partitions, staged
 
 WINDOW = 13
 GRAM = 5
-PIECE_BYTES = 1 << 19     # hashed at once
+BATCH_ROWS = 2_000        # sent to Python at once
+PIECE_BYTES = 1 << 18     # hashed at once
 BATCH_BYTES = 1 << 20     # of texts cut at once
 SHARD_WORDS = 20_000      # of reference segments in an automaton
+DOCUMENTS = 500           # whose reference segments are cut out together
 SLICE = 500               # segments of one anchor in a shard
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28  # of a bit map: 32 MB at most; more anchors only fill it
 NO_ID = NOBODY            # null ids are later than all others
@@ -43,15 +46,28 @@ _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _INVERSES = tuple(pow(b, -1, 1 << 64) for b in _BASES)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** i for i < n; the longest of each base is kept."""
+    found = _POWERS.get(base)
+    if found is None or len(found) < n:
+        steps = np.full(max(n, PIECE_BYTES + 1), base, np.uint64)
+        steps[0] = 1
+        found = _POWERS[base] = np.cumprod(steps)
+    return found[:n]
+
+
 def _sums(values: np.ndarray, base: int) -> np.ndarray:
     out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * shingles._powers(base, len(values)), out=out[1:])
+    np.cumsum(values * _powers(base, len(values)), out=out[1:])
     return out
 
 
 def _between(sums: np.ndarray, a: np.ndarray, b: np.ndarray, inverse: int) -> np.ndarray:
     """Polynomial hash of the values a to b, wherever they stand."""
-    return (sums[b] - sums[a]) * shingles._powers(inverse, len(sums))[a]
+    return (sums[b] - sums[a]) * _powers(inverse, len(sums))[a]
 
 
 def _words(flat: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -210,26 +226,30 @@ REFERENCE = "h long, slice int, slices int, seg binary, n_rows long, first long,
 def _reference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The wanted segments of each document, cut out of its words."""
     names = ["h", "slice", "slices", "seg", "n_rows", "first", "raw"]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
     for batch in batches:
-        for i in range(batch.num_rows):
-            wanted = batch.column(2)[i].as_py() or []
-            if not wanted:
-                continue
-            doc_id, out, words, base = batch.column(0)[i].as_py(), [], [], 0
-            wanted.sort(key=lambda w: w["word"])
-            at = 0
-            for piece in _word_pieces(batch.column(1)[i].as_py().encode()):
-                words += piece
-                while at < len(wanted) and wanted[at]["word"] + wanted[at]["n"] <= base + len(words):
-                    w = wanted[at]
-                    a = w["word"] - base
-                    out.append((w["h"], w["slice"], w["slices"], w["seg"], w["n_rows"], doc_id,
-                                b" ".join(words[a:a + w["n"]])))
-                    at += 1
-                cut = max(0, len(words) - 2 * WINDOW)
-                base, words = base + cut, words[cut:]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+        batch = batch.filter(pc.greater(pc.fill_null(pc.list_value_length(batch.column(2)), 0), 0))
+        for start in range(0, batch.num_rows, DOCUMENTS):
+            part = batch.slice(start, DOCUMENTS)
+            lists = part.column(2)
+            segments_ = lists.flatten()
+            row = pc.list_parent_indices(lists)
+            word = segments_.field("word")
+            order = pc.sort_indices(pa.table({"row": row, "word": word}), [("row", "ascending"), ("word", "ascending")])
+            segments_, row = segments_.take(order), row.take(order)
+            raws, at = [], 0
+            places = list(zip(row.to_pylist(), segments_.field("word").to_pylist(), segments_.field("n").to_pylist()))
+            for i, text in enumerate(part.column(1).to_pylist()):
+                words, base = [], 0
+                for piece in _word_pieces(text.encode()):
+                    words += piece
+                    while at < len(places) and places[at][0] == i and places[at][1] + places[at][2] <= base + len(words):
+                        first = places[at][1] - base
+                        raws.append(b" ".join(words[first:first + places[at][2]]))
+                        at += 1
+                    cut = max(0, len(words) - 2 * WINDOW)
+                    base, words = base + cut, words[cut:]
+            yield pa.RecordBatch.from_arrays([
+                *[segments_.field(name) for name in names[:5]], part.column(0).take(row), pa.array(raws, pa.binary())], names)
 
 
 def _runs(places: list[int]) -> list[tuple[int, int]]:
@@ -261,10 +281,8 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for seg, n_rows, slices, _, first, words in held:
             owners = automaton.least_owners(words, WINDOW)
             new = [i for i, owner in enumerate(owners) if owner >= first] if slices > 1 else []
-            out.append((seg, n_rows, first,
-                        [{"start": a, "size": n} for a, n in _runs([i for i, o in enumerate(owners) if o < first])],
-                        [{"start": i, "window": hashlib.blake2b(b" ".join(words[i:i + WINDOW]), digest_size=16).digest()}
-                         for i in new]))
+            out.append((seg, n_rows, first, _runs([i for i, owner in enumerate(owners) if owner < first]),
+                        [(i, hashlib.blake2b(b" ".join(words[i:i + WINDOW]), digest_size=16).digest()) for i in new]))
         kinds = [pa.binary(), pa.int64(), pa.int64(), span, window]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
@@ -368,8 +386,9 @@ def remove(docs: DataFrame) -> DataFrame:
     read in pieces.  Other columns are not read; an empty table gives no rows.
     """
     texts = identified(docs, NO_ID)
-    spans = staged(repeats(texts).groupBy("id", "text_key").agg(
-        F.collect_set(F.struct("start", "size")).alias("spans")), "word-spans")  # of one document each
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        spans = staged(repeats(texts).groupBy("id", "text_key").agg(
+            F.collect_set(F.struct("start", "size")).alias("spans")), "word-spans")  # of one document each
     met, plain = _meet(texts, spans, "spans")
     return met.select("doc_id", "text", "spans").mapInArrow(_cut, RESULT).unionByName(
         plain.select("doc_id", "text").mapInArrow(_cut, RESULT))
