@@ -24,6 +24,7 @@ from examloom.sources.tables import scratch_path, stage
 
 BLOCK_ROWS = 512
 BLOCK_ELEMENTS = 1 << 18  # of a block of several rows
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def _encode(buckets: list[int], names: list[str]):
@@ -109,8 +110,11 @@ class BlockDictionaries:
                                T.StructField("_counts", T.ArrayType(T.IntegerType()))])
         encoded = rows.mapInArrow(_encode(_bucket_labels(self.spark, buckets), schema.names), schema)
         self.table = f"block_dictionaries_{uuid4().hex}"
-        encoded.write.bucketBy(buckets, "_bucket").option("path", scratch_path(self.spark, "blocks")) \
-            .format("parquet").saveAsTable(self.table)
+        # No more rows at once than a block has: a row may hold very many elements.
+        at_once = int(self.spark.conf.get(ARROW_ROWS))
+        with _setting(self.spark, ARROW_ROWS, str(min(at_once, BLOCK_ROWS) if at_once > 0 else BLOCK_ROWS)):
+            encoded.write.bucketBy(buckets, "_bucket").option("path", scratch_path(self.spark, "blocks")) \
+                .format("parquet").saveAsTable(self.table)
         self.rows = self.spark.table(self.table)
 
     def totals(self) -> DataFrame:
