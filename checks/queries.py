@@ -596,9 +596,14 @@ def predicted_index():
     return score_fns.argmax(score_fns.softmax(option_scores()))
 
 
+def six_digits(x):
+    """As DuckDB rounds: what is negative stays so, even where only -0.0 is left of it."""
+    return F.signum(x) * F.round(F.abs(x), 6)
+
+
 def rounded(array):
     return F.array_join(F.transform(
-        array, lambda x: F.format_string("%.6f", F.round(x, 6))), ",")
+        array, lambda x: F.format_string("%.6f", six_digits(x))), ",")
 
 
 @query("m1_option_logits", f"""WITH {fx.LOGITS_SQL}
@@ -614,8 +619,8 @@ def m1_at(spark, sf_dir):
     picked = score_fns.logits_at(
         F.col("logits"), F.array(F.lit(10), F.size("logits") - 1))
     return fx.logits(spark, sf_dir).select("vec_id", picked.alias("p")).select(
-        "vec_id", F.round(F.get("p", F.lit(0)), 6).alias("a"),
-        F.round(F.get("p", F.lit(1)), 6).alias("b"))
+        "vec_id", six_digits(F.get("p", F.lit(0))).alias("a"),
+        six_digits(F.get("p", F.lit(1))).alias("b"))
 
 
 # Scores of three to six places, the last ones padding; one row has no place at all.

@@ -2,8 +2,11 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
+from checks import compare
+from checks.registry import ORACLES, QUERIES
 from examloom.functions import scoring
 from examloom.operators import metrics
 from examloom.plans.scoring import predict
@@ -137,3 +140,20 @@ def test_one_run_is_handled_in_chunks(spark, conf):
         assert losses(report) == expected
     tasks = {r["task"] for r in report.withColumn("task", F.spark_partition_id()).collect()}
     assert len(tasks) > 10
+
+
+@pytest.mark.parametrize("name", ["m1_option_logits", "m1_sequence_logits", "m1_logits_at"])
+def test_tiny_negative_scores(spark, tmp_path, name):
+    """A negative score that rounds to nothing keeps its sign, as in the query's SQL."""
+    odd = [-3e-7, -0.0, 0.0, 3e-7, -4e-7, .0078125, -.0078125, 1.5, -2.25, -1e-8, -3e-7, -5e-7]
+    rows = [(i, odd[i % 12:] + odd[:i % 12], i % 5) for i in range(24)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label long").coalesce(1).write.parquet(
+        str(tmp_path / "new"))
+    (path,) = (tmp_path / "new").glob("*.parquet")
+    path.rename(tmp_path / "embeddings.parquet")
+    import checks.queries  # noqa: F401  (registers on import)
+    result = QUERIES[name](spark, str(tmp_path))
+    con = compare.connect(str(tmp_path))
+    assert compare.difference(result, con, ORACLES[name]) is None
+    expected = con.execute(ORACLES[name] + " ORDER BY vec_id").fetchall()
+    assert list(map(repr, expected)) == [repr(tuple(r)) for r in result.orderBy("vec_id").collect()]
