@@ -9,7 +9,10 @@ differ in few enough bits of a parity map.  What is left is verified on the whol
 
 Large groups of near copies would make all pairs of a token's sets.  So every token's sets are
 first compared with one centre only, and what is linked becomes one component: a set with the
-largest of its centres, then with those still in other components.  After that, sets
+largest of its centres, then with those still in other components.  Copies of copies may be linked
+with other sets than that centre.  So rounds follow in which each token of several components gets another
+centre, by turns out of its largest one and out of all: rows that grow with
+the tokens, not with the pairs of a group.  After that, sets
 of one token are compared only across components, where the place of the token in both prefixes
 and a larger parity map leave few pairs.
 """
@@ -35,6 +38,7 @@ ORDER_SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)  # of the orders after th
 HOT = 1_000               # sets of one token compared by one task with all of that token
 MAP_WORDS = 4             # longs of a parity map, looked at where tokens meet
 MORE_WORDS = 8            # longs of a second one, for tokens of several components
+CENTRE_ROUNDS = 4         # at most so many more centres of a token; what they leave is compared pair by pair
 WIDE_FROM = 256           # shingles from which a set has a second one, looked at for each pair
 WIDE_SHARE = 32           # shingles per long of it, rounded to powers of two
 
@@ -273,6 +277,24 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return staged(moved.unionByName(more.join(labels.select("node"), "node", "left_anti")), "components")
 
 
+def _round_pairs(several: DataFrame, labels: DataFrame, number: int, threshold: Threshold) -> DataFrame:
+    """Pairs (u, v) that may be linked: v is a set of a token by a hash that is another in each round
+    `number`, in even rounds of the token's largest component; u is one of that token outside v's component."""
+    sizes = labels.groupBy("component").agg(F.count("*").alias("_size"))
+    named = staged(labels.join(sizes, "component").select(F.col("node").alias("set_id"), "component", "_size"), "round-labels")
+    at = several.join(named, "set_id", "left").withColumn("component", F.coalesce("component", "set_id")).withColumn(
+        "_size", F.coalesce("_size", F.lit(1).cast("long")))
+    largest = ["_size", "component"] if number % 2 == 0 else []
+    centre = F.max(F.struct(*largest, F.xxhash64("set_id", F.lit(number)).alias("_hash"), *[
+        c for c in at.columns if c not in ["token", *largest]])).alias("c")
+    centres = staged(at.groupBy("token").agg(
+        centre, F.count("*").alias("_n"), F.min("component").alias("_low"), F.max("component").alias("_high"),
+    ).filter("_low < _high").select("token", "c", "_n"), "round-centres")
+    others = attach(at, centres, "token", "_n").filter("component <> c.component")
+    return others.select(F.struct(*[c for c in several.columns if c != "token"]).alias("a"), F.col("c").alias("b")).filter(
+        _may_link(threshold)).select(F.col("a.set_id").alias("u"), F.col("b.set_id").alias("v")).distinct()
+
+
 def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, text_key, set_id, n) and sets (set_id, _n documents, component_id, first).
 
@@ -337,12 +359,25 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     if apart.limit(1).count():
         labels = _merged(labels, verify(apart, whole))
 
-    # Then pairs of one token across components.
-    label = F.coalesce(F.col("component"), F.col("set_id"))
     # The pair of a token's only two sets has been seen.
-    several = attach(members.select("token", "set_id", "n", "place"),
-                     staged(centres.select("token", "_n").filter("_n > 2"), "several"), "token", "_n")
-    marked = staged(several.join(
+    several = staged(attach(members.select("token", "set_id", "n", "place", *maps),
+                            staged(centres.select("token", "_n").filter("_n > 2"), "several"), "token", "_n"), "several-sets")
+    label = F.coalesce(F.col("component"), F.col("set_id"))
+
+    # Other centres of each token, until two rounds in a row link nothing.
+    idle = 0
+    for number in range(CENTRE_ROUNDS):
+        met = staged(_near(_round_pairs(several, labels, number, threshold), sets, threshold), "round-pairs")
+        found_links = verify(met, whole_of(met)) if met.limit(1).count() else met
+        if found_links.limit(1).count():
+            labels, idle = _merged(labels, found_links), 0
+        elif idle:
+            break
+        else:
+            idle = 1
+
+    # Then pairs of one token across components.
+    marked = staged(several.drop(*maps).join(
         labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", label), "labelled")
     # Sets of like size meet under a size class of theirs: their own or the next.
     size_class = F.floor(F.log(F.col("n")) / F.lit(threshold.size_step()))
@@ -360,9 +395,9 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
                                & (F.col("a.component") != F.col("b.component")) & _may_follow(threshold)
                                & threshold.few_differences(_differences("w", MORE_WORDS), n, m))
     second = second.select(F.col("a.set_id").alias("u"), F.col("b.set_id").alias("v")).distinct()
+    second = staged(second, "cross-pairs")  # each pair once, before those seen are taken out
     known = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    second = staged(second.join(known, ["u", "v"], "left_anti"), "cross-pairs")
-    close = staged(_near(second, sets, threshold), "near-pairs")
+    close = staged(_near(second.join(known, ["u", "v"], "left_anti"), sets, threshold), "near-pairs")
     if close.limit(1).count():
         labels = _merged(labels, verify(close, whole_of(close)))
 

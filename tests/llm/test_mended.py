@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 from checks.compare import connect
-from examloom.llm import chat, common, exact_dedup, licenses
+from examloom.llm import chat, common, exact_dedup, jaccard, licenses
 from examloom.llm.common import scratch
 
 
@@ -129,3 +129,25 @@ def test_staged_tables_go(spark, tmp_path):
         assert len(set(folder.iterdir()) - before) > 2
     left = {p.name.split("-")[0] for p in set(folder.iterdir()) - before}
     assert left <= {"digest"} and spark.read.parquet(str(tmp_path / "out")).count() == 30  # the index' note stays
+
+
+def test_copies_not_linked_with_their_centre(spark, monkeypatch):
+    """The set with most copies is linked with none of the others, which are linked with each other."""
+    base = [f"w{i}" for i in range(100)]
+
+    def changed(*places):
+        return " ".join(f"x{places}{i}" if i in places else w for i, w in enumerate(base))
+
+    texts = [changed(30, 60), changed(30, 60)] + [changed(i) for i in range(5, 95)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, staged = {}, jaccard.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", counted)
+    result = {r["doc_id"]: r["component_id"] for r in jaccard.join(docs, jaccard.Threshold(80, 5)).collect()}
+    assert result == {0: 0, 1: 0} | {i: 2 for i in range(2, 92)}
+    assert rows["cross-pairs"] < 90  # 4,005 pairs of these sets
