@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,42 +14,57 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from examloom.operators.metrics import epoch_report_text
 
 HELD_LOSSES = 100  # latest places of a run whose loss is kept
+RUN_GROUPS = 1024  # of runs that one call handles together
 
 
 def _reporter(names: list[str], held_losses: int):
-    """State function of one run: `names` are the run's column and the two columns of its order."""
+    """State function of one group of runs: `names` are the run's column and the two columns of its order."""
     run, first, second = names
 
+    def numbers(held: bytes, more, kind: type) -> np.ndarray:
+        return np.concatenate([np.frombuffer(held, kind), more.to_numpy(kind)])
+
     def report(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        losses: dict[tuple[int, int], float] = {}
-        if state.exists:
-            places, numbers, values = state.get
-            losses = dict(zip(zip(places, numbers), values))
+        runs, counts, *held = state.get if state.exists else ([], [], b"", b"", b"")
         events = pd.concat(list(frames), ignore_index=True)
-        for a, b, loss in events.loc[events["loss"].notna(), [first, second, "loss"]].itertuples(index=False):
-            losses[a, b] = max(loss, losses.get((a, b), loss))
-        known = pd.DataFrame([(*place, loss) for place, loss in losses.items()],
-                             columns=[first, second, "training_loss"]).sort_values([first, second])
-        asked = events[events["event"] == "evaluate"].sort_values([first, second], kind="stable")
-        if len(asked):
+        new, names_of_new = pd.factorize(events[run], use_na_sentinel=False)
+        place = {name: i for i, name in enumerate(runs)}
+        names_of_new = [None if pd.isna(name) else name for name in names_of_new]
+        code = np.array([place.setdefault(name, len(place)) for name in names_of_new], np.int64)[new]
+        # Losses by run and place; of several at one place the largest.
+        logged = events["loss"].notna().to_numpy()
+        of = np.concatenate([np.repeat(np.arange(len(runs)), counts).astype(np.int64), code[logged]])
+        a, b = (numbers(h, events.loc[logged, c], np.int64) for h, c in zip(held, (first, second)))
+        loss = numbers(held[2], events.loc[logged, "loss"], np.float64)
+        by = np.lexsort((loss, b, a, of))
+        of, a, b, loss = of[by], a[by], b[by], loss[by]
+        top = np.ones(len(of), bool)
+        top[:-1] = (of[1:] != of[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        of, a, b, loss = of[top], a[top], b[top], loss[top]
+        asked = events["event"].eq("evaluate").to_numpy()
+        if asked.any():
             # The loss at the latest place that is not behind the evaluation's.
-            places = list(known[[first, second]].itertuples(index=False, name=None))
-            at = [bisect_right(places, place) - 1
-                  for place in asked[[first, second]].itertuples(index=False, name=None)]
-            values = known["training_loss"].tolist()
+            rows, who, n = events[asked], code[asked], len(of)
+            order = np.lexsort((np.arange(n + len(rows)) >= n, np.concatenate([b, rows[second].to_numpy(np.int64)]),
+                                np.concatenate([a, rows[first].to_numpy(np.int64)]), np.concatenate([of, who])))
+            latest = np.empty(len(order), np.int64)
+            latest[order] = np.maximum.accumulate(np.where(order < n, order, -1))
+            at = latest[n:]
+            found = (at >= 0) & (np.append(of, -1)[at] == who)
             yield pd.DataFrame({
-                run: [key[0]] * len(asked), first: asked[first].tolist(), second: asked[second].tolist(),
-                "epoch": asked["epoch_text"].tolist(),
-                "training_loss": [values[i] if i >= 0 else None for i in at],
-                "validation_loss": asked["eval_loss"].tolist(), "accuracy": asked["eval_accuracy"].tolist()})
-        kept = known.tail(held_losses)
-        state.update((kept[first].tolist(), kept[second].tolist(), kept["training_loss"].tolist()))
+                run: rows[run], first: rows[first], second: rows[second], "epoch": rows["epoch_text"],
+                "training_loss": np.where(found, np.append(loss, np.nan)[at], np.nan),
+                "validation_loss": rows["eval_loss"], "accuracy": rows["eval_accuracy"]})
+        counts = np.bincount(of, minlength=len(place))
+        kept = np.arange(len(of)) >= (np.cumsum(counts) - held_losses)[of]
+        state.update((list(place), np.minimum(counts, held_losses).tolist(),
+                      a[kept].tobytes(), b[kept].tobytes(), loss[kept].tobytes()))
 
     return report
 
 
 def stream_epoch_report(events: DataFrame, run: str = "run", order: tuple[str, str] = ("ts", "step"),
-                        held_losses: int = HELD_LOSSES) -> DataFrame:
+                        held_losses: int = HELD_LOSSES, groups: int = RUN_GROUPS) -> DataFrame:
     """One row per evaluation of a streaming log: run, the order, epoch, training_loss, validation_loss, accuracy.
 
     `events` has the columns of METRIC_LOG; `order` names a timestamp and a long, which together
@@ -63,18 +78,22 @@ def stream_epoch_report(events: DataFrame, run: str = "run", order: tuple[str, s
     batch are handled together, so bound a batch by the source's options.
     """
     logged = F.when(F.col("event") == "log", F.col("loss"))
+    nowhere = F.lit(-2**63)  # a missing place is before all others
+    micros = F.unix_micros(F.col(order[0]).cast("timestamp"))
     rows = events.select(
-        F.col(run).alias(run), F.unix_micros(F.col(order[0]).cast("timestamp")).alias(order[0]), F.col(order[1]).cast("long").alias(order[1]),
+        F.pmod(F.xxhash64(F.col(run).cast("string")), F.lit(groups)).alias("_group"), F.col(run).cast("string").alias(run),
+        F.coalesce(micros, nowhere).alias(order[0]), F.coalesce(F.col(order[1]).cast("long"), nowhere).alias(order[1]),
         "event", F.coalesce(F.col("epoch").cast("int").cast("string"), F.lit("N/A")).alias("epoch_text"),
         logged.cast("double").alias("loss"), F.col("eval_loss").cast("double").alias("eval_loss"),
         F.col("eval_accuracy").cast("double").alias("eval_accuracy"),
     ).filter((F.col("event") == "evaluate") | F.col("loss").isNotNull())
     a, b = order
-    out = rows.groupBy(run).applyInPandasWithState(
+    out = rows.groupBy("_group").applyInPandasWithState(
         _reporter([run, a, b], held_losses),
         f"`{run}` string, `{a}` long, `{b}` long, epoch string, training_loss double, validation_loss double, accuracy double",
-        "places array<bigint>, numbers array<bigint>, losses array<double>", "append", GroupStateTimeout.NoTimeout)
-    return out.withColumn(a, F.timestamp_micros(a))
+        "runs array<string>, counts array<bigint>, places binary, numbers binary, losses binary",
+        "append", GroupStateTimeout.NoTimeout)
+    return out.withColumn(a, F.timestamp_micros(F.nullif(a, nowhere))).withColumn(b, F.nullif(b, nowhere))
 
 
 def append_epoch_reports(report: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

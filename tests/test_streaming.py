@@ -91,3 +91,15 @@ def test_text_blocks_are_appended_once(spark, tmp_path):
     read = spark.read.option("lineSep", "#" * 25 + "\n").text(str(tmp_path / "out"))
     assert sorted(r["value"] for r in read.collect()) == sorted(
         r["value"].removesuffix("#" * 25) for r in expected.collect())
+
+
+def test_many_runs_in_one_call(spark, tmp_path):
+    """Runs are handled in groups: no call of Python code for each of them, and each with its own losses."""
+    pieces = [[row for i in range(60) for row in (log(f"r{i}", m, m, float(100 * i + m)), evaluation(f"r{i}", m, m + 1))]
+              for m in (1, 2)]
+    pieces.append([evaluation(f"r{i}", 3, 3) for i in range(61)])
+    out = Feed(spark, tmp_path, groups=2, held_losses=1).take(*pieces)
+    expected = {(f"r{i}", m + 1): float(100 * i + m) for i in range(60) for m in (1, 2)}
+    rows = sorted((r["run"], r["step"], r["training_loss"] or -1.0) for r in out.collect())
+    assert rows == sorted([(*k, v) for k, v in expected.items()]
+                          + [(f"r{i}", 3, 100. * i + 2) for i in range(60)] + [("r60", 3, -1.0)])
