@@ -15,6 +15,7 @@ from examloom.schemas import EXAM_RAW
 
 # Quoted fields hold line breaks, and a quote inside a field is doubled.
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
+CSV_FILE_ROWS = 5_000  # of a file written: one task reads a whole file
 
 
 def read_exam_csv(spark: SparkSession, path: str, schema: T.StructType = EXAM_RAW) -> DataFrame:
@@ -41,8 +42,11 @@ def _as_text(df: DataFrame, nested: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, nested: str = "python", mode: str = "overwrite") -> None:
-    """CSV with a header; lists and structs become Python-literal or JSON text."""
-    _as_text(df, nested).write.mode(mode).csv(
+    """CSV with a header; lists and structs become Python-literal or JSON text.
+
+    A task writes several files of up to CSV_FILE_ROWS rows, as a file is read by one task.
+    """
+    _as_text(df, nested).write.mode(mode).option("maxRecordsPerFile", CSV_FILE_ROWS).csv(
         path, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         **CSV_FORMAT)
 

@@ -132,3 +132,14 @@ def test_row_operators_run_on_a_stream(spark, tmp_path):
     finally:
         query.stop()
     assert len(rows) == 1 and rows[0]["text"].endswith("<start_of_turn>model\n2<end_of_turn>\n")
+
+
+def test_written_csv_files_are_bounded(spark, tmp_path):
+    """One task reads a whole file, so a large partition is written as several files."""
+    rows = spark.range(0, 12_001, 1, 1).selectExpr(
+        "cast(id AS string) AS id", "concat('a\\n\"b\" ', id) AS paragraph", "'{}' AS problems", "'' AS question_plus")
+    tables.write_csv(rows, str(tmp_path / "csv"))
+    assert len(list((tmp_path / "csv").glob("*.csv"))) == 3
+    back = tables.read_exam_csv(spark, str(tmp_path / "csv"))
+    assert back.select("id", "paragraph").exceptAll(rows.select("id", "paragraph")).count() == 0
+    assert back.count() == 12_001
