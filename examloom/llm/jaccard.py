@@ -39,6 +39,7 @@ HOT = 1_000               # sets of one token compared by one task with all of t
 MAP_WORDS = 4             # longs of a parity map, looked at where tokens meet
 MORE_WORDS = 8            # longs of a second one, for tokens of several components
 CENTRE_ROUNDS = 4         # at most so many more centres of a token; what they leave is compared pair by pair
+FEW_PAIRS = 64            # pairs not worth a merge of components: they wait for the comparison pair by pair
 WIDE_FROM = 256           # shingles from which a set has a second one, looked at for each pair
 WIDE_SHARE = 32           # shingles per long of it, rounded to powers of two
 
@@ -295,6 +296,10 @@ def _round_pairs(several: DataFrame, labels: DataFrame, number: int, threshold:
         _may_link(threshold)).select(F.col("a.set_id").alias("u"), F.col("b.set_id").alias("v")).distinct()
 
 
+def _are_few(pairs: DataFrame) -> bool:
+    return pairs.limit(FEW_PAIRS + 1).count() <= FEW_PAIRS
+
+
 def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, text_key, set_id, n) and sets (set_id, _n documents, component_id, first).
 
@@ -356,7 +361,8 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     apart = near.join(named.toDF("u", "u_of"), "u", "left").join(named.toDF("v", "v_of"), "v", "left").filter(
         F.coalesce("u_of", "u") != F.coalesce("v_of", "v")).select("u", "v").join(best, ["u", "v"], "left_anti")
     apart = staged(apart, "other-centres")  # pairs of centres and of what they did not link
-    if apart.limit(1).count():
+    later = _are_few(apart)
+    if not later:
         labels = _merged(labels, verify(apart, whole))
 
     # The pair of a token's only two sets has been seen.
@@ -364,12 +370,13 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
                             staged(centres.select("token", "_n").filter("_n > 2"), "several"), "token", "_n"), "several-sets")
     label = F.coalesce(F.col("component"), F.col("set_id"))
 
-    # Other centres of each token, until two rounds in a row link nothing.
+    # Other centres of each token, until two rounds in a row link nothing or meet few pairs.  Then at
+    # most FEW_PAIRS sets are near the centre of another component; the last step meets them again.
     idle = 0
     for number in range(CENTRE_ROUNDS):
         met = staged(_near(_round_pairs(several, labels, number, threshold), sets, threshold), "round-pairs")
-        found_links = verify(met, whole_of(met)) if met.limit(1).count() else met
-        if found_links.limit(1).count():
+        found_links = None if _are_few(met) else verify(met, whole_of(met))
+        if found_links is not None and found_links.limit(1).count():
             labels, idle = _merged(labels, found_links), 0
         elif idle:
             break
@@ -397,7 +404,8 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     second = second.select(F.col("a.set_id").alias("u"), F.col("b.set_id").alias("v")).distinct()
     second = staged(second, "cross-pairs")  # each pair once, before those seen are taken out
     known = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    close = staged(_near(second.join(known, ["u", "v"], "left_anti"), sets, threshold), "near-pairs")
+    close = _near(second.join(known, ["u", "v"], "left_anti"), sets, threshold)
+    close = staged(close.unionByName(apart) if later else close, "near-pairs")
     if close.limit(1).count():
         labels = _merged(labels, verify(close, whole_of(close)))
 

@@ -9,6 +9,7 @@ import pytest
 from checks.compare import connect
 from examloom.llm import chat, common, exact_dedup, jaccard, licenses
 from examloom.llm.common import scratch
+from tests.llm import brute
 
 
 def made_up(spark, ids, text="text {}"):
@@ -151,3 +152,20 @@ def test_copies_not_linked_with_their_centre(spark, monkeypatch):
     result = {r["doc_id"]: r["component_id"] for r in jaccard.join(docs, jaccard.Threshold(80, 5)).collect()}
     assert result == {0: 0, 1: 0} | {i: 2 for i in range(2, 92)}
     assert rows["cross-pairs"] < 90  # 4,005 pairs of these sets
+
+
+def test_few_pairs_of_centres_wait_for_the_last_step(spark, monkeypatch):
+    """As above with few sets: they are linked without rounds of verifying and merging."""
+    base = [f"w{i}" for i in range(100)]
+
+    def changed(*places):
+        return " ".join(f"x{places}{i}" if i in places else w for i, w in enumerate(base))
+
+    texts = [changed(30, 60), changed(30, 60)] + [changed(i) for i in range(5, 95, 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names, staged = [], jaccard.staged
+    monkeypatch.setattr(jaccard, "staged", lambda df, name: names.append(name) or staged(df, name))
+    result = {r["doc_id"]: r["component_id"] for r in jaccard.join(docs, jaccard.Threshold(80, 5)).collect()}
+    assert result == {i: c for i, (_, c) in brute.near_components(dict(enumerate(texts)), 80, 5).items()}
+    assert names.count("round-pairs") == 2 and names.count("merged-components") == 1
+    assert names.count("links") == 2  # of the best centres, and of all that was left
