@@ -4,13 +4,14 @@ A task splits its texts with the tokenizer's pattern and encodes every different
 a recursive query keeps token-position rows, looks their pairs up in the merge table and, at
 each step, contracts every piece's leftmost pair of minimum rank, until no pair is left.
 Ids are decoded by joining them with the vocabulary and an aggregation in their order.
-No shuffle; a task holds a block of text, the vocabulary and a bounded cache of pieces.
+No shuffle; a task holds a block of text, the vocabulary and two caches of pieces, of bounded size.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from itertools import islice
 
@@ -20,14 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from examloom.llm.common import blocks
+from examloom.llm.common import arrow_rows, blocks, staged
 
-BLOCK_BYTES = 1 << 20     # texts worked on together
+BLOCK_BYTES = 1 << 19     # texts worked on together
+BATCH_ROWS = 500          # rows a task in Python gets at once
 PIECES_AT_ONCE = 200_000  # matches of one text taken at once
-BYTES_AT_ONCE = 1 << 18   # bytes of pieces in one recursive query
-CACHE_PIECES = 600_000    # pieces a worker remembers; then it starts anew
+BYTES_AT_ONCE = 1 << 17   # bytes of pieces in one recursive query
+CACHE_PIECES = 200_000    # pieces from which a worker's cache grows old; the one before it is dropped
 LONG_PIECE = 64           # bytes from which equal pairs of a piece are contracted together
-DECODE_ROWS = 1 << 20     # ids decoded in one query
+DECODE_ROWS = 1 << 18     # ids decoded in one query
 DECODE_RUN = 1 << 16      # ids of one text aggregated as one string
 
 SCHEMA = T.StructType([
@@ -93,13 +95,18 @@ class Codec:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pattern = regex.compile(pattern)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.con = duckdb.connect(config={
+            "threads": 1, "memory_limit": "300MB",
+            # What a query has freed goes back to the system, not to the next query.
+            "allocator_flush_threshold": "1MB", "allocator_bulk_deallocation_flush_threshold": "1MB"})
         self.con.execute("SET preserve_insertion_order = false")
-        pairs = [(self.ranks.get(t[:k]), self.ranks.get(t[k:]), i)
-                 for t, i in self.ranks.items() for k in range(1, len(t))]
-        pairs = [p for p in pairs if p[0] is not None and p[1] is not None]
-        left, right, merged = (pa.array(x, pa.int32()) for x in zip(*pairs))
-        self._table("merges", l=left, r=right, m=merged)
+        left, right, merged = array("i"), array("i"), array("i")
+        for t, i in self.ranks.items():
+            for k in range(1, len(t)):
+                l, r = self.ranks.get(t[:k]), self.ranks.get(t[k:])
+                if l is not None and r is not None:
+                    left.append(l), right.append(r), merged.append(i)
+        self._table("merges", **{c: np.frombuffer(x, np.int32) for c, x in zip("lrm", (left, right, merged))})
         self.con.execute("""CREATE TABLE risky AS
             SELECT a.m AS id FROM merges a JOIN merges b ON b.l = a.m WHERE b.m < a.m
             UNION SELECT a.m FROM merges a JOIN merges b ON b.r = a.m WHERE b.m < a.m""")
@@ -107,6 +114,7 @@ class Codec:
                     chars=pa.array([t.decode("latin-1") for t in self.ranks]))
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the cache before it; what is found there moves over
 
     def _table(self, name: str, **columns):
         self.con.register("given", pa.table(columns))
@@ -135,11 +143,13 @@ class Codec:
 
     def _learn(self, pieces: set[str]) -> None:
         """See that the cache holds the ids of all these pieces."""
-        new = pieces.difference(self.cache)
-        if new and len(self.cache) + len(new) > CACHE_PIECES:
-            self.cache, new = {}, pieces
+        if len(self.cache) >= CACHE_PIECES:
+            self.cache, self.older = {}, self.cache
         open_pieces = []
-        for piece in new:
+        for piece in pieces.difference(self.cache):
+            if known := self.older.get(piece):
+                self.cache[piece] = known
+                continue
             raw = piece.encode()
             whole = self.ranks.get(raw)
             if whole is None:
@@ -238,7 +248,8 @@ def _run(docs: DataFrame, path: str, pattern: str, row, schema) -> DataFrame:
     types = [kinds[f.dataType.typeName()] for f in schema.fields]
     rows = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"),
                        F.coalesce(F.col("`text`").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(work, schema)
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):  # it holds when rows are made, so they are staged
+        return staged(rows.mapInArrow(work, schema), "byte-bpe")
 
 
 def _whole(doc_id, text: str, ids: bytes, decoded: bytes):
@@ -258,7 +269,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     `path` names a file of ranks that every executor can open, `pattern` the split into
     pieces.  Null texts count as empty and give no ids.  Rows are independent of each other, so
-    null and repeated ids are passed on; an empty table gives no rows.
+    null and repeated ids are passed on; an empty table gives no rows.  The result is staged.
     """
     return _run(docs, path, pattern, _whole, SCHEMA)
 
