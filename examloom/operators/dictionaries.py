@@ -8,7 +8,7 @@ back as one bounded array per block, which meets the rows where they are stored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from uuid import uuid4
 
@@ -122,19 +122,21 @@ class BlockDictionaries:
         return self.rows.select(F.inline(F.arrays_zip(
             F.col("_entries").alias("entry"), F.col("_counts").alias("n")))).groupBy("entry").agg(F.sum("n").alias("n"))
 
-    def replaced(self, table: DataFrame, key: str, value: str, into: str, missing: Column) -> DataFrame:
+    def replaced(self, table: DataFrame, key: str, value: str, into: str, missing: Column,
+                 finish: Callable[[Column], Column] = lambda values: values) -> DataFrame:
         """Staged rows of the keys and `into`: each element as its value in `table`, else `missing`.
 
+        `finish` makes `into` of the array of values, before it is staged.
         A block has an element once, so even one that all blocks hold is a small share of what is
         joined.  The dictionary table is dropped.
         """
         pairs = self.rows.select("_bucket", "_block", F.posexplode("_entries").alias("_at", key))
         valued = pairs.join(table.select(key, F.col(value).alias("_value")), key, "left")
-        of_block = valued.groupBy("_bucket", "_block").agg(F.array_sort(F.collect_list(  # one block's dictionary
+        of_block = valued.groupBy("_bucket", "_block").agg(F.sort_array(F.collect_list(  # one block's dictionary
             F.struct("_at", F.coalesce("_value", missing).alias("v")))).alias("_list")).select(
             "_bucket", "_block", F.transform("_list", lambda e: e["v"]).alias("_replacements"))
         joined = self.rows.join(of_block.hint("shuffle_hash"), ["_bucket", "_block"], "left").select(
-            *self.keys, F.transform("_codes", lambda c: F.get("_replacements", c)).alias(into))
+            *self.keys, finish(F.transform("_codes", lambda c: F.get("_replacements", c))).alias(into))
         # The rows are stored by `_bucket`, which is enough for a join by bucket and block.
         with _setting(self.spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
             result = stage(joined, "replaced")

@@ -138,10 +138,9 @@ def detokenize(df: DataFrame, ids: DataFrame, *keys: str, input_ids: str = "inpu
     `ids`: term, token_id.  Ignored labels are padding, and padding is left out, as are ids the
     vocabulary does not hold.  Null ids give a null text.
     """
-    padded = F.transform(F.col(input_ids), lambda x: F.when(x == IGNORED, pad_id).otherwise(x))
-    blocks = BlockDictionaries(df, F.filter(padded, lambda x: x.isNotNull() & (x != pad_id)), *keys)
-    found = blocks.replaced(ids, "token_id", "term", "_terms", F.lit(None).cast("string"))
-    return found.select(*keys, F.array_join("_terms", " ").alias(into))
+    held = F.filter(F.col(input_ids), lambda x: x.isNotNull() & (x != pad_id) & (x != IGNORED))
+    blocks = BlockDictionaries(df, held, *keys)
+    return blocks.replaced(ids, "token_id", "term", into, F.lit(None).cast("string"), lambda terms: F.array_join(terms, " "))
 
 
 def add_completion_labels(df: DataFrame, ids: DataFrame, marker: list[str] | None = None,

@@ -114,3 +114,14 @@ def test_sequence_logits(spark):
             F.array(*[F.array(*map(F.lit, p)) for p in places]), m, F.array(F.lit(1), F.lit(3)), from_end),
             [r[0] for r in rows], "array<int>")
         assert found == [None if r[at] is None else [places[r[at]][1], places[r[at]][3]] for r in rows]
+
+
+def test_decoded_words_are_staged_as_text(spark, monkeypatch):
+    """Neither arrays of words nor a second pass over them."""
+    docs = spark.createDataFrame([(0, "one two two"), (1, None), (2, "")], "id int, text string")
+    coded, ids = features.tokenize_with_ids(docs, "id")
+    schemas, stage = [], dictionaries.stage
+    monkeypatch.setattr(dictionaries, "stage", lambda df, name: schemas.append(df.dtypes) or stage(df, name))
+    out = features.detokenize(coded, ids, "id")
+    assert schemas == [[("id", "int"), ("text", "string")]]
+    assert {r["id"]: r["text"] for r in out.collect()} == {0: "one two two", 1: None, 2: ""}
