@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import Window as W
 
 WHITE = r"\x20\x09-\x0D"  # white space of the contracts
 _STAGED: list[str] = []
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()  # of the tables `staged` returned
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,17 +35,30 @@ def staging(spark: SparkSession):
         yield
     finally:
         for path in _STAGED[before:]:
-            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            _delete(spark, path)
         del _STAGED[before:]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, survives
     lost executors, and later readers fetch only their columns."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def unstage(table: DataFrame) -> None:
+    """Remove a table that `staged` returned and that no later step reads."""
+    path = _PATHS.pop(table)
+    _delete(table.sparkSession, path)
+    _STAGED.remove(path)
 
 
 @contextmanager

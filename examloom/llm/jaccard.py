@@ -20,7 +20,7 @@ and a larger parity map leave few pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import log
+from math import isqrt, log
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from examloom.llm import shingles, sketches
-from examloom.llm.common import attach, blocks, partitions, staged
+from examloom.llm.common import attach, blocks, partitions, staged, unstage
 from examloom.llm.components import components
 
 BLOCK_BYTES = 1 << 20
@@ -39,7 +39,7 @@ HOT = 1_000               # sets of one token compared by one task with all of t
 MAP_WORDS = 4             # longs of a parity map, looked at where tokens meet
 MORE_WORDS = 8            # longs of a second one, for tokens of several components
 CENTRE_ROUNDS = 4         # at most so many more centres of a token; what they leave is compared pair by pair
-FEW_PAIRS = 64            # pairs not worth a merge of components: they wait for the comparison pair by pair
+FEW_PAIRS = 64            # pairs not worth a merge of components, as are up to the square root of the sets: they wait
 WIDE_FROM = 256           # shingles from which a set has a second one, looked at for each pair
 WIDE_SHARE = 32           # shingles per long of it, rounded to powers of two
 
@@ -296,8 +296,8 @@ def _round_pairs(several: DataFrame, labels: DataFrame, number: int, threshold:
         _may_link(threshold)).select(F.col("a.set_id").alias("u"), F.col("b.set_id").alias("v")).distinct()
 
 
-def _are_few(pairs: DataFrame) -> bool:
-    return pairs.limit(FEW_PAIRS + 1).count() <= FEW_PAIRS
+def _are_few(pairs: DataFrame, few: int) -> bool:
+    return pairs.limit(few + 1).count() <= few
 
 
 def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
@@ -315,19 +315,25 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
             yield shingles.shingle_sets(batch.column(1).slice(start, stop - start), k)[1]
 
     table = spark.sparkContext.broadcast(sketches.count_table(texts, hashes, COUNTERS))
-    found = staged(document_sets(docs, table, threshold), "document-sets")
     maps, more = [f"m{i}" for i in range(MAP_WORDS)], [f"w{i}" for i in range(MORE_WORDS)]
+    # Prefixes and maps take most of the room: of all documents until there are sets, and prefixes of
+    # sets until there are postings.
+    documents = staged(document_sets(docs, table, threshold), "document-sets")
+    found = staged(documents.select("doc_id", "text_key", "set_id", "n"), "set-documents")
     # All columns but doc_id depend on the set alone.
-    sets = staged(found.filter("n > 0").groupBy("set_id").agg(
+    grouped = staged(documents.filter("n > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("mult"), F.min(_rank()).alias("first"),
-        *[F.first(c).alias(c) for c in ("n", "prefix", "wide", *maps, *more)]), "sets")
+        *[F.first(c).alias(c) for c in ("n", "prefix", "wide", *maps, *more)]), "sets-with-prefixes")
+    unstage(documents)
+    sets = staged(grouped.drop("prefix"), "sets")
 
     # Postings of the tokens that several sets share.
-    shared = staged(sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(
+    shared = staged(grouped.select(F.explode("prefix").alias("token")).groupBy("token").agg(
         F.count("*").alias("_n")).filter("_n > 1"), "shared-tokens")
-    postings = attach(sets.select("set_id", F.posexplode("prefix").alias("place", "token")), shared, "token", "_n")
+    postings = attach(grouped.select("set_id", F.posexplode("prefix").alias("place", "token")), shared, "token", "_n")
     # A set has no more postings than its prefix.
     members = staged(postings.join(sets.select("set_id", "n", "mult", *maps), "set_id"), "members")
+    unstage(grouped)
 
     # First the pairs of each token's centre, the set with most copies, with the others.
     centre = F.max(F.struct("mult", "set_id", "n", "place", *maps)).alias("c")
@@ -361,21 +367,23 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     apart = near.join(named.toDF("u", "u_of"), "u", "left").join(named.toDF("v", "v_of"), "v", "left").filter(
         F.coalesce("u_of", "u") != F.coalesce("v_of", "v")).select("u", "v").join(best, ["u", "v"], "left_anti")
     apart = staged(apart, "other-centres")  # pairs of centres and of what they did not link
-    later = _are_few(apart)
+    few = max(FEW_PAIRS, isqrt(sets.count()))  # so many sets have no more pairs than half of all sets
+    later = _are_few(apart, few)
     if not later:
         labels = _merged(labels, verify(apart, whole))
 
     # The pair of a token's only two sets has been seen.
     several = staged(attach(members.select("token", "set_id", "n", "place", *maps),
                             staged(centres.select("token", "_n").filter("_n > 2"), "several"), "token", "_n"), "several-sets")
+    unstage(members)
     label = F.coalesce(F.col("component"), F.col("set_id"))
 
-    # Other centres of each token, until two rounds in a row link nothing or meet few pairs.  Then at
-    # most FEW_PAIRS sets are near the centre of another component; the last step meets them again.
+    # Other centres of each token, until two rounds in a row link nothing or meet few pairs.  Then
+    # few sets are near the centre of another component; the last step meets them again.
     idle = 0
     for number in range(CENTRE_ROUNDS):
         met = staged(_near(_round_pairs(several, labels, number, threshold), sets, threshold), "round-pairs")
-        found_links = None if _are_few(met) else verify(met, whole_of(met))
+        found_links = None if _are_few(met, few) else verify(met, whole_of(met))
         if found_links is not None and found_links.limit(1).count():
             labels, idle = _merged(labels, found_links), 0
         elif idle:

@@ -169,3 +169,31 @@ def test_few_pairs_of_centres_wait_for_the_last_step(spark, monkeypatch):
     assert result == {i: c for i, (_, c) in brute.near_components(dict(enumerate(texts)), 80, 5).items()}
     assert names.count("round-pairs") == 2 and names.count("merged-components") == 1
     assert names.count("links") == 2  # of the best centres, and of all that was left
+
+
+def test_few_pairs_grow_with_the_root_of_the_sets(spark, monkeypatch):
+    """18 sets that their centre is not linked with, among 500: few of them."""
+    base = [f"w{i}" for i in range(100)]
+
+    def changed(*places):
+        return " ".join(f"x{places}{i}" if i in places else w for i, w in enumerate(base))
+
+    monkeypatch.setattr(jaccard, "FEW_PAIRS", 2)
+    texts = [changed(30, 60), changed(30, 60)] + [changed(i) for i in range(5, 95, 5)]
+    texts += [" ".join(f"o{k}t{i}" for i in range(20)) for k in range(500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names, staged = [], jaccard.staged
+    monkeypatch.setattr(jaccard, "staged", lambda df, name: names.append(name) or staged(df, name))
+    result = {r["doc_id"]: r["component_id"] for r in jaccard.join(docs, jaccard.Threshold(80, 5)).collect()}
+    assert result == {i: c for i, (_, c) in brute.near_components(dict(enumerate(texts)), 80, 5).items()}
+    assert names.count("round-pairs") == 2 and names.count("links") == 2
+
+
+def test_prefixes_of_sets_do_not_stay_staged(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i // 2 + j}" for j in range(40))) for i in range(40)],
+                                 "doc_id long, text string")
+    before = set(common._STAGED)
+    jaccard.join(docs, jaccard.Threshold(80, 5))
+    left = [path for path in common._STAGED if path not in before]
+    columns = {c for path in left for c in spark.read.parquet(path).columns}
+    assert "wide" in columns and "prefix" not in columns
