@@ -27,7 +27,8 @@ from examloom.llm.run_index import RunIndex
 
 LENGTH = 100
 GRAM = 32
-PIECE_BYTES = 1 << 18    # hashed at once
+PIECE_BYTES = 1 << 18    # of texts looked at together
+HASHED_BYTES = 1 << 16   # hashed at once: few enough for a processor's cache
 INDEX_BYTES = 1 << 19    # segments looked at together
 CLASSES = 4              # of places in a segment
 SLICE = 1_000            # segments of one anchor text that meet in a block
@@ -66,34 +67,34 @@ def anchors(flat: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int
     found = []
     span = length - gram + 1
     total = len(flat)
-    for begin in range(0, max(0, total - length + 1), PIECE_BYTES):
-        data = flat[begin:min(total, begin + PIECE_BYTES + length - 1)]
-        n = len(data) - gram + 1
-        if len(data) < length:
-            break
+    powers, inverse = shingles._powers(shingles._BASE, HASHED_BYTES + length), shingles._powers(
+        shingles._INVERSE, HASHED_BYTES + length)
+    low = np.uint64((1 << 20) - 1)
+    for begin in range(0, max(0, total - length + 1), HASHED_BYTES):
+        data = flat[begin:min(total, begin + HASHED_BYTES + length - 1)]
+        n, m = len(data) - gram + 1, len(data) - length + 1
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(RAW[data] * shingles._powers(shingles._BASE, len(data)), out=sums[1:])
-        h = shingles.mix((sums[gram:] - sums[:n]) * shingles._powers(shingles._INVERSE, len(data))[:n])
-        # Least (hash, place) of each run of `span` grams, from minima within blocks of `span`.
-        value = (h & ~np.uint64((1 << 20) - 1)) | np.arange(n, dtype=np.uint64)
-        padded = np.full(-(-n // span) * span, np.uint64(2**64 - 1))
-        padded[:n] = value
-        table = padded.reshape(-1, span)
-        ahead = np.minimum.accumulate(table, axis=1).reshape(-1)
-        behind = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-        m = len(data) - length + 1
-        place = (np.minimum(behind[:m], ahead[span - 1:span - 1 + m]) & np.uint64((1 << 20) - 1)).astype(np.int64)
-        starts = np.arange(begin, begin + m)
-        doc = np.searchsorted(ends, starts, "right") - 1
-        inside = starts + length <= ends[doc + 1]
-        starts, doc, place = starts[inside], doc[inside], place[inside]
-        if not len(starts):
+        np.cumsum(RAW[data] * powers[:len(data)], out=sums[1:])
+        h = shingles.mix((sums[gram:] - sums[:n]) * inverse[:n])
+        # Least (hash, place) of each run of `span` grams: of 2, 4, ... of them, then of two runs that overlap.
+        value, width = (h & ~low) | np.arange(n, dtype=np.uint64), 1
+        while 2 * width <= span:
+            value, width = np.minimum(value[:-width], value[width:]), 2 * width
+        if width < span:
+            value = np.minimum(value[:width - span], value[span - width:])
+        place = (value & low).astype(np.int64)
+        # The documents that the piece's strings start in, and the strings that end there as well.
+        a, b = np.searchsorted(ends, begin, "right") - 1, np.searchsorted(ends, begin + m - 1, "right")
+        starting = np.diff(np.clip(ends[a:b + 1], begin, begin + m))
+        at = np.flatnonzero(np.arange(begin, begin + m) + length <= np.repeat(ends[a + 1:b + 1], starting))
+        if not len(at):
             continue
-        new = np.ones(len(starts), bool)
+        doc, place = np.repeat(np.arange(a, b), starting)[at], place[at]
+        new = np.ones(len(at), bool)
         new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(starts)) - 1
-        found.append((doc[first], starts[first], starts[last] + length, place[first] + begin, h[place[first]]))
+        last = np.append(first[1:], len(at)) - 1
+        found.append((doc[first], at[first] + begin, at[last] + begin + length, place[first] + begin, h[place[first]]))
     if not found:
         return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
     doc, start, end, place, hashes = (np.concatenate(x) for x in zip(*found))

@@ -4,10 +4,11 @@ import hashlib
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from checks.compare import connect
-from examloom.llm import chat, common, exact_dedup, jaccard, licenses
+from examloom.llm import chat, common, exact_dedup, jaccard, licenses, long_repeats
 from examloom.llm.common import scratch
 from tests.llm import brute
 
@@ -197,3 +198,20 @@ def test_prefixes_of_sets_do_not_stay_staged(spark):
     left = [path for path in common._STAGED if path not in before]
     columns = {c for path in left for c in spark.read.parquet(path).columns}
     assert "wide" in columns and "prefix" not in columns
+
+
+def test_anchors_do_not_depend_on_pieces(monkeypatch):
+    """Hashed in pieces of any size, which are small: arrays of them stay in a processor's cache."""
+    assert long_repeats.HASHED_BYTES * 8 <= 1 << 20
+    rng = np.random.default_rng(3)
+    for alphabet in (1, 2, 26):
+        sizes = rng.choice([0, 1, 99, 100, 101, 150, 700], 12)
+        flat, ends = rng.integers(97, 97 + alphabet, sizes.sum()).astype(np.uint8), np.concatenate([[0], np.cumsum(sizes)])
+        monkeypatch.setattr(long_repeats, "HASHED_BYTES", 1 << 16)
+        whole = long_repeats.anchors(flat, ends)
+        strings = {int(a) for x, y in zip(whole[1], whole[2]) for a in range(x, y - 99)}
+        assert strings == {a for a in range(len(flat)) if any(x <= a and a + 100 <= y for x, y in zip(ends, ends[1:]))}
+        for place, start, end in zip(whole[3], whole[1], whole[2]):
+            assert end - 100 <= place <= start + 68  # every string of the segment holds its anchor
+        monkeypatch.setattr(long_repeats, "HASHED_BYTES", 130)
+        assert all(np.array_equal(x, y) for x, y in zip(whole, long_repeats.anchors(flat, ends)))
