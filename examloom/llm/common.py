@@ -97,14 +97,18 @@ def attach(left: DataFrame, groups: DataFrame, key: str, rows: str) -> DataFrame
     hot when it holds more than 1/P of all rows (P: shuffle partitions).  By arithmetic
     fewer than P keys are hot, so those go out by broadcast and their rows stay where
     they are; the others are joined by a shuffle with less than an average task per key.
+    Where no key is hot, which the counts show, one plain join does.
     `groups` should be staged; `rows` is dropped from the result if it starts with `_`.
     """
     p = partitions(left.sparkSession)
-    total = groups.agg(F.sum(rows)).first()[0] or 0
-    is_hot = F.col(rows) * F.lit(p) > F.lit(total)
-    hot = F.broadcast(groups.filter(is_hot))
-    joined = left.join(hot, key).unionByName(
-        left.join(hot.select(key), key, "left_anti").join(groups.filter(~is_hot), key))
+    total, most = groups.agg(F.sum(rows), F.max(rows)).first()  # two numbers
+    if (most or 0) * p <= (total or 0):
+        joined = left.join(groups, key)
+    else:
+        is_hot = F.col(rows) * F.lit(p) > F.lit(total)
+        hot = F.broadcast(groups.filter(is_hot))
+        joined = left.join(hot, key).unionByName(
+            left.join(hot.select(key), key, "left_anti").join(groups.filter(~is_hot), key))
     return joined.drop(rows) if rows.startswith("_") else joined
 
 

@@ -206,8 +206,8 @@ def _may_link(threshold: Threshold) -> Column:
 
 
 def _near(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """The pairs (u, v) whose wide parity maps, which grow with the sets, differ in few enough bits;
-    small sets have none.
+    """The pairs (u, v) whose wide parity maps, which grow with the sets, differ in few enough bits,
+    with all their columns; small sets have none.
 
     Sets of like size have maps of one size or twice that; halves of the larger are folded."""
     wide = sets.select("set_id", "n", "wide")
@@ -223,7 +223,7 @@ def _near(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
                                     lambda a, b: F.bit_count(xor(a, b))), F.lit(0), lambda s, x: s + x)
     small, large = F.least(F.size("u_wide"), F.size("v_wide")), F.greatest(F.size("u_wide"), F.size("v_wide"))
     comparable = (small > 0) & (large <= 2 * small)
-    return both.filter(~comparable | threshold.few_differences(differ, F.col("u_n"), F.col("v_n"))).select("u", "v")
+    return both.filter(~comparable | threshold.few_differences(differ, F.col("u_n"), F.col("v_n"))).select(*pairs.columns)
 
 
 def _salted(left: DataFrame, right: DataFrame, key: str, rows: DataFrame, share: int, own: str) -> tuple[DataFrame, DataFrame]:
@@ -245,16 +245,20 @@ def _verified(pairs: DataFrame, whole: DataFrame, threshold: Threshold) -> DataF
 
     `v` may be the same in very many pairs; those are spread over copies of its set.
     """
-    share = max(HOT, pairs.count() // partitions(pairs.sparkSession))
-    counts = staged(pairs.groupBy("v").agg(F.count("*").alias("_n")).filter(F.col("_n") > share), "pair-counts")
+    counts = pairs.groupBy("v").agg(F.count("*").alias("_n"))
+    number, most = counts.agg(F.sum("_n"), F.max("_n")).first()  # two numbers
+    share = max(HOT, (number or 0) // partitions(pairs.sparkSession))
 
     def side(prefix):
         return whole.select(F.col("set_id").alias(prefix), *[
             F.col(c).alias(f"{prefix}_{c}") for c in ("n", "tokens", "p2", "p3")])
 
-    left, right = _salted(pairs.join(side("u"), "u"), side("v"), "v", counts, share, "u")
+    left, right, on = pairs.join(side("u"), "u"), side("v"), ["v"]
+    if (most or 0) > share:
+        left, right = _salted(left, right, "v", staged(counts.filter(F.col("_n") > share), "pair-counts"), share, "u")
+        on.append("_salt")
     overlap = F.size(F.array_intersect("u_tokens", "v_tokens"))
-    return left.join(right, ["v", "_salt"]).filter(
+    return left.join(right, on).filter(
         F.arrays_overlap("u_p2", "v_p2") & F.arrays_overlap("u_p3", "v_p3")
         & threshold.linked(overlap, F.col("u_n"), F.col("v_n"))).select("u", "v")
 
@@ -343,7 +347,7 @@ def link(docs: DataFrame, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
         .filter(_may_link(threshold)).select(
             F.col("a.set_id").alias("u"), F.col("b.set_id").alias("v"), F.col("b.mult").alias("v_mult"))
     first = staged(first.distinct(), "centre-pairs")
-    near = staged(_near(first, sets, threshold).join(first, ["u", "v"]), "near-centres")
+    near = staged(_near(first, sets, threshold), "near-centres")
 
     def whole_of(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct()
