@@ -3,7 +3,8 @@
 A broadcast of the table is not bounded, and a join of exploded elements shuffles all of them and
 the rows they come back to.  Here each block of rows gives its different elements once, with the
 rows' arrays as positions in that list.  Only these lists are joined with the table; the values come
-back as one bounded array per block, which meets the rows where they are stored.
+back as one bounded array per block, which meets the first row of the block where it is stored; the
+block's other rows follow it there, so no row but that one carries the array.
 """
 
 from __future__ import annotations
@@ -19,12 +20,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from examloom.sources.tables import scratch_path, stage
 
-BLOCK_ROWS = 512
-BLOCK_ELEMENTS = 1 << 18  # of a block of several rows
+BLOCK_ROWS = 8192
+BLOCK_ELEMENTS = 1 << 20  # of a block of several rows
+BLOCK_BYTES = 32 << 20    # of a block of several pieces, key columns included
+PIECE_ROWS = 512          # rows in Python at once: a row may hold very many elements
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def _encode(buckets: list[int], names: list[str]):
@@ -33,32 +38,80 @@ def _encode(buckets: list[int], names: list[str]):
     def offsets(lengths: np.ndarray) -> pa.Array:
         return pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
 
-    def block(part: pa.RecordBatch, bucket: int, number: int) -> pa.RecordBatch:
-        arrays = part.column(part.num_columns - 1)
-        n, lengths = part.num_rows, pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)
-        encoded = arrays.flatten().dictionary_encode()
-        first = np.zeros(n, np.int64)
-        first[0] = len(encoded.dictionary)
-        counts = np.bincount(encoded.indices.to_numpy(zero_copy_only=False), minlength=len(encoded.dictionary))
-        return pa.RecordBatch.from_arrays([
-            *part.columns[:-1], pa.array(np.full(n, bucket, np.int32)), pa.array(np.full(n, number, np.int64)),
-            pa.ListArray.from_arrays(offsets(lengths), encoded.indices, mask=pc.is_null(arrays)),
-            pa.ListArray.from_arrays(offsets(first), encoded.dictionary),
-            pa.ListArray.from_arrays(offsets(first), pa.array(counts, pa.int32()))], names)
+    def sizes_of(arrays: pa.Array) -> np.ndarray:
+        return pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Runs of the batch's rows that are no larger than a block, one row at least."""
+        ends = np.cumsum(sizes_of(batch.column(batch.num_columns - 1)))
+        start = 0
+        while start < batch.num_rows:
+            base = ends[start - 1] if start else 0
+            stop = int(np.searchsorted(ends, base + BLOCK_ELEMENTS, "right"))
+            stop = max(start + 1, min(stop, start + BLOCK_ROWS))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+    def block(parts: list[pa.RecordBatch], bucket: int, number: int) -> Iterator[pa.RecordBatch]:
+        arrays = [part.column(part.num_columns - 1) for part in parts]
+        encoded = pa.chunked_array([a.flatten() for a in arrays]).combine_chunks().dictionary_encode()
+        codes, entries, start = encoded.indices, encoded.dictionary, 0
+        counts = pa.array(np.bincount(codes.to_numpy(zero_copy_only=False), minlength=len(entries)), pa.int32())
+        for i, (part, array) in enumerate(zip(parts, arrays)):
+            n, lengths = part.num_rows, sizes_of(array)
+            first = np.zeros(n, np.int64)
+            first[0] = 0 if i else len(entries)
+            own = codes.slice(start, int(lengths.sum()))
+            start += len(own)
+            yield pa.RecordBatch.from_arrays([
+                *part.columns[:-1], pa.array(np.full(n, bucket, np.int32)), pa.array(np.full(n, number, np.int64)),
+                pa.ListArray.from_arrays(offsets(lengths), own, mask=pc.is_null(array)),
+                pa.ListArray.from_arrays(offsets(first), entries.slice(0, first[0])),
+                pa.ListArray.from_arrays(offsets(first), counts.slice(0, first[0]))], names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         bucket, number = buckets[task % len(buckets)], task << 32
+        held, sizes = [], np.zeros(3, np.int64)  # rows, elements, bytes
+        most = np.array([BLOCK_ROWS, BLOCK_ELEMENTS, BLOCK_BYTES])
         for batch in batches:
-            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(batch.num_columns - 1)), 0)
-                             .to_numpy(zero_copy_only=False).astype(np.int64))
-            start = 0
-            while start < batch.num_rows:
-                base = ends[start - 1] if start else 0
-                stop = int(np.searchsorted(ends, base + BLOCK_ELEMENTS, "right"))
-                stop = max(start + 1, min(stop, start + BLOCK_ROWS))
-                yield block(batch.slice(start, stop - start), bucket, number)
-                start, number = stop, number + 1
+            for piece in pieces(batch):
+                size = np.array([piece.num_rows, sizes_of(piece.column(piece.num_columns - 1)).sum(), piece.nbytes])
+                if held and (sizes + size > most).any():
+                    yield from block(held, bucket, number)
+                    held, sizes, number = [], 0, number + 1
+                held.append(piece)
+                sizes = sizes + size
+        if held:
+            yield from block(held, bucket, number)
+
+    return work
+
+
+def _decode(names: list[str], kind: pa.DataType):
+    """Rows of keys, block, codes and, in the first row of a block, its values, to keys and arrays of values."""
+
+    def sizes_of(arrays: pa.Array) -> np.ndarray:
+        return pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, values = None, pa.array([], kind)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            blocks = batch.column(batch.num_columns - 3).to_numpy(zero_copy_only=False)
+            codes, given = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+            starts = [0, *(np.flatnonzero(np.diff(blocks)) + 1), batch.num_rows]
+            for start, stop in zip(starts, starts[1:]):
+                part = codes.slice(start, stop - start)
+                if blocks[start] != current:  # a block without elements has no values
+                    current = blocks[start]
+                    values = given[int(start)].values if given[int(start)].is_valid else pa.array([], kind)
+                found = pc.take(values, part.flatten())  # fails for rows that do not follow their block's first
+                ends = np.concatenate([[0], np.cumsum(sizes_of(part))])
+                yield pa.RecordBatch.from_arrays([
+                    *[c.slice(start, stop - start) for c in batch.columns[:-3]],
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found, mask=pc.is_null(part))], names)
 
     return work
 
@@ -91,17 +144,22 @@ def _setting(spark: SparkSession, key: str, value: str):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def _few_rows(spark: SparkSession):
+    at_once = int(spark.conf.get(ARROW_ROWS))
+    return _setting(spark, ARROW_ROWS, str(min(at_once, PIECE_ROWS) if at_once > 0 else PIECE_ROWS))
+
+
 class BlockDictionaries:
     """The staged rows of `df`: key columns and the array `values`, encoded block by block.
 
-    `values` is evaluated once.  Blocks hold up to BLOCK_ROWS rows that follow each other in a task, or
-    one row with a very long array.  The table is bucketed so that a task's rows stay one file.  Null
+    `values` is evaluated once.  Blocks hold up to BLOCK_ROWS rows (of BLOCK_ELEMENTS and about BLOCK_BYTES
+    at most) that follow each other in a task, or one row with a very long array.  The table is bucketed so that a task's rows stay one file.  Null
     arrays stay null; arrays must not hold nulls.
     """
 
     def __init__(self, df: DataFrame, values: Column, *keys: str):
         self.spark, self.keys = df.sparkSession, list(keys)
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets = int(self.spark.conf.get(PARTITIONS))
         rows = df.select(*keys, values.alias("_values"))
         kind = rows.schema["_values"].dataType.elementType
         schema = T.StructType([*rows.schema.fields[:-1], T.StructField("_bucket", T.IntegerType()),
@@ -110,9 +168,7 @@ class BlockDictionaries:
                                T.StructField("_counts", T.ArrayType(T.IntegerType()))])
         encoded = rows.mapInArrow(_encode(_bucket_labels(self.spark, buckets), schema.names), schema)
         self.table = f"block_dictionaries_{uuid4().hex}"
-        # No more rows at once than a block has: a row may hold very many elements.
-        at_once = int(self.spark.conf.get(ARROW_ROWS))
-        with _setting(self.spark, ARROW_ROWS, str(min(at_once, BLOCK_ROWS) if at_once > 0 else BLOCK_ROWS)):
+        with _few_rows(self.spark):
             encoded.write.bucketBy(buckets, "_bucket").option("path", scratch_path(self.spark, "blocks")) \
                 .format("parquet").saveAsTable(self.table)
         self.rows = self.spark.table(self.table)
@@ -135,10 +191,17 @@ class BlockDictionaries:
         of_block = valued.groupBy("_bucket", "_block").agg(F.sort_array(F.collect_list(  # one block's dictionary
             F.struct("_at", F.coalesce("_value", missing).alias("v")))).alias("_list")).select(
             "_bucket", "_block", F.transform("_list", lambda e: e["v"]).alias("_replacements"))
-        joined = self.rows.join(of_block.hint("shuffle_hash"), ["_bucket", "_block"], "left").select(
-            *self.keys, finish(F.transform("_codes", lambda c: F.get("_replacements", c))).alias(into))
+        kind = of_block.schema["_replacements"].dataType
+        # Only a block's first row has entries; it meets the values, and the rows behind it take them from there.
+        left, right = self.rows.alias("r"), of_block.hint("shuffle_hash").alias("d")
+        joined = left.join(right, (F.col("r._bucket") == F.col("d._bucket")) & (F.col("r._block") == F.col("d._block"))
+                           & (F.size("r._entries") > 0), "left").select(
+            *[F.col(f"r.`{k}`") for k in self.keys], "r._block", "r._codes", "d._replacements")
+        schema = T.StructType([*[self.rows.schema[k] for k in self.keys], T.StructField("_values", kind)])
+        decoded = joined.mapInArrow(_decode(schema.names, to_arrow_type(kind.elementType)), schema)
         # The rows are stored by `_bucket`, which is enough for a join by bucket and block.
-        with _setting(self.spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
-            result = stage(joined, "replaced")
+        with _setting(self.spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"), \
+                _setting(self.spark, PARTITIONS, str(self.buckets)), _few_rows(self.spark):
+            result = stage(decoded.select(*[F.col(f"`{k}`") for k in self.keys], finish(F.col("_values")).alias(into)), "replaced")
         self.spark.sql(f"DROP TABLE {self.table}")
         return result
