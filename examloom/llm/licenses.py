@@ -8,6 +8,9 @@ filter), and if enough tokens follow that first common one on both sides (positi
 filter).  What is left is verified by the full intersection, and by the words that tell the license
 from others.  The templates are a parameter of
 fixed size, so their index is a literal in the plan and no text is shuffled.
+
+One pass over the corpus splits each text once: it gives the tokens for that order, and stages
+the texts of those documents alone that hold enough of a template's tokens, or a phrase, as a whole.
 """
 
 from __future__ import annotations
@@ -17,9 +20,11 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from examloom.llm.common import LOWER, UPPER, ascii_lower
+from examloom.llm.common import LOWER, UPPER, ascii_lower, staged
 
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before A-Z are lowered
+# Between words.  Texts are split: to match its complement, Java tests each character against every range.
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+LOWERED_TO_ASCII = "\u0130\u212A"  # beyond A-Z
 
 PHRASES = {
     "under the mit license": "mit",
@@ -60,22 +65,57 @@ def _template_sets(templates) -> list[tuple[str, list[str], list[str]]]:
             for label, texts in templates.items() for needed, text in texts]
 
 
-def _tokens(text: Column) -> Column:
-    """Words in order, A-Z lowered."""
-    return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
+def _lowered(text: Column, known: str) -> Column:
+    """A-Z lowered, as far as the words of `known` can tell: no character beyond ASCII becomes one of ASCII."""
+    if not known.isascii():
+        return ascii_lower(text)
+    odd = [text.contains(c) for c in LOWERED_TO_ASCII]
+    return F.when(odd[0] | odd[1], ascii_lower(text)).otherwise(F.lower(text))
+
 
+def _may_hold(tokens: Column, templates, threshold: float) -> Column:
+    """Whether a text with these template tokens can hold a block that contains a template."""
+    index, rare = [], set()
+    for _, words, required in _template_sets(templates):
+        need = ceil(threshold * len(words) - 1e-9)
+        # Who holds `need` holds one of any size - need + 1; long words are seldom.
+        rare.update(sorted(words, key=lambda w: (-len(w), w))[:len(words) - need + 1])
+        index.append(F.struct(
+            F.array(*map(F.lit, words)).alias("words"),
+            F.array(*map(F.lit, required)).cast("array<string>").alias("required"), F.lit(need).alias("need")))
+    return F.arrays_overlap(tokens, F.array(*map(F.lit, sorted(rare)))) & F.exists(F.array(*index), lambda t: (
+        F.size(F.array_intersect(tokens, t["words"])) >= t["need"]) & (F.size(F.array_except(t["required"], tokens)) == 0))
+
+
+def _split_once(docs: DataFrame, id_col: str, text: str, templates, phrases, threshold: float) -> DataFrame:
+    """doc_id, n_words, _tokens (template tokens in it), and where something can be found, _spaced (words in
+    order, a space around each) and _text (with its lines); both lowered.  Staged; the only pass over all texts."""
+    sets = _template_sets(templates)
+    vocabulary = sorted({w for _, words, required in sets for w in words + required})
+    lowered = _lowered(F.col("_body"), " ".join([*vocabulary, *phrases]))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_body"))
+    # One value each, kept above the expressions that use it.
+    rows = rows.withColumn("_words", F.explode(F.array(F.trim(F.regexp_replace(lowered, GAP, " ")))))
+    rows = rows.withColumn("_tokens", F.explode(F.array(
+        F.array_intersect(F.split("_words", " "), F.array(*map(F.lit, vocabulary))))))
+    gaps = F.octet_length("_words") - F.octet_length(F.replace("_words", F.lit(" "), F.lit("")))
+    may_base = F.lit(False)
+    for phrase in phrases:
+        may_base = may_base | F.col("_words").contains(phrase)
+    return staged(rows.select(
+        "doc_id", F.when(F.col("_words") == "", 0).otherwise(gaps + 1).cast("long").alias("n_words"), "_tokens",
+        F.when(may_base, F.concat(F.lit(" "), "_words", F.lit(" "))).alias("_spaced"),
+        F.when(_may_hold(F.col("_tokens"), templates, threshold), lowered).alias("_text")), "license-texts")
 
-def token_order(docs: DataFrame, text: str, templates=TEMPLATES) -> list[str]:
+
+def token_order(tokens: DataFrame, templates=TEMPLATES) -> list[str]:
     """Template tokens by their number of documents in the corpus, rarest first.
 
-    The only pass over all texts beside the scan itself; its result has one row per
-    template token, whatever the corpus' size.
+    `_tokens` of each document; the result has one row per template token, whatever the corpus' size.
     """
     vocabulary = sorted({w for _, words, _ in _template_sets(templates) for w in words})
-    known = F.array(*map(F.lit, vocabulary))
-    counts = docs.select(F.explode(F.array_intersect(
-        _tokens(F.coalesce(F.col(f"`{text}`"), F.lit(""))), known)).alias("token")).groupBy("token").count()
-    found = {r["token"]: r["count"] for r in counts.collect()}  # at most len(vocabulary) rows
+    counts = tokens.select(F.explode("_tokens").alias("token")).groupBy("token").count()
+    found = {r["token"]: r["count"] for r in counts.collect()}  # of template tokens only
     return sorted(vocabulary, key=lambda w: (found.get(w, 0), w))
 
 
@@ -96,7 +136,7 @@ def _containments(lines: Column, order: list[str], templates, threshold: float)
     least = min(ceil(threshold * len(w) - 1e-9) for _, w, _ in _template_sets(templates))
 
     def line_ranks(line: Column) -> Column:
-        return F.transform(F.array_intersect(_tokens(line), known), lambda w: F.element_at(ranks, w))
+        return F.transform(F.array_intersect(F.split(line, GAP), known), lambda w: F.element_at(ranks, w))
 
     def block(of_lines: Column, at: Column) -> Column:
         return F.array_sort(F.array_distinct(F.flatten(F.slice(of_lines, at + 1, F.lit(LINES)))))
@@ -135,24 +175,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates=
     `score`: 1 with a phrase, else the largest containment found, else 0.  Null texts are
     empty, ids are passed on, an empty table gives no rows.
     """
-    order = token_order(docs, text, templates)
-    rank = {w: i for i, w in enumerate(order)}
-    prefix_words = sorted({w for _, words, _ in _template_sets(templates)
-                           for w in sorted(words, key=rank.get)[:len(words) - ceil(threshold * len(words) - 1e-9) + 1]})
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    lowered = F.lower(body)  # lowers at least A-Z: fit to find what can be there at all
-    may_base = F.lit(False)
-    for phrase in phrases:
-        may_base = may_base | lowered.contains(max(phrase.split(), key=len))
-    may_match = lowered.rlike("|".join(prefix_words))
-    rows = docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"),
-        F.regexp_count(body, F.lit(WORD)).cast("long").alias("n_words"),
-        F.when(may_base, F.concat(F.lit(" "), F.array_join(_tokens(body), " "), F.lit(" "))).alias("_spaced"),
-        F.when(may_match, F.split(body, "\n")).alias("_lines"))
-    # One value each, kept above the expressions that use it.
-    rows = rows.withColumn("_spaced", F.explode(F.array("_spaced")))
-    found, starts = [], []
+    rows = _split_once(docs, id_col, text, templates, phrases, threshold)
+    order = token_order(rows, templates)
+    rows = rows.withColumn("_lines", F.split("_text", "\n"))
+    found = []
     for phrase, label in phrases.items():
         pattern = f" {phrase}(?= )"
         has = F.col("_spaced").contains(f" {phrase} ")
