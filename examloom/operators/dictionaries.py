@@ -28,8 +28,14 @@ BLOCK_ROWS = 8192
 BLOCK_ELEMENTS = 1 << 20  # of a block of several rows
 BLOCK_BYTES = 32 << 20    # of a block of several pieces, key columns included
 PIECE_ROWS = 512          # rows in Python at once: a row may hold very many elements
+BUCKET_BLOCKS = 4         # of a task that follow each other in one bucket
+TASK_BUCKETS = 32         # of one task at most: it has an open file for each
+ROW_GROUP_BYTES = 8 << 20  # held for each open file
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+READ_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
 PARTITIONS = "spark.sql.shuffle.partitions"
+FILE_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+SORTED_GROUPS = "spark.sql.execution.replaceHashWithSortAgg"
 
 
 def _encode(buckets: list[int], names: list[str]):
@@ -54,8 +60,8 @@ def _encode(buckets: list[int], names: list[str]):
 
     def block(parts: list[pa.RecordBatch], bucket: int, number: int) -> Iterator[pa.RecordBatch]:
         arrays = [part.column(part.num_columns - 1) for part in parts]
-        encoded = pa.chunked_array([a.flatten() for a in arrays]).combine_chunks().dictionary_encode()
-        codes, entries, start = encoded.indices, encoded.dictionary, 0
+        all_values = pa.chunked_array([a.flatten() for a in arrays]).combine_chunks().dictionary_encode()
+        codes, entries, start = all_values.indices, all_values.dictionary, 0
         counts = pa.array(np.bincount(codes.to_numpy(zero_copy_only=False), minlength=len(entries)), pa.int32())
         for i, (part, array) in enumerate(zip(parts, arrays)):
             n, lengths = part.num_rows, sizes_of(array)
@@ -69,21 +75,25 @@ def _encode(buckets: list[int], names: list[str]):
                 pa.ListArray.from_arrays(offsets(first), entries.slice(0, first[0])),
                 pa.ListArray.from_arrays(offsets(first), counts.slice(0, first[0]))], names)
 
+    def encoded(parts: list[pa.RecordBatch], task: int, number: int) -> Iterator[pa.RecordBatch]:
+        run = number // BUCKET_BLOCKS % TASK_BUCKETS
+        bucket = buckets[(task + run * max(1, len(buckets) // TASK_BUCKETS)) % len(buckets)]
+        return block(parts, bucket, (task << 32) + number)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        bucket, number = buckets[task % len(buckets)], task << 32
+        task, number = TaskContext.get().partitionId(), 0
         held, sizes = [], np.zeros(3, np.int64)  # rows, elements, bytes
         most = np.array([BLOCK_ROWS, BLOCK_ELEMENTS, BLOCK_BYTES])
         for batch in batches:
             for piece in pieces(batch):
                 size = np.array([piece.num_rows, sizes_of(piece.column(piece.num_columns - 1)).sum(), piece.nbytes])
                 if held and (sizes + size > most).any():
-                    yield from block(held, bucket, number)
+                    yield from encoded(held, task, number)
                     held, sizes, number = [], 0, number + 1
                 held.append(piece)
                 sizes = sizes + size
         if held:
-            yield from block(held, bucket, number)
+            yield from encoded(held, task, number)
 
     return work
 
@@ -144,17 +154,22 @@ def _setting(spark: SparkSession, key: str, value: str):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+@contextmanager
 def _few_rows(spark: SparkSession):
+    """At once in Python, and in the reader of the blocks."""
     at_once = int(spark.conf.get(ARROW_ROWS))
-    return _setting(spark, ARROW_ROWS, str(min(at_once, PIECE_ROWS) if at_once > 0 else PIECE_ROWS))
+    with _setting(spark, ARROW_ROWS, str(min(at_once, PIECE_ROWS) if at_once > 0 else PIECE_ROWS)), \
+            _setting(spark, READ_ROWS, str(min(int(spark.conf.get(READ_ROWS)), PIECE_ROWS))):
+        yield
 
 
 class BlockDictionaries:
     """The staged rows of `df`: key columns and the array `values`, encoded block by block.
 
     `values` is evaluated once.  Blocks hold up to BLOCK_ROWS rows (of BLOCK_ELEMENTS and about BLOCK_BYTES
-    at most) that follow each other in a task, or one row with a very long array.  The table is bucketed so that a task's rows stay one file.  Null
-    arrays stay null; arrays must not hold nulls.
+    at most) that follow each other in a task, or one row with a very long array.  The table is bucketed; a block's rows stay together in
+    one file, and a task goes on to another bucket after BUCKET_BLOCKS blocks, so that a bucket's values fit a task that joins them.
+    Null arrays stay null; arrays must not hold nulls.
     """
 
     def __init__(self, df: DataFrame, values: Column, *keys: str):
@@ -168,9 +183,11 @@ class BlockDictionaries:
                                T.StructField("_counts", T.ArrayType(T.IntegerType()))])
         encoded = rows.mapInArrow(_encode(_bucket_labels(self.spark, buckets), schema.names), schema)
         self.table = f"block_dictionaries_{uuid4().hex}"
-        with _few_rows(self.spark):
+        # With open files for all its buckets Spark does not sort a task's rows by bucket first: a sort that spills
+        # mixes rows of one bucket, which have to stay behind their block's first.
+        with _few_rows(self.spark), _setting(self.spark, FILE_WRITERS, str(min(TASK_BUCKETS, buckets) + 1)):
             encoded.write.bucketBy(buckets, "_bucket").option("path", scratch_path(self.spark, "blocks")) \
-                .format("parquet").saveAsTable(self.table)
+                .option("parquet.block.size", ROW_GROUP_BYTES).format("parquet").saveAsTable(self.table)
         self.rows = self.spark.table(self.table)
 
     def totals(self) -> DataFrame:
@@ -187,10 +204,12 @@ class BlockDictionaries:
         joined.  The dictionary table is dropped.
         """
         pairs = self.rows.select("_bucket", "_block", F.posexplode("_entries").alias("_at", key))
-        valued = pairs.join(table.select(key, F.col(value).alias("_value")), key, "left")
-        of_block = valued.groupBy("_bucket", "_block").agg(F.sort_array(F.collect_list(  # one block's dictionary
-            F.struct("_at", F.coalesce("_value", missing).alias("v")))).alias("_list")).select(
-            "_bucket", "_block", F.transform("_list", lambda e: e["v"]).alias("_replacements"))
+        valued = pairs.join(table.select(key, F.col(value).alias("_value")), key, "left").select(
+            "_bucket", "_block", "_at", F.struct(F.coalesce("_value", missing).alias("v")).alias("_value"))  # nulls stay
+        # In order, so that a task holds one block's list at a time.
+        of_block = valued.repartition(self.buckets, "_bucket").sortWithinPartitions("_bucket", "_block", "_at").groupBy(
+            "_bucket", "_block").agg(F.collect_list("_value").alias("_list")).select(
+            "_bucket", "_block", F.col("_list.v").alias("_replacements"))
         kind = of_block.schema["_replacements"].dataType
         # Only a block's first row has entries; it meets the values, and the rows behind it take them from there.
         left, right = self.rows.alias("r"), of_block.hint("shuffle_hash").alias("d")
@@ -201,7 +220,7 @@ class BlockDictionaries:
         decoded = joined.mapInArrow(_decode(schema.names, to_arrow_type(kind.elementType)), schema)
         # The rows are stored by `_bucket`, which is enough for a join by bucket and block.
         with _setting(self.spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"), \
-                _setting(self.spark, PARTITIONS, str(self.buckets)), _few_rows(self.spark):
+                _setting(self.spark, SORTED_GROUPS, "true"), _setting(self.spark, PARTITIONS, str(self.buckets)), _few_rows(self.spark):
             result = stage(decoded.select(*[F.col(f"`{k}`") for k in self.keys], finish(F.col("_values")).alias(into)), "replaced")
         self.spark.sql(f"DROP TABLE {self.table}")
         return result
