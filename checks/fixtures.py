@@ -18,9 +18,9 @@ from examloom.schemas import PROBLEMS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The whole table, dealt over all cores: these files are of one row group each."""
+    """The whole table, dealt over all cores, as these files are of one row group each; a large one over as many tasks as it has splits."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return rows.repartition(spark.sparkContext.defaultParallelism)
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()))
 
 
 # --- exam questions -----------------------------------------------------------------

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from examloom.sources.tables import scratch_path, stage
+from examloom.sources.tables import clear_path, scratch_path, stage
 
 BLOCK_ROWS = 8192
 BLOCK_ELEMENTS = 1 << 20  # of a block of several rows
@@ -30,7 +30,9 @@ BLOCK_BYTES = 32 << 20    # of a block of several pieces, key columns included
 PIECE_ROWS = 512          # rows in Python at once: a row may hold very many elements
 BUCKET_BLOCKS = 4         # of a task that follow each other in one bucket
 TASK_BUCKETS = 32         # of one task at most: it has an open file for each
-ROW_GROUP_BYTES = 8 << 20  # held for each open file
+GOLDEN = 0.6180339887498949
+# Codes are no repeated values, which a dictionary would shorten; a row group is held for each open file.
+BLOCK_FILES = {"compression": "zstd", "parquet.enable.dictionary": "false", "parquet.block.size": str(8 << 20)}
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 READ_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
 PARTITIONS = "spark.sql.shuffle.partitions"
@@ -77,8 +79,8 @@ def _encode(buckets: list[int], names: list[str]):
 
     def encoded(parts: list[pa.RecordBatch], task: int, number: int) -> Iterator[pa.RecordBatch]:
         run = number // BUCKET_BLOCKS % TASK_BUCKETS
-        bucket = buckets[(task + run * max(1, len(buckets) // TASK_BUCKETS)) % len(buckets)]
-        return block(parts, bucket, (task << 32) + number)
+        away = int(run * GOLDEN * len(buckets))  # runs of neighbouring tasks spread evenly, however many there are
+        return block(parts, buckets[(task + away) % len(buckets)], (task << 32) + number)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
@@ -185,9 +187,10 @@ class BlockDictionaries:
         self.table = f"block_dictionaries_{uuid4().hex}"
         # With open files for all its buckets Spark does not sort a task's rows by bucket first: a sort that spills
         # mixes rows of one bucket, which have to stay behind their block's first.
+        self.path = scratch_path(self.spark, "blocks")
         with _few_rows(self.spark), _setting(self.spark, FILE_WRITERS, str(min(TASK_BUCKETS, buckets) + 1)):
-            encoded.write.bucketBy(buckets, "_bucket").option("path", scratch_path(self.spark, "blocks")) \
-                .option("parquet.block.size", ROW_GROUP_BYTES).format("parquet").saveAsTable(self.table)
+            encoded.write.bucketBy(buckets, "_bucket").options(**BLOCK_FILES).option("path", self.path) \
+                .format("parquet").saveAsTable(self.table)
         self.rows = self.spark.table(self.table)
 
     def totals(self) -> DataFrame:
@@ -201,7 +204,7 @@ class BlockDictionaries:
 
         `finish` makes `into` of the array of values, before it is staged.
         A block has an element once, so even one that all blocks hold is a small share of what is
-        joined.  The dictionary table is dropped.
+        joined.  The dictionary table is dropped with its files.
         """
         pairs = self.rows.select("_bucket", "_block", F.posexplode("_entries").alias("_at", key))
         valued = pairs.join(table.select(key, F.col(value).alias("_value")), key, "left").select(
@@ -223,4 +226,5 @@ class BlockDictionaries:
                 _setting(self.spark, SORTED_GROUPS, "true"), _setting(self.spark, PARTITIONS, str(self.buckets)), _few_rows(self.spark):
             result = stage(decoded.select(*[F.col(f"`{k}`") for k in self.keys], finish(F.col("_values")).alias(into)), "replaced")
         self.spark.sql(f"DROP TABLE {self.table}")
+        clear_path(self.spark, self.path)
         return result

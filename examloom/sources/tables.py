@@ -79,17 +79,21 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     costs a re-read instead of the whole plan.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_path(spark: SparkSession, path: str) -> None:
+    """Remove what was written to a scratch path and is not read any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _STAGED.remove(path)
+
+
 def clear_staged(spark: SparkSession, keep: int = 0) -> None:
     """Remove what this process has staged, but for the first `keep` tables."""
-    jvm = spark.sparkContext._jvm
     for path in _STAGED[keep:]:
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-    del _STAGED[keep:]
+        clear_path(spark, path)
 
 
 @contextmanager
